@@ -151,8 +151,11 @@ def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = VINCENTY_ITERATIONS) -
         return out
 
     steps = F.sequence(F.lit(0), F.lit(iterations * len(_STEPS) - 1))
-    state = F.aggregate(steps, pack(init), merge)
-    return _final({n: state[n] for n in names}, _coincident(lat1, lon1, lat2, lon2))
+    coincident = _coincident(lat1, lon1, lat2, lon2)
+    # the final formula runs in ``finish`` on the lambda variable: reading the
+    # state's fields there costs nothing, whereas reading them off the
+    # aggregate expression would evaluate the whole fold once per field
+    return F.aggregate(steps, pack(init), merge, lambda acc: _final({n: acc[n] for n in names}, coincident))
 
 
 def with_geodesic_km(df: DataFrame, out: str, lat1: str, lon1: str, lat2: str, lon2: str,

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.geo import (
+    SPHERE_TO_ELLIPSOID_SAFETY,
     geodesic_km,
     haversine_km,
     meridian_gap_lower_km,
@@ -104,6 +105,15 @@ def _cells(lat: Column, lon: Column, g: float | None) -> tuple[Column, Column]:
     return F.floor((lon + 180.0) / g), F.floor((lat + 90.0) / g)
 
 
+# (level, cell x, cell y) packed into one long: 2^21 cells per axis covers
+# the finest allowed cell size (1e-3 degrees) around the globe.
+_AXIS = 1 << 21
+
+
+def _cell_key(level: int, cx: Column, cy: Column) -> Column:
+    return (F.lit(level).cast("long") * _AXIS + cx) * _AXIS + cy
+
+
 def _block_lower_bound(lat: Column, lon: Column, g: float | None) -> Column:
     """Lower bound (km) from the point to any site outside its 3x3 block."""
     if g is None:
@@ -118,52 +128,45 @@ def _block_lower_bound(lat: Column, lon: Column, g: float | None) -> Column:
     return F.least(lat_gap_n, lat_gap_s, lon_gap)
 
 
-def _pyramid(g0: float) -> list[float | None]:
+def _pyramid(g0: float, factor: float = 8.0) -> list[float | None]:
     levels: list[float | None] = []
     g = g0
     while g < 180.0:
         levels.append(g)
-        g *= 4.0
+        g *= factor
     levels.append(None)
     return levels
 
 
-def _level_table(sites: DataFrame, g: float | None, i: int) -> DataFrame:
-    """(cell x, cell y) -> sites in the 3x3 block of cells around it."""
-    cx, cy = _cells(F.col("lat"), F.col("lon"), g)
-    site = F.struct("lat", "lon", "k", "p").alias("site")
-    if g is None:
-        placed = sites.select(cx.alias("cx"), cy.alias("cy"), site)
-    else:
-        offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                            for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-        placed = sites.select(cx.alias("x0"), cy.alias("y0"), site, F.explode(offsets).alias("o")).select(
-            (F.col("x0") + F.col("o.dx")).alias("cx"), (F.col("y0") + F.col("o.dy")).alias("cy"), "site"
-        )
-    return placed.groupBy(F.col("cx").alias(f"__cx{i}"), F.col("cy").alias(f"__cy{i}")).agg(
-        F.collect_list("site").alias(f"__c{i}")
-    )
-
-
-def _score_level(df: DataFrame, i: int, lat: str, lon: str, metric: str) -> DataFrame:
-    """Adds __s{i}: scored candidates (d, k, lat, lon, p), and __b{i}: the best one."""
-    plat, plon = F.col(lat), F.col(lon)
+def _level_table(sites: DataFrame, levels: list[float | None]) -> DataFrame:
+    """cell key (level, x, y) -> sites in the 3x3 block of cells around that cell.
 
-    def scored(fn, arr: Column) -> Column:
-        return F.transform(arr, lambda s: F.struct(
-            fn(plat, plon, s["lat"], s["lon"]).alias("d"), s["k"].alias("k"),
-            s["lat"].alias("lat"), s["lon"].alias("lon"), s["p"].alias("p")))
-
-    df = df.withColumn(f"__h{i}", scored(haversine_km, F.col(f"__c{i}")))
-    if metric == "haversine":
-        df = df.withColumn(f"__s{i}", F.col(f"__h{i}"))
-    elif metric == "geodesic":
-        df = df.withColumn(f"__m{i}", F.array_min(F.transform(F.col(f"__h{i}"), lambda x: x["d"])))
-        near = F.filter(F.col(f"__h{i}"), lambda x: x["d"] <= F.col(f"__m{i}") * _GEODESIC_PRUNE_RATIO + _EPS_KM)
-        df = df.withColumn(f"__s{i}", F.filter(scored(geodesic_km, near), lambda x: x["d"].isNotNull()))
-    else:
-        raise ValueError(f"unknown metric {metric!r}")
-    return df.withColumn(f"__b{i}", F.array_min(F.col(f"__s{i}")))
+    All levels live in one table keyed by one long, so a single broadcast
+    serves every probe (the planner reuses the exchange).
+    """
+    site = F.struct("lat", "lon", "k", "p").alias("site")
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                        for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    parts = []
+    for i, g in enumerate(levels):
+        cx, cy = _cells(F.col("lat"), F.col("lon"), g)
+        if g is None:
+            placed = sites.select(_cell_key(i, cx, cy).alias("key"), site)
+        else:
+            placed = sites.select(cx.alias("x0"), cy.alias("y0"), site, F.explode(offsets).alias("o")).select(
+                _cell_key(i, F.col("x0") + F.col("o.dx"), F.col("y0") + F.col("o.dy")).alias("key"), "site")
+        parts.append(placed)
+    placed = parts[0]
+    for part in parts[1:]:
+        placed = placed.unionByName(part)
+    return placed.groupBy("key").agg(F.collect_list("site").alias("cands"))
+
+
+def _scored(arr: Column, plat: Column, plon: Column, fn) -> Column:
+    """Candidates as (d, k, lat, lon, p) structs: array_min orders by d, then k."""
+    return F.transform(arr, lambda s: F.struct(
+        fn(plat, plon, s["lat"], s["lon"]).alias("d"), s["k"].alias("k"),
+        s["lat"].alias("lat"), s["lon"].alias("lon"), s["p"].alias("p")))
 
 
 def _prepare_sites(sites: DataFrame, site_id: str, site_lat: str, site_lon: str,
@@ -211,55 +214,73 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
     n_sites, auto_g = _default_cell_deg(s)
     g0 = cell_deg or auto_g
     levels = _pyramid(g0)
-    tables = [_level_table(s, g, i) for i, g in enumerate(levels)]
+    table = _level_table(s, levels)
     broadcast = n_sites <= max_broadcast_sites
+    slack = 1.0 if metric == "haversine" else 1.0 / SPHERE_TO_ELLIPSOID_SAFETY
+    if metric not in ("haversine", "geodesic"):
+        raise ValueError(f"unknown metric {metric!r}")
 
     plat = F.col(lat).cast("double")
     plon = _norm_lon(F.col(lon).cast("double"))
-    base = points.withColumns({"__plat": plat, "__plon": plon})
+    base = _spread(points).withColumns({"__plat": plat, "__plon": plon})
 
     if broadcast:
-        scored = _search_broadcast(base, tables, levels, metric)
+        found = _search_broadcast(base, table, levels, slack)
     else:
-        scored = _search_shuffled(base, tables, levels, metric)
-    return _finish(scored, site_id, site_cols, ties, distance_col, candidates_col)
+        found = _search_shuffled(base, table, levels, slack)
+    return _finish(found, metric, site_id, site_cols, ties, distance_col, candidates_col)
 
 
-def _level_keys(df: DataFrame, i: int, g: float | None, resolved: Column | None) -> DataFrame:
-    kx, ky = _cells(F.col("__plat"), F.col("__plon"), g)
-    if resolved is not None:
-        kx, ky = F.when(~resolved, kx), F.when(~resolved, ky)
-    return df.withColumns({f"__kx{i}": kx, f"__ky{i}": ky})
+def _spread(points: DataFrame) -> DataFrame:
+    """Give the CPU-bound search at least one partition per core.
 
+    Large inputs already have many more partitions than cores and are left
+    alone (no shuffle); a tiny input read as one split is spread round-robin.
+    """
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    if points.rdd.getNumPartitions() < cores:
+        return points.repartition(cores)
+    return points
 
-def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, metric: str) -> DataFrame:
-    joined = df.join(table, (df[f"__kx{i}"] == table[f"__cx{i}"]) & (df[f"__ky{i}"] == table[f"__cy{i}"]), "left")
-    joined = joined.drop(f"__kx{i}", f"__ky{i}", f"__cx{i}", f"__cy{i}")
-    joined = _score_level(joined, i, "__plat", "__plon", metric)
-    lb = _block_lower_bound(F.col("__plat"), F.col("__plon"), g)
-    return joined.withColumn(f"__ok{i}", F.coalesce(F.col(f"__b{i}")["d"] < lb, F.lit(False)))
 
+def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: float,
+           resolved: Column | None) -> DataFrame:
+    """Join level i's candidates; __b{i} = haversine-nearest, __ok{i} = answer proven.
 
-def _search_broadcast(df: DataFrame, tables: list[DataFrame], levels: list, metric: str) -> DataFrame:
+    Points already answered probe with a null key (no match, no work). The
+    level is accepted when slack * (haversine minimum) is below the lower
+    bound for everything outside the block; slack covers the ellipsoid when
+    the metric is geodesic.
+    """
+    plat, plon = F.col("__plat"), F.col("__plon")
+    kx, ky = _cells(plat, plon, g)
+    key = _cell_key(i, kx, ky)
+    if resolved is not None:
+        key = F.when(~resolved, key)
+    t = table.alias(f"__L{i}")
+    joined = df.join(t, key == F.col(f"__L{i}.key"), "left")
+    cands = F.col(f"__L{i}.cands")
+    joined = joined.select(*[df[c] for c in df.columns], cands.alias(f"__c{i}"),
+                           F.array_min(_scored(cands, plat, plon, haversine_km)).alias(f"__b{i}"))
+    lb = _block_lower_bound(plat, plon, g)
+    return joined.withColumn(f"__ok{i}", F.coalesce(F.col(f"__b{i}")["d"] * slack < lb, F.lit(False)))
+
+
+def _search_broadcast(df: DataFrame, table: DataFrame, levels: list, slack: float) -> DataFrame:
+    table = F.broadcast(table)
     resolved = None
-    for i, (g, t) in enumerate(zip(levels, tables)):
-        df = _level_keys(df, i, g, resolved)
-        df = _probe(df, F.broadcast(t), i, g, metric)
+    for i, g in enumerate(levels):
+        df = _probe(df, table, i, g, slack, resolved)
         resolved = F.col(f"__ok{i}") if resolved is None else (resolved | F.col(f"__ok{i}"))
-        df = df.withColumn(f"__r{i}", resolved)
-        resolved = F.col(f"__r{i}")
     n = len(levels)
-    return df.withColumns({
-        "__best": F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__b{i}")) for i in range(n)]),
-        "__cands": F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__s{i}")) for i in range(n)]),
-    })
-
-
-def _level_columns(i: int) -> list[str]:
-    return [f"__c{i}", f"__h{i}", f"__m{i}", f"__s{i}", f"__b{i}", f"__ok{i}"]
+    return df.select(
+        *[c for c in df.columns if not c.startswith("__") or c in ("__plat", "__plon")],
+        F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__b{i}")) for i in range(n)]).alias("__hbest"),
+        F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__c{i}")) for i in range(n)]).alias("__cands"),
+    )
 
 
-def _search_shuffled(df: DataFrame, tables: list[DataFrame], levels: list, metric: str) -> DataFrame:
+def _search_shuffled(df: DataFrame, table: DataFrame, levels: list, slack: float) -> DataFrame:
     """Same search for site tables too big to broadcast.
 
     Each level joins only the points still unresolved (a shuffled join on
@@ -270,22 +291,43 @@ def _search_shuffled(df: DataFrame, tables: list[DataFrame], levels: list, metri
     base_cols = df.columns
     done: list[DataFrame] = []
     todo = df
-    for i, (g, t) in enumerate(zip(levels, tables)):
-        probed = _probe(_level_keys(todo, i, g, None), t, i, g, metric)
-        probed = probed.select(*base_cols, F.col(f"__b{i}").alias("__best"), F.col(f"__s{i}").alias("__cands"),
+    for i, g in enumerate(levels):
+        probed = _probe(todo, table, i, g, slack, None)
+        probed = probed.select(*base_cols, F.col(f"__b{i}").alias("__hbest"), F.col(f"__c{i}").alias("__cands"),
                                F.col(f"__ok{i}").alias("__ok")).checkpoint(eager=True)
         done.append(probed.filter(F.col("__ok")).drop("__ok"))
         todo = probed.filter(~F.col("__ok")).select(*base_cols)
     # points no level could answer (no sites at all, or no coordinates)
-    out = todo.withColumns({"__best": F.lit(None).cast(done[0].schema["__best"].dataType),
+    out = todo.withColumns({"__hbest": F.lit(None).cast(done[0].schema["__hbest"].dataType),
                             "__cands": F.lit(None).cast(done[0].schema["__cands"].dataType)})
     for part in done:
         out = out.unionByName(part)
     return out
 
 
-def _finish(df: DataFrame, site_id: str, site_cols: Sequence[str], ties: bool,
+def _finish(df: DataFrame, metric: str, site_id: str, site_cols: Sequence[str], ties: bool,
             distance_col: str, candidates_col: str | None) -> DataFrame:
+    """From the answering level's candidates to the output columns.
+
+    Haversine: the search result is final. Geodesic: only sites within the
+    pruning ratio of the haversine minimum can be nearest on the ellipsoid;
+    Vincenty runs on those few.
+    """
+    plat, plon = F.col("__plat"), F.col("__plon")
+    if metric == "haversine":
+        df = df.withColumn("__best", F.col("__hbest"))
+        scored = None
+    elif metric == "geodesic":
+        near = F.filter(_scored(F.col("__cands"), plat, plon, haversine_km),
+                        lambda x: x["d"] <= F.col("__hbest")["d"] * _GEODESIC_PRUNE_RATIO + _EPS_KM)
+        df = df.withColumn("__cands", F.filter(_scored(near, plat, plon, geodesic_km), lambda x: x["d"].isNotNull()))
+        df = df.withColumn("__best", F.array_min(F.col("__cands")))
+        scored = F.col("__cands")
+    else:
+        raise ValueError(f"unknown metric {metric!r}")
+    if ties or candidates_col:
+        if scored is None:
+            df = df.withColumn("__cands", _scored(F.col("__cands"), plat, plon, haversine_km))
     if ties:
         tied = F.filter(F.col("__cands"), lambda x: x["d"] == F.col("__best")["d"])
         df = df.withColumn("__pick", F.explode_outer(tied))
