@@ -96,7 +96,8 @@ def assigned_distance(points: DataFrame, sites: DataFrame, *, by: str | Sequence
 # ---------------------------------------------------------------------------
 
 def _norm_lon(c: Column) -> Column:
-    return F.when(c >= 180.0, c - 360.0).otherwise(c)
+    """Longitude wrapped into [-180, 180)."""
+    return F.pmod(c + 180.0, F.lit(360.0)) - 180.0
 
 
 def _cells(lat: Column, lon: Column, g: float | None) -> tuple[Column, Column]:

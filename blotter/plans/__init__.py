@@ -1,0 +1,6 @@
+"""Plans: SQL twins live next to their DataFrame operators in the catalogue;
+this package holds plan inspection helpers."""
+
+from blotter.plans.inspect import physical_plan, plan_nodes
+
+__all__ = ["physical_plan", "plan_nodes"]
