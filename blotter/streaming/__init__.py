@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference computes only batch results (no readStream, watermark, window
+or state). The operators here are plain DataFrame transformations, so the
+stateless ones (loading, filters, per-record labels) also apply to a
+streaming DataFrame, but no streaming operator is provided.
+"""
