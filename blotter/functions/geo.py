@@ -1,18 +1,23 @@
-"""Distances on the Earth as native Column expressions (no Python UDF).
+"""Distances on the Earth as native expressions (no Python UDF).
 
 ``haversine_km``  great circle on a sphere of the mean Earth radius; cheap.
 ``geodesic_km``   ellipsoidal distance on WGS-84 by Vincenty's inverse
-                  method. The iteration runs as a fold (``aggregate``) over a
-                  struct state, so it is usable inside higher-order lambdas;
-                  ``with_geodesic_km`` adds the same computation as a chain of
-                  projections, which whole-stage codegen compiles.
-
-Both take latitude/longitude in degrees and return kilometres.
+                  method, as one expression: a fold (``aggregate``) over a
+                  struct state, so it also works inside higher-order lambdas.
+``with_geodesic_km`` adds the same computation as a chain of projections,
+                  which whole-stage codegen compiles (the fast form for a
+                  per-row column).
+
+Both take latitude/longitude in degrees and return kilometres. Formulas are
+kept as SQL text templates: one ``F.expr`` call builds a whole expression
+(instead of one JVM round trip per operator), and the same text runs on
+Spark and in the DuckDB oracle.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -33,169 +38,165 @@ VINCENTY_ITERATIONS = 6
 _CONVERGED = 1e-11
 
 
-def _c(x) -> Column:
-    return x if isinstance(x, Column) else F.col(x)
+def sql_double(x: float) -> str:
+    """A DOUBLE literal in both Spark SQL and DuckDB (exponent form)."""
+    if math.isinf(x):
+        return "CAST('Infinity' AS DOUBLE)" if x > 0 else "CAST('-Infinity' AS DOUBLE)"
+    r = repr(float(x))
+    return r if "e" in r else r + "E0"
 
 
-def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = MEAN_RADIUS_KM) -> Column:
-    lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
-    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
-        F.sin(F.radians(lon2 - lon1) / 2), 2
-    )
-    return F.lit(2 * radius_km) * F.asin(F.sqrt(a))
+def quote(name: str) -> str:
+    """A column name as a Spark SQL identifier."""
+    if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)*", name):
+        return name
+    return "`" + name.replace("`", "``") + "`"
 
 
-# --- Vincenty inverse, written as small steps over a dict of Columns -------
-# Each step reads only a few fields of the state, so neither the fold nor the
-# projection chain duplicates sub-trees.
-
-def _init(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> dict[str, Column]:
-    f = WGS84_F
-    u1 = F.atan(F.lit(1 - f) * F.tan(F.radians(lat1)))
-    u2 = F.atan(F.lit(1 - f) * F.tan(F.radians(lat2)))
-    big_l = F.radians(lon2 - lon1)
-    return {
-        "L": big_l,
-        "su1": F.sin(u1),
-        "cu1": F.cos(u1),
-        "su2": F.sin(u2),
-        "cu2": F.cos(u2),
-        "lam": big_l,
-        "lam_prev": F.lit(10.0),
-        "sl": F.lit(0.0),
-        "cl": F.lit(0.0),
-        "ss": F.lit(0.0),
-        "cs": F.lit(0.0),
-        "sg": F.lit(0.0),
-        "sa": F.lit(0.0),
-        "c2a": F.lit(0.0),
-        "c2sm": F.lit(0.0),
-    }
-
-
-def _step_sincos(s: dict) -> dict:
-    return {"lam_prev": s["lam"], "sl": F.sin(s["lam"]), "cl": F.cos(s["lam"])}
-
-
-def _step_sigma(s: dict) -> dict:
-    ss = F.sqrt(F.pow(s["cu2"] * s["sl"], 2) + F.pow(s["cu1"] * s["su2"] - s["su1"] * s["cu2"] * s["cl"], 2))
-    cs = s["su1"] * s["su2"] + s["cu1"] * s["cu2"] * s["cl"]
-    return {"ss": ss, "cs": cs}
-
-
-def _step_alpha(s: dict) -> dict:
-    return {
-        "sg": F.atan2(s["ss"], s["cs"]),
-        # coincident points give 0/0: null here, mapped to distance 0 at the end
-        "sa": F.try_divide(s["cu1"] * s["cu2"] * s["sl"], s["ss"]),
-    }
-
-
-def _step_cos2(s: dict) -> dict:
-    c2a = F.lit(1.0) - s["sa"] * s["sa"]
-    # equatorial lines have cos^2(alpha) = 0; then cos(2 sigma_m) is taken as 0
-    c2sm = F.coalesce(s["cs"] - F.try_divide(F.lit(2.0) * s["su1"] * s["su2"], c2a), F.lit(0.0))
-    return {"c2a": c2a, "c2sm": c2sm}
-
-
-def _step_lambda(s: dict) -> dict:
-    f = WGS84_F
-    c2a = s["c2a"]
-    big_c = F.lit(f / 16) * c2a * (F.lit(4.0) + F.lit(f) * (F.lit(4.0) - F.lit(3.0) * c2a))
-    lam = s["L"] + (F.lit(1.0) - big_c) * F.lit(f) * s["sa"] * (
-        s["sg"] + big_c * s["ss"] * (s["c2sm"] + big_c * s["cs"] * (F.lit(-1.0) + F.lit(2.0) * s["c2sm"] * s["c2sm"]))
-    )
-    return {"lam": lam}
-
-
-_STEPS: list[Callable[[dict], dict]] = [_step_sincos, _step_sigma, _step_alpha, _step_cos2, _step_lambda]
+# --- haversine --------------------------------------------------------------
 
-
-def _final(s: dict, coincident: Column) -> Column:
-    a, b = WGS84_A_KM, WGS84_B_KM
-    u2 = s["c2a"] * F.lit((a * a - b * b) / (b * b))
-    big_a = F.lit(1.0) + u2 / 16384 * (F.lit(4096.0) + u2 * (F.lit(-768.0) + u2 * (F.lit(320.0) - F.lit(175.0) * u2)))
-    big_b = u2 / 1024 * (F.lit(256.0) + u2 * (F.lit(-128.0) + u2 * (F.lit(74.0) - F.lit(47.0) * u2)))
-    c2sm, cs, ss = s["c2sm"], s["cs"], s["ss"]
-    d_sigma = big_b * ss * (
-        c2sm
-        + big_b / 4 * (cs * (F.lit(-1.0) + F.lit(2.0) * c2sm * c2sm)
-                       - big_b / 6 * c2sm * (F.lit(-3.0) + F.lit(4.0) * ss * ss) * (F.lit(-3.0) + F.lit(4.0) * c2sm * c2sm))
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = MEAN_RADIUS_KM) -> str:
+    return (
+        f"({sql_double(2 * radius_km)} * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
     )
-    dist = F.lit(b) * big_a * (s["sg"] - d_sigma)
-    converged = F.abs(s["lam"] - s["lam_prev"]) < F.lit(_CONVERGED)
-    # near-antipodal pairs where the iteration does not settle give null
-    return F.when(coincident, F.lit(0.0)).when(converged, dist)
-
 
-def _coincident(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    return (lat1 == lat2) & (lon1 == lon2)
 
+def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = MEAN_RADIUS_KM) -> Column:
+    """Great-circle distance; arguments are column names or Columns."""
+    if all(isinstance(c, str) for c in (lat1, lon1, lat2, lon2)):
+        return F.expr(haversine_sql(*map(quote, (lat1, lon1, lat2, lon2)), radius_km=radius_km))
+    lat1, lon1, lat2, lon2 = (c if isinstance(c, Column) else F.col(c) for c in (lat1, lon1, lat2, lon2))
+    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
+        F.sin(F.radians(lon2 - lon1) / 2), 2
+    )
+    return F.lit(2 * radius_km) * F.asin(F.sqrt(a))
 
-def geodesic_km(lat1, lon1, lat2, lon2, iterations: int = VINCENTY_ITERATIONS) -> Column:
-    """WGS-84 geodesic distance as one expression (a fold over a struct state)."""
-    lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
-    init = _init(lat1, lon1, lat2, lon2)
-    names = list(init)
-
-    def pack(d: dict) -> Column:
-        return F.struct(*[d[n].cast("double").alias(n) for n in names])
-
-    def merge(acc: Column, i: Column) -> Column:
-        cur = {n: acc[n] for n in names}
-        kind = i % len(_STEPS)
-        out = None
-        for k, step in enumerate(_STEPS):
-            branch = pack({**cur, **step(cur)})
-            out = F.when(kind == k, branch) if out is None else out.when(kind == k, branch)
-        return out
 
-    steps = F.sequence(F.lit(0), F.lit(iterations * len(_STEPS) - 1))
-    coincident = _coincident(lat1, lon1, lat2, lon2)
-    # the final formula runs in ``finish`` on the lambda variable: reading the
-    # state's fields there costs nothing, whereas reading them off the
-    # aggregate expression would evaluate the whole fold once per field
-    return F.aggregate(steps, pack(init), merge, lambda acc: _final({n: acc[n] for n in names}, coincident))
+# --- Vincenty inverse as SQL templates over a named state ----------------------
+# Each step reads only a few state fields, so neither the fold nor the
+# projection chain duplicates sub-trees. Placeholders: {lat1} {lon1} {lat2}
+# {lon2} for the inputs, {<field>} for state fields.
+
+_OMF = sql_double(1 - WGS84_F)
+_F = sql_double(WGS84_F)
+_F16 = sql_double(WGS84_F / 16)
+_ZERO = "CAST(0 AS DOUBLE)"
+
+VINCENTY_STATE = ("L", "su1", "cu1", "su2", "cu2", "lam", "lam_prev", "sl", "cl", "ss", "cs", "sg", "sa", "c2a",
+                  "c2sm")
+
+VINCENTY_INIT = {
+    "L": "radians({lon2} - {lon1})",
+    "su1": f"sin(atan({_OMF} * tan(radians({{lat1}}))))",
+    "cu1": f"cos(atan({_OMF} * tan(radians({{lat1}}))))",
+    "su2": f"sin(atan({_OMF} * tan(radians({{lat2}}))))",
+    "cu2": f"cos(atan({_OMF} * tan(radians({{lat2}}))))",
+    "lam": "radians({lon2} - {lon1})",
+    "lam_prev": "CAST(10 AS DOUBLE)",
+    **{n: _ZERO for n in ("sl", "cl", "ss", "cs", "sg", "sa", "c2a", "c2sm")},
+}
+
+_C = f"({_F16} * {{c2a}} * (4 + {_F} * (4 - 3 * {{c2a}})))"
+
+VINCENTY_STEPS: list[dict[str, str]] = [
+    {"lam_prev": "{lam}", "sl": "sin({lam})", "cl": "cos({lam})"},
+    {"ss": "sqrt(pow({cu2} * {sl}, 2) + pow({cu1} * {su2} - {su1} * {cu2} * {cl}, 2))",
+     "cs": "{su1} * {su2} + {cu1} * {cu2} * {cl}"},
+    # coincident points give 0/0: sin(alpha) is null, the distance is 0 at the end
+    {"sg": "atan2({ss}, {cs})", "sa": "CASE WHEN {ss} = 0 THEN NULL ELSE {cu1} * {cu2} * {sl} / {ss} END"},
+    # equatorial lines have cos^2(alpha) = 0; cos(2 sigma_m) is then taken as 0
+    {"c2a": "1 - {sa} * {sa}",
+     "c2sm": f"coalesce({{cs}} - CASE WHEN 1 - {{sa}} * {{sa}} = 0 THEN NULL"
+             f" ELSE 2 * {{su1}} * {{su2}} / (1 - {{sa}} * {{sa}}) END, {_ZERO})"},
+    {"lam": f"{{L}} + (1 - {_C}) * {_F} * {{sa}} * ({{sg}} + {_C} * {{ss}} * ({{c2sm}}"
+            f" + {_C} * {{cs}} * (-1 + 2 * {{c2sm}} * {{c2sm}})))"},
+]
+
+_U2 = f"({{c2a}} * {sql_double((WGS84_A_KM ** 2 - WGS84_B_KM ** 2) / WGS84_B_KM ** 2)})"
+_BIG_A = f"(1 + {_U2} / 16384 * (4096 + {_U2} * (-768 + {_U2} * (320 - 175 * {_U2}))))"
+_BIG_B = f"({_U2} / 1024 * (256 + {_U2} * (-128 + {_U2} * (74 - 47 * {_U2}))))"
+_D_SIGMA = (f"({_BIG_B} * {{ss}} * ({{c2sm}} + {_BIG_B} / 4 * ({{cs}} * (-1 + 2 * {{c2sm}} * {{c2sm}})"
+            f" - {_BIG_B} / 6 * {{c2sm}} * (-3 + 4 * {{ss}} * {{ss}}) * (-3 + 4 * {{c2sm}} * {{c2sm}}))))")
+# near-antipodal pairs where the iteration does not settle give null
+VINCENTY_FINAL = (f"CASE WHEN {{lat1}} = {{lat2}} AND {{lon1}} = {{lon2}} THEN {_ZERO}"
+                  f" WHEN abs({{lam}} - {{lam_prev}}) < {sql_double(_CONVERGED)}"
+                  f" THEN {sql_double(WGS84_B_KM)} * {_BIG_A} * ({{sg}} - {_D_SIGMA}) END")
+
+
+def _fill(template: str, names: dict[str, str]) -> str:
+    return template.format(**names)
+
+
+def geodesic_sql(lat1: str, lon1: str, lat2: str, lon2: str, iterations: int = VINCENTY_ITERATIONS,
+                 acc: str = "__va", idx: str = "__vi") -> str:
+    """One SQL expression: aggregate(sequence, initial state, step, final formula)."""
+    inputs = {"lat1": lat1, "lon1": lon1, "lat2": lat2, "lon2": lon2}
+    on_acc = {**inputs, **{n: f"{acc}.{n}" for n in VINCENTY_STATE}}
+
+    def pack(values: dict[str, str], cast: bool = False) -> str:
+        parts = (f"CAST({values[n]} AS DOUBLE)" if cast else values[n] for n in VINCENTY_STATE)
+        return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(VINCENTY_STATE, parts)) + ")"
+
+    init = pack({n: _fill(VINCENTY_INIT[n], inputs) for n in VINCENTY_STATE}, cast=True)
+    arms = []
+    for k, step in enumerate(VINCENTY_STEPS):
+        values = {n: f"{acc}.{n}" for n in VINCENTY_STATE}
+        values.update({n: _fill(t, on_acc) for n, t in step.items()})
+        arms.append(f"WHEN {k} THEN {pack(values)}")
+    merge = f"({acc}, {idx}) -> CASE {idx} % {len(VINCENTY_STEPS)} {' '.join(arms)} END"
+    final = f"{acc} -> {_fill(VINCENTY_FINAL, on_acc)}"
+    return f"aggregate(sequence(0, {iterations * len(VINCENTY_STEPS) - 1}), {init}, {merge}, {final})"
+
+
+def geodesic_km(lat1: str, lon1: str, lat2: str, lon2: str, iterations: int = VINCENTY_ITERATIONS) -> Column:
+    """WGS-84 geodesic distance as one expression; arguments are column names."""
+    return F.expr(geodesic_sql(*map(quote, (lat1, lon1, lat2, lon2)), iterations=iterations))
 
 
 def with_geodesic_km(df: DataFrame, out: str, lat1: str, lon1: str, lat2: str, lon2: str,
                      iterations: int = VINCENTY_ITERATIONS) -> DataFrame:
     """Add ``out`` = WGS-84 geodesic distance, one projection per step (codegen-friendly)."""
-    cols = {n: F.col(c) for n, c in (("lat1", lat1), ("lon1", lon1), ("lat2", lat2), ("lon2", lon2))}
-    state = _init(cols["lat1"], cols["lon1"], cols["lat2"], cols["lon2"])
-    prefix = f"__vin_{out}_"
-    df = df.withColumns({prefix + n: c for n, c in state.items()})
-    ref = {n: F.col(prefix + n) for n in state}
+    prefix = f"__vin_{re.sub(r'[^A-Za-z0-9_]', '_', out)}_"
+    inputs = {"lat1": quote(lat1), "lon1": quote(lon1), "lat2": quote(lat2), "lon2": quote(lon2)}
+    names = {**inputs, **{n: prefix + n for n in VINCENTY_STATE}}
+    df = df.withColumns({prefix + n: F.expr(_fill(VINCENTY_INIT[n], inputs)).cast("double") for n in VINCENTY_STATE})
     for _ in range(iterations):
-        for step in _STEPS:
-            df = df.withColumns({prefix + n: c for n, c in step(ref).items()})
-    df = df.withColumn(out, _final(ref, _coincident(cols["lat1"], cols["lon1"], cols["lat2"], cols["lon2"])))
-    return df.drop(*[prefix + n for n in state])
+        for step in VINCENTY_STEPS:
+            df = df.withColumns({prefix + n: F.expr(_fill(t, names)) for n, t in step.items()})
+    df = df.withColumn(out, F.expr(_fill(VINCENTY_FINAL, names)))
+    return df.drop(*[prefix + n for n in VINCENTY_STATE])
 
 
-def distance_km(metric: str) -> Callable[..., Column]:
+def distance_sql(metric: str) -> Callable[..., str]:
     if metric == "haversine":
-        return haversine_km
+        return haversine_sql
     if metric == "geodesic":
-        return geodesic_km
+        return geodesic_sql
     raise ValueError(f"unknown metric {metric!r}: use 'haversine' or 'geodesic'")
 
 
-# --- lower bounds used by the nearest-facility search ----------------------
-
-def meridian_gap_lower_km(lat: Column, dlat_deg: Column) -> Column:
-    """Lower bound (km) to reach a latitude ``dlat_deg`` degrees away."""
-    return F.lit(MEAN_RADIUS_KM * math.pi / 180 * SPHERE_TO_ELLIPSOID_SAFETY) * dlat_deg
+# --- lower bound used by the nearest-facility search --------------------------
 
+def block_lower_bound_sql(lat: str, lon: str, g: float) -> str:
+    """Lower bound (km) from a point to anything outside its 3x3 block of g-degree cells.
 
-def parallel_gap_lower_km(lat: Column, dlon_deg: Column) -> Column:
-    """Lower bound (km) from a point to the meridian ``dlon_deg`` degrees east or west.
-
-    On the sphere the distance to a meridian at longitude offset d is
-    R * asin(cos(lat) * sin(d)) for d <= 90 degrees; offsets beyond 90
-    degrees are clamped, which keeps it a lower bound.
+    Latitude: the meridian arc to the block's north/south edge (none beyond a
+    pole). Longitude: on the sphere the distance to a meridian at offset d is
+    R * asin(cos(lat) * sin(d)) for d <= 90 degrees (clamped beyond); the
+    block's edges are clipped at the antimeridian, and a block spanning all
+    longitudes has no such bound. Scaled by SPHERE_TO_ELLIPSOID_SAFETY so it
+    also bounds the ellipsoidal distance.
     """
-    d = F.least(dlon_deg, F.lit(90.0))
-    return F.lit(MEAN_RADIUS_KM * SPHERE_TO_ELLIPSOID_SAFETY) * F.asin(
-        F.least(F.lit(1.0), F.cos(F.radians(lat)) * F.sin(F.radians(d)))
-    )
+    gs, inf = sql_double(g), sql_double(math.inf)
+    cx, cy = f"floor(({lon} + 180) / {gs})", f"floor(({lat} + 90) / {gs})"
+    west, east = f"(({cx} - 1) * {gs} - 180)", f"(({cx} + 2) * {gs} - 180)"
+    south, north = f"(({cy} - 1) * {gs} - 90)", f"(({cy} + 2) * {gs} - 90)"
+    per_deg = sql_double(MEAN_RADIUS_KM * math.pi / 180 * SPHERE_TO_ELLIPSOID_SAFETY)
+    radius = sql_double(MEAN_RADIUS_KM * SPHERE_TO_ELLIPSOID_SAFETY)
+    gap_n = f"CASE WHEN {north} > 90 THEN {inf} ELSE {per_deg} * ({north} - {lat}) END"
+    gap_s = f"CASE WHEN {south} <= -90 THEN {inf} ELSE {per_deg} * ({lat} - {south}) END"
+    d_lon = f"least({lon} - greatest({west}, -180), least({east}, 180) - {lon})"
+    gap_lon = (f"CASE WHEN {west} <= -180 AND {east} >= 180 THEN {inf}"
+               f" ELSE {radius} * asin(least(1, cos(radians({lat})) * sin(radians(least({d_lon}, 90))))) END")
+    return f"least({gap_n}, {gap_s}, {gap_lon})"

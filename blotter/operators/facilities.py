@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 
 from blotter.functions.geo import (
     SPHERE_TO_ELLIPSOID_SAFETY,
-    geodesic_km,
+    block_lower_bound_sql,
+    geodesic_sql,
     haversine_km,
-    meridian_gap_lower_km,
-    parallel_gap_lower_km,
+    haversine_sql,
+    sql_double,
     with_geodesic_km,
 )
 from blotter.operators.joins import key_spellings_join, row_count_at_most
@@ -115,20 +116,6 @@ def _cell_key(level: int, cx: Column, cy: Column) -> Column:
     return (F.lit(level).cast("long") * _AXIS + cx) * _AXIS + cy
 
 
-def _block_lower_bound(lat: Column, lon: Column, g: float | None) -> Column:
-    """Lower bound (km) from the point to any site outside its 3x3 block."""
-    if g is None:
-        return F.lit(_INF)
-    cx, cy = _cells(lat, lon, g)
-    west, east = (cx - 1) * g - 180.0, (cx + 2) * g - 180.0
-    south, north = (cy - 1) * g - 90.0, (cy + 2) * g - 90.0
-    lat_gap_n = F.when(north > 90.0, F.lit(_INF)).otherwise(meridian_gap_lower_km(lat, north - lat))
-    lat_gap_s = F.when(south <= -90.0, F.lit(_INF)).otherwise(meridian_gap_lower_km(lat, lat - south))
-    d_lon = F.least(lon - F.greatest(west, F.lit(-180.0)), F.least(east, F.lit(180.0)) - lon)
-    lon_gap = F.when((west <= -180.0) & (east >= 180.0), F.lit(_INF)).otherwise(parallel_gap_lower_km(lat, d_lon))
-    return F.least(lat_gap_n, lat_gap_s, lon_gap)
-
-
 def _pyramid(g0: float, factor: float = 8.0) -> list[float | None]:
     levels: list[float | None] = []
     g = g0
@@ -163,11 +150,17 @@ def _level_table(sites: DataFrame, levels: list[float | None]) -> DataFrame:
     return placed.groupBy("key").agg(F.collect_list("site").alias("cands"))
 
 
-def _scored(arr: Column, plat: Column, plon: Column, fn) -> Column:
+def _scored_sql(arr: str, metric: str) -> str:
     """Candidates as (d, k, lat, lon, p) structs: array_min orders by d, then k."""
-    return F.transform(arr, lambda s: F.struct(
-        fn(plat, plon, s["lat"], s["lon"]).alias("d"), s["k"].alias("k"),
-        s["lat"].alias("lat"), s["lon"].alias("lon"), s["p"].alias("p")))
+    dist = (haversine_sql if metric == "haversine" else geodesic_sql)("__plat", "__plon", "__s.lat", "__s.lon")
+    return (f"transform({arr}, __s -> named_struct('d', {dist}, 'k', __s.k, 'lat', __s.lat,"
+            f" 'lon', __s.lon, 'p', __s.p))")
+
+
+def _cell_key_sql(i: int, g: float | None) -> str:
+    gs = sql_double(1e12 if g is None else g)
+    return (f"((CAST({i} AS BIGINT) * {_AXIS} + floor((__plon + 180) / {gs})) * {_AXIS}"
+            f" + floor((__plat + 90) / {gs}))")
 
 
 def _prepare_sites(sites: DataFrame, site_id: str, site_lat: str, site_lon: str,
@@ -245,7 +238,7 @@ def _spread(points: DataFrame) -> DataFrame:
 
 
 def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: float,
-           resolved: Column | None) -> DataFrame:
+           resolved: str | None) -> DataFrame:
     """Join level i's candidates; __b{i} = haversine-nearest, __ok{i} = answer proven.
 
     Points already answered probe with a null key (no match, no work). The
@@ -253,18 +246,15 @@ def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: floa
     bound for everything outside the block; slack covers the ellipsoid when
     the metric is geodesic.
     """
-    plat, plon = F.col("__plat"), F.col("__plon")
-    kx, ky = _cells(plat, plon, g)
-    key = _cell_key(i, kx, ky)
+    key = _cell_key_sql(i, g)
     if resolved is not None:
-        key = F.when(~resolved, key)
+        key = f"CASE WHEN NOT ({resolved}) THEN {key} END"
     t = table.alias(f"__L{i}")
-    joined = df.join(t, key == F.col(f"__L{i}.key"), "left")
-    cands = F.col(f"__L{i}.cands")
-    joined = joined.select(*[df[c] for c in df.columns], cands.alias(f"__c{i}"),
-                           F.array_min(_scored(cands, plat, plon, haversine_km)).alias(f"__b{i}"))
-    lb = _block_lower_bound(plat, plon, g)
-    return joined.withColumn(f"__ok{i}", F.coalesce(F.col(f"__b{i}")["d"] * slack < lb, F.lit(False)))
+    joined = df.join(t, F.expr(key) == F.col(f"__L{i}.key"), "left")
+    joined = joined.select(*[df[c] for c in df.columns], F.col(f"__L{i}.cands").alias(f"__c{i}"),
+                           F.expr(f"array_min({_scored_sql(f'__L{i}.cands', 'haversine')})").alias(f"__b{i}"))
+    lb = sql_double(math.inf) if g is None else block_lower_bound_sql("__plat", "__plon", g)
+    return joined.withColumn(f"__ok{i}", F.expr(f"coalesce(__b{i}.d * {sql_double(slack)} < {lb}, false)"))
 
 
 def _search_broadcast(df: DataFrame, table: DataFrame, levels: list, slack: float) -> DataFrame:
@@ -272,7 +262,7 @@ def _search_broadcast(df: DataFrame, table: DataFrame, levels: list, slack: floa
     resolved = None
     for i, g in enumerate(levels):
         df = _probe(df, table, i, g, slack, resolved)
-        resolved = F.col(f"__ok{i}") if resolved is None else (resolved | F.col(f"__ok{i}"))
+        resolved = f"__ok{i}" if resolved is None else f"{resolved} OR __ok{i}"
     n = len(levels)
     return df.select(
         *[c for c in df.columns if not c.startswith("__") or c in ("__plat", "__plon")],
@@ -314,24 +304,17 @@ def _finish(df: DataFrame, metric: str, site_id: str, site_cols: Sequence[str],
     pruning ratio of the haversine minimum can be nearest on the ellipsoid;
     Vincenty runs on those few.
     """
-    plat, plon = F.col("__plat"), F.col("__plon")
     if metric == "haversine":
         df = df.withColumn("__best", F.col("__hbest"))
-        scored = None
-    elif metric == "geodesic":
-        near = F.filter(_scored(F.col("__cands"), plat, plon, haversine_km),
-                        lambda x: x["d"] <= F.col("__hbest")["d"] * _GEODESIC_PRUNE_RATIO + _EPS_KM)
-        df = df.withColumn("__cands", F.filter(_scored(near, plat, plon, geodesic_km), lambda x: x["d"].isNotNull()))
-        df = df.withColumn("__best", F.array_min(F.col("__cands")))
-        scored = F.col("__cands")
+        if ties or candidates_col:
+            df = df.withColumn("__cands", F.expr(_scored_sql("__cands", "haversine")))
     else:
-        raise ValueError(f"unknown metric {metric!r}")
-    if ties or candidates_col:
-        if scored is None:
-            df = df.withColumn("__cands", _scored(F.col("__cands"), plat, plon, haversine_km))
+        bound = f"__hbest.d * {sql_double(_GEODESIC_PRUNE_RATIO)} + {sql_double(_EPS_KM)}"
+        near = f"filter({_scored_sql('__cands', 'haversine')}, __x -> __x.d <= {bound})"
+        df = df.withColumn("__cands", F.expr(f"filter({_scored_sql(near, 'geodesic')}, __x -> __x.d IS NOT NULL)"))
+        df = df.withColumn("__best", F.array_min(F.col("__cands")))
     if ties:
-        tied = F.filter(F.col("__cands"), lambda x: x["d"] == F.col("__best")["d"])
-        df = df.withColumn("__pick", F.explode_outer(tied))
+        df = df.withColumn("__pick", F.explode_outer(F.expr("filter(__cands, __x -> __x.d = __best.d)")))
     else:
         df = df.withColumn("__pick", F.col("__best"))
     out = {site_id: F.col("__pick")["k"], distance_col: F.col("__pick")["d"]}

@@ -9,7 +9,14 @@ straightforward all-pairs form, which is fine for a small check.
 
 from __future__ import annotations
 
-from blotter.functions.geo import MEAN_RADIUS_KM, VINCENTY_ITERATIONS, WGS84_A_KM, WGS84_B_KM, WGS84_F
+from blotter.functions.geo import (
+    VINCENTY_FINAL,
+    VINCENTY_INIT,
+    VINCENTY_ITERATIONS,
+    VINCENTY_STATE,
+    VINCENTY_STEPS,
+    haversine_sql,
+)
 from blotter.functions.labels import label_case_sql
 
 TOP_K = 3
@@ -84,53 +91,20 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (
-        f"({2 * MEAN_RADIUS_KM!r} * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
-        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
-    )
-
-
 def vincenty_ctes(src: str, lat1: str, lon1: str, lat2: str, lon2: str, out: str = "distance_km",
                   prefix: str = "v", iterations: int = VINCENTY_ITERATIONS) -> tuple[list[str], str]:
     """Vincenty's inverse method as a chain of CTEs over ``src`` (one per step)."""
-    f = repr(WGS84_F)
-    a, b = WGS84_A_KM, WGS84_B_KM
-    ctes = [f"""{prefix}0 AS (
-  SELECT *, radians({lon2} - {lon1}) AS v_l,
-         sin(atan((1 - {f}) * tan(radians({lat1})))) AS v_su1, cos(atan((1 - {f}) * tan(radians({lat1})))) AS v_cu1,
-         sin(atan((1 - {f}) * tan(radians({lat2})))) AS v_su2, cos(atan((1 - {f}) * tan(radians({lat2})))) AS v_cu2,
-         radians({lon2} - {lon1}) AS v_lam, 10.0::DOUBLE AS v_lam_prev,
-         0.0::DOUBLE AS v_sl, 0.0::DOUBLE AS v_cl, 0.0::DOUBLE AS v_ss, 0.0::DOUBLE AS v_cs, 0.0::DOUBLE AS v_sg,
-         0.0::DOUBLE AS v_sa, 0.0::DOUBLE AS v_c2a, 0.0::DOUBLE AS v_c2sm
-  FROM {src})"""]
-    steps = [
-        "v_lam AS v_lam_prev, sin(v_lam) AS v_sl, cos(v_lam) AS v_cl",
-        "sqrt(pow(v_cu2 * v_sl, 2) + pow(v_cu1 * v_su2 - v_su1 * v_cu2 * v_cl, 2)) AS v_ss,"
-        " v_su1 * v_su2 + v_cu1 * v_cu2 * v_cl AS v_cs",
-        "atan2(v_ss, v_cs) AS v_sg, CASE WHEN v_ss = 0 THEN NULL ELSE v_cu1 * v_cu2 * v_sl / v_ss END AS v_sa",
-        "1 - v_sa * v_sa AS v_c2a,"
-        " coalesce(v_cs - CASE WHEN 1 - v_sa * v_sa = 0 THEN NULL ELSE 2 * v_su1 * v_su2 / (1 - v_sa * v_sa) END,"
-        " 0.0) AS v_c2sm",
-        f"v_l + (1 - ({f} / 16 * v_c2a * (4 + {f} * (4 - 3 * v_c2a)))) * {f} * v_sa * (v_sg"
-        f" + ({f} / 16 * v_c2a * (4 + {f} * (4 - 3 * v_c2a))) * v_ss * (v_c2sm"
-        f" + ({f} / 16 * v_c2a * (4 + {f} * (4 - 3 * v_c2a))) * v_cs * (-1 + 2 * v_c2sm * v_c2sm))) AS v_lam",
-    ]
-    n = 0
+    inputs = {"lat1": lat1, "lon1": lon1, "lat2": lat2, "lon2": lon2}
+    names = {**inputs, **{n: f"v_{n}" for n in VINCENTY_STATE}}
+    init = ", ".join(f"CAST({VINCENTY_INIT[n].format(**inputs)} AS DOUBLE) AS v_{n}" for n in VINCENTY_STATE)
+    ctes = [f"{prefix}0 AS (SELECT *, {init} FROM {src})"]
+    k = 0
     for _ in range(iterations):
-        for step in steps:
-            ctes.append(f"{prefix}{n + 1} AS (SELECT * REPLACE ({step}) FROM {prefix}{n})")
-            n += 1
-    u2 = f"(v_c2a * {(a * a - b * b) / (b * b)!r})"
-    big_a = f"(1 + {u2} / 16384 * (4096 + {u2} * (-768 + {u2} * (320 - 175 * {u2}))))"
-    big_b = f"({u2} / 1024 * (256 + {u2} * (-128 + {u2} * (74 - 47 * {u2}))))"
-    d_sigma = (f"({big_b} * v_ss * (v_c2sm + {big_b} / 4 * (v_cs * (-1 + 2 * v_c2sm * v_c2sm)"
-               f" - {big_b} / 6 * v_c2sm * (-3 + 4 * v_ss * v_ss) * (-3 + 4 * v_c2sm * v_c2sm))))")
-    final = f"""{prefix}_out AS (
-  SELECT *, CASE WHEN {lat1} = {lat2} AND {lon1} = {lon2} THEN 0.0
-                 WHEN abs(v_lam - v_lam_prev) < 1e-11 THEN {b!r} * {big_a} * (v_sg - {d_sigma}) END AS {out}
-  FROM {prefix}{n})"""
-    ctes.append(final)
+        for step in VINCENTY_STEPS:
+            repl = ", ".join(f"{t.format(**names)} AS v_{n}" for n, t in step.items())
+            ctes.append(f"{prefix}{k + 1} AS (SELECT * REPLACE ({repl}) FROM {prefix}{k})")
+            k += 1
+    ctes.append(f"{prefix}_out AS (SELECT *, {VINCENTY_FINAL.format(**names)} AS {out} FROM {prefix}{k})")
     return ctes, f"{prefix}_out"
 
 
