@@ -37,6 +37,7 @@ from blotter.functions.geo import (
     with_geodesic_km,
 )
 from blotter.operators.joins import key_spellings_join, row_count_at_most
+from blotter.operators.layout import spread_for_cpu
 from blotter.session import shared_dir
 
 # Sites per broadcast: each of ~9 pyramid levels holds every site about 9
@@ -86,7 +87,7 @@ def assigned_distance(points: DataFrame, sites: DataFrame, *, by: str | Sequence
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Per group: joined rows and the mean distance to the assigned site."""
     by = [by] if isinstance(by, str) else list(by)
-    joined = assign_sites(points, sites, point_key=point_key, site_key=site_key, pad=pad,
+    joined = assign_sites(spread_for_cpu(points), sites, point_key=point_key, site_key=site_key, pad=pad,
                           max_broadcast_rows=max_broadcast_rows)
     with_d = _distance_column(joined, "__distance", lat, lon, site_lat, site_lon, metric)
     return with_d.groupBy(*by).agg(F.count(F.lit(1)).alias(count_col), F.avg("__distance").alias(avg_col))
@@ -216,7 +217,7 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
 
     plat = F.col(lat).cast("double")
     plon = _norm_lon(F.col(lon).cast("double"))
-    base = _spread(points).withColumns({"__plat": plat, "__plon": plon})
+    base = spread_for_cpu(points).withColumns({"__plat": plat, "__plon": plon})
 
     if broadcast:
         found = _search_broadcast(base, table, levels, slack)
@@ -225,18 +226,6 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
     return _finish(found, metric, site_id, site_cols, ties, distance_col, candidates_col)
 
 
-def _spread(points: DataFrame) -> DataFrame:
-    """Give the CPU-bound search at least one partition per core.
-
-    Large inputs already have many more partitions than cores and are left
-    alone (no shuffle); a tiny input read as one split is spread round-robin.
-    """
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() < cores:
-        return points.repartition(cores)
-    return points
-
-
 def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: float,
            resolved: str | None) -> DataFrame:
     """Join level i's candidates; __b{i} = haversine-nearest, __ok{i} = answer proven.

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.clean import zip_prefix
 from blotter.functions.labels import code_to_label
+from blotter.session import shared_dir
 
 
 def zone_incomes(income: DataFrame, zone_col: str = "zip", income_col: str = "income") -> DataFrame:
@@ -60,7 +61,8 @@ def extreme_zone_counts(facts: DataFrame, geocode: DataFrame, income: DataFrame,
                         lat: str = "lat", lon: str = "lon", category: str = "victim_code",
                         zone_col: str = "zip", income_col: str = "income", zip_key: str = "raw",
                         label: Callable[[Column], Column] = code_to_label, label_col: str = "victim_descent",
-                        count_col: str = "crime_total", dedupe_geocode: bool = False) -> DataFrame:
+                        count_col: str = "crime_total", dedupe_geocode: bool = False,
+                        materialize: bool = True) -> DataFrame:
     """Facts per category in the ``k`` richest and ``k`` poorest zones.
 
     Output: ``side`` ('highest' | 'lowest'), the category code, its label and
@@ -68,9 +70,16 @@ def extreme_zone_counts(facts: DataFrame, geocode: DataFrame, income: DataFrame,
     located fact and have an income compete for the extremes. One pass over
     the facts serves both sides: the 2k extreme zones form a table of proven
     size that is broadcast into the final join.
+
+    The per-zone counts feed both the choice of zones and the final counts;
+    with ``materialize`` they are computed once and checkpointed to the
+    shared folder (reliable, lineage cut), so the facts are scanned once.
     """
     per_zone = facts_per_zone(facts, geocode, lat=lat, lon=lon, category=category, zone_col=zone_col,
                               zip_key=zip_key, dedupe_geocode=dedupe_geocode)
+    if materialize:
+        shared_dir(per_zone.sparkSession)
+        per_zone = per_zone.checkpoint(eager=True)
     incomes = zone_incomes(income, zone_col, income_col)
     relevant = incomes.join(per_zone.select(zone_col), zone_col, "left_semi")
     extremes = extreme_zones(relevant, k, zone_col, income_col).select(zone_col, "side")
