@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType
 from blotter.functions.clean import clean_money, zip_prefix
 from blotter.functions.geo import haversine_km, with_geodesic_km
 from blotter.functions.labels import code_to_label, label_case_sql
-from blotter.functions.timeparts import daypart, format_us_timestamp, parse_us_timestamp, year_range
+from blotter.functions.timeparts import format_us_timestamp, parse_us_timestamp, year_range
 from blotter.operators.dayparts import daypart_counts, hour_prefix_counts, reduce_by_key
 from blotter.operators.facilities import assign_sites, assigned_distance, nearest_distance, nearest_facility
 from blotter.operators.joins import key_spellings_join, union_of_equi_joins, with_join_hint
