@@ -24,6 +24,27 @@ RECOMMENDED_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the input volume.
+
+    Scan splits and shuffle partitions target ``target_partition_bytes`` so
+    that a task's working set fits in executor memory without spilling;
+    AQE starts from that many shuffle partitions (never fewer than 2x the
+    cores) and coalesces small ones at run time. For 100 TB on 1000
+    executors x 8 cores this gives ~800k initial shuffle partitions.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "blotter") -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
@@ -72,4 +93,4 @@ def is_local_master(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["RECOMMENDED_CONF", "build_session", "shared_dir", "scratch_path", "local_path", "is_local_master"]
+__all__ = ["RECOMMENDED_CONF", "scale_conf", "build_session", "shared_dir", "scratch_path", "local_path", "is_local_master"]
