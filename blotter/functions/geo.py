@@ -177,9 +177,10 @@ def with_geodesic_km(df: DataFrame, out: str, lat1: str, lon1: str, lat2: str, l
     inputs = {"lat1": quote(lat1), "lon1": quote(lon1), "lat2": quote(lat2), "lon2": quote(lon2)}
     names = {**inputs, **{n: prefix + n for n in VINCENTY_STATE}}
     df = df.withColumns({prefix + n: F.expr(_fill(VINCENTY_INIT[n], inputs)).cast("double") for n in VINCENTY_STATE})
-    step = {prefix + n: e for n, e in _iteration_sql(names).items()}
+    # parsed once; the same unresolved columns bind to each new projection
+    step = {prefix + n: F.expr(e) for n, e in _iteration_sql(names).items()}
     for _ in range(iterations):
-        df = df.withColumns({n: F.expr(e) for n, e in step.items()})
+        df = df.withColumns(step)
     df = df.withColumn(out, F.expr(_fill(VINCENTY_FINAL, names)))
     return df.drop(*[prefix + n for n in VINCENTY_STATE])
 
