@@ -151,6 +151,26 @@ def _level_table(sites: DataFrame, levels: list[float | None]) -> DataFrame:
     return placed.groupBy("key").agg(F.collect_list("site").alias("cands"))
 
 
+def _level_rows(sites: DataFrame, levels: list[float | None]) -> DataFrame:
+    """(key, lat, lon, k, p) rows: each site once per cell whose 3x3 block holds it."""
+    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                        for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    parts = []
+    for i, g in enumerate(levels):
+        cx, cy = _cells(F.col("lat"), F.col("lon"), g)
+        if g is None:
+            parts.append(sites.select(_cell_key(i, cx, cy).alias("__key"), "lat", "lon", "k", "p"))
+        else:
+            parts.append(sites.select(cx.alias("x0"), cy.alias("y0"), "lat", "lon", "k", "p",
+                                      F.explode(offsets).alias("o")).select(
+                _cell_key(i, F.col("x0") + F.col("o.dx"), F.col("y0") + F.col("o.dy")).alias("__key"),
+                "lat", "lon", "k", "p"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def _scored_sql(arr: str, metric: str) -> str:
     """Candidates as (d, k, lat, lon, p) structs: array_min orders by d, then k."""
     dist = (haversine_sql if metric == "haversine" else geodesic_sql)("__plat", "__plon", "__s.lat", "__s.lon")
@@ -209,8 +229,8 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
     n_sites, auto_g = _default_cell_deg(s)
     g0 = cell_deg or auto_g
     levels = _pyramid(g0)
-    table = _level_table(s, levels)
     broadcast = n_sites <= max_broadcast_sites
+    table = _level_table(s, levels) if broadcast else None
     slack = 1.0 if metric == "haversine" else 1.0 / SPHERE_TO_ELLIPSOID_SAFETY
     if metric not in ("haversine", "geodesic"):
         raise ValueError(f"unknown metric {metric!r}")
@@ -221,9 +241,9 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
 
     if broadcast:
         found = _search_broadcast(base, table, levels, slack)
-    else:
-        found = _search_shuffled(base, table, levels, slack)
-    return _finish(found, metric, site_id, site_cols, ties, distance_col, candidates_col)
+        return _finish(found, metric, site_id, site_cols, ties, distance_col, candidates_col)
+    return _search_rows(points.withColumns({"__plat": plat, "__plon": plon}), _level_rows(s, levels), levels,
+                        metric, slack, ties, site_id, site_cols, distance_col)
 
 
 def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: float,
@@ -260,29 +280,56 @@ def _search_broadcast(df: DataFrame, table: DataFrame, levels: list, slack: floa
     )
 
 
-def _search_shuffled(df: DataFrame, table: DataFrame, levels: list, slack: float) -> DataFrame:
-    """Same search for site tables too big to broadcast.
+def _search_rows(points: DataFrame, site_rows: DataFrame, levels: list, metric: str, slack: float, ties: bool,
+                 site_id: str, site_cols: Sequence[str], distance_col: str) -> DataFrame:
+    """The same exact search for site tables too big to broadcast, on rows.
 
-    Each level joins only the points still unresolved (a shuffled join on
-    the cell key; AQE splits hot cells) and is checkpointed to the shared
-    folder, so later levels neither recompute it nor depend on its lineage.
+    Points get a stable id (checkpointed to the shared folder). At each
+    level the points still unresolved meet the (cell, site) rows of their
+    block in a shuffled equi-join (AQE splits hot cells); each point keeps
+    its minimum with map-side combine, and the accepted points leave the
+    search. No candidate list is ever gathered into one row. For the
+    geodesic metric the few candidates within the pruning ratio are scored
+    with the compiled Vincenty projections.
     """
-    shared_dir(df.sparkSession)
-    base_cols = df.columns
-    done: list[DataFrame] = []
-    todo = df
+    shared_dir(points.sparkSession)
+    pts = points.withColumn("__pid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    todo = pts.select("__pid", "__plat", "__plon")
+    picked: list[DataFrame] = []
     for i, g in enumerate(levels):
-        probed = _probe(todo, table, i, g, slack, None)
-        probed = probed.select(*base_cols, F.col(f"__b{i}").alias("__hbest"), F.col(f"__c{i}").alias("__cands"),
-                               F.col(f"__ok{i}").alias("__ok")).checkpoint(eager=True)
-        done.append(probed.filter(F.col("__ok")).drop("__ok"))
-        todo = probed.filter(~F.col("__ok")).select(*base_cols)
-    # points no level could answer (no sites at all, or no coordinates)
-    out = todo.withColumns({"__hbest": F.lit(None).cast(done[0].schema["__hbest"].dataType),
-                            "__cands": F.lit(None).cast(done[0].schema["__cands"].dataType)})
-    for part in done:
-        out = out.unionByName(part)
-    return out
+        keyed = todo.withColumn("__key", F.expr(_cell_key_sql(i, g)))
+        cand = keyed.join(site_rows, "__key").withColumn(
+            "d", F.expr(haversine_sql("__plat", "__plon", "lat", "lon")))
+        best = cand.groupBy("__pid").agg(F.min(F.struct("d", "k")).alias("__hb"),
+                                         F.first("__plat").alias("__plat"), F.first("__plon").alias("__plon"))
+        lb = sql_double(math.inf) if g is None else block_lower_bound_sql("__plat", "__plon", g)
+        accepted = best.filter(F.expr(f"__hb.d * {sql_double(slack)} < {lb}")).select(
+            "__pid", F.col("__hb.d").alias("__hd")).checkpoint(eager=True)
+        if metric == "haversine":
+            keep = F.col("d") <= F.col("__hd")
+        else:
+            keep = F.col("d") <= F.col("__hd") * _GEODESIC_PRUNE_RATIO + _EPS_KM
+        picked.append(cand.join(accepted, "__pid").filter(keep).select("__pid", "d", "lat", "lon", "k", "p"))
+        todo = todo.join(accepted.select("__pid"), "__pid", "left_anti").checkpoint(eager=True)
+    near = picked[0]
+    for part in picked[1:]:
+        near = near.unionByName(part)
+    if metric == "geodesic":
+        near = near.join(pts.select("__pid", "__plat", "__plon"), "__pid").select(
+            "__pid", F.expr(geodesic_sql("__plat", "__plon", "lat", "lon")).alias("d"), "lat", "lon", "k", "p"
+        ).filter(F.col("d").isNotNull())
+    top = near.groupBy("__pid").agg(F.min(F.struct("d", "k", "p")).alias("__m"))
+    if ties:
+        chosen = near.join(top.select("__pid", F.col("__m.d").alias("__md")), "__pid").filter(
+            F.col("d") == F.col("__md")).select("__pid", "d", "k", "p")
+    else:
+        chosen = top.select("__pid", F.col("__m.d").alias("d"), F.col("__m.k").alias("k"), F.col("__m.p").alias("p"))
+    out = pts.join(chosen, "__pid", "left")
+    cols = {site_id: F.col("k"), distance_col: F.col("d")}
+    for c in site_cols:
+        cols[c] = F.col("p")[c]
+    out = out.withColumns(cols).drop("k", "d", "p")
+    return out.drop(*[c for c in out.columns if c.startswith("__")])
 
 
 def _finish(df: DataFrame, metric: str, site_id: str, site_cols: Sequence[str], ties: bool,

@@ -152,18 +152,20 @@ def test_extreme_zones_prefix_zip(spark, zone_inputs):
 
 # --- facilities (F4) -------------------------------------------------------
 
-def test_nearest_tie_broken_by_site_id(spark):
+@pytest.mark.parametrize("max_sites", [20000, 0])
+def test_nearest_tie_broken_by_site_id(spark, max_sites):
     pts = spark.createDataFrame([(1, 34.0, -118.0)], "incident_id long, lat double, lon double")
     sites = spark.createDataFrame(
         [(7, "B", 34.1, -118.0), (3, "A", 33.9, -118.0), (9, "C", 35.0, -118.0)],
         "site_id long, division string, y double, x double")
     # on the sphere 0.1 degree north and south are exactly as far: a tie
-    one = nearest_facility(pts, sites, site_cols=("division",), metric="haversine").collect()
+    one = nearest_facility(pts, sites, site_cols=("division",), metric="haversine",
+                           max_broadcast_sites=max_sites).collect()
     assert [(r["site_id"], r["division"]) for r in one] == [(3, "A")]
-    both = nearest_facility(pts, sites, metric="haversine", ties=True).collect()
+    both = nearest_facility(pts, sites, metric="haversine", ties=True, max_broadcast_sites=max_sites).collect()
     assert sorted(r["site_id"] for r in both) == [3, 7]
     # on the ellipsoid the meridian arc grows with latitude: the southern site is nearer
-    geo = nearest_facility(pts, sites, metric="geodesic", ties=True).collect()
+    geo = nearest_facility(pts, sites, metric="geodesic", ties=True, max_broadcast_sites=max_sites).collect()
     assert [r["site_id"] for r in geo] == [3]
 
 

@@ -82,7 +82,8 @@ def test_nearest_equals_brute_force(spark, spread, max_sites):
         assert got[pid][1] == sid and abs(got[pid][0] - d) < 1e-6
 
 
-def test_nearest_geodesic_equals_brute_force(spark):
+@pytest.mark.parametrize("max_sites", [20000, 0])
+def test_nearest_geodesic_equals_brute_force(spark, max_sites):
     rnd = random.Random(7)
     sites = [(i, 34 + rnd.uniform(-0.3, 0.3), -118 + rnd.uniform(-0.3, 0.3)) for i in range(25)]
     points = [(i, 34 + rnd.uniform(-0.5, 0.5), -118 + rnd.uniform(-0.5, 0.5)) for i in range(200)]
@@ -93,7 +94,7 @@ def test_nearest_geodesic_equals_brute_force(spark):
     want = {r["incident_id"]: (r["m"]["d"], r["m"]["site_id"])
             for r in pairs.groupBy("incident_id").agg(F.min(F.struct("d", "site_id")).alias("m")).collect()}
     got = {r["incident_id"]: (r["distance_km"], r["site_id"])
-           for r in nearest_facility(pdf, sdf, metric="geodesic").collect()}
+           for r in nearest_facility(pdf, sdf, metric="geodesic", max_broadcast_sites=max_sites).collect()}
     assert got.keys() == want.keys()
     for k, (d, sid) in want.items():
         assert got[k][1] == sid and abs(got[k][0] - d) < 1e-9

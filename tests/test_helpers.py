@@ -1,5 +1,6 @@
 """Session and join helpers, and edge cases of the operators."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.operators.facilities import nearest_distance, nearest_facility
@@ -36,13 +37,15 @@ def test_spread_leaves_wide_inputs_alone(spark):
     assert spread_for_cpu(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
-def test_nearest_without_sites_and_without_coordinates(spark):
+@pytest.mark.parametrize("max_sites", [20000, 0])
+def test_nearest_without_sites_and_without_coordinates(spark, max_sites):
     pts = spark.createDataFrame([(1, 34.0, -118.0), (2, None, None)], "incident_id long, lat double, lon double")
     none = spark.createDataFrame([], "site_id long, y double, x double")
-    got = nearest_facility(pts, none, metric="haversine").collect()
+    got = nearest_facility(pts, none, metric="haversine", max_broadcast_sites=max_sites).collect()
     assert len(got) == 2 and all(r["site_id"] is None for r in got)
     some = spark.createDataFrame([(5, 34.0, -118.0)], "site_id long, y double, x double")
-    got = {r["incident_id"]: r["site_id"] for r in nearest_facility(pts, some, metric="haversine").collect()}
+    got = {r["incident_id"]: r["site_id"]
+           for r in nearest_facility(pts, some, metric="haversine", max_broadcast_sites=max_sites).collect()}
     assert got == {1: 5, 2: None}
     pts = pts.withColumn("year", F.lit(2015))
     agg = nearest_distance(pts, some, by="year", metric="haversine").collect()
