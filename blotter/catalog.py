@@ -9,15 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from blotter.functions.clean import clean_money, zip_prefix
 from blotter.functions.geo import haversine_km, with_geodesic_km
 from blotter.functions.labels import code_to_label, label_case_sql
 from blotter.functions.timeparts import format_us_timestamp, parse_us_timestamp, year_range
+from blotter.functions.udfs import daypart_udf
 from blotter.operators.dayparts import daypart_counts, hour_prefix_counts, reduce_by_key
 from blotter.operators.facilities import assign_sites, assigned_distance, nearest_distance, nearest_facility
 from blotter.operators.joins import key_spellings_join, union_of_equi_joins, with_join_hint
@@ -502,20 +501,8 @@ def q_sort_desc(spark, d):
 
 # --- user-defined functions ------------------------------------------------
 
-def _daypart_pandas(s: pd.Series) -> pd.Series:
-    from blotter.functions.timeparts import DAYPART_BINS, DAYPART_OTHER
-    t = pd.to_numeric(s, errors="coerce")
-    out = pd.Series(DAYPART_OTHER, index=s.index, dtype="object")
-    for label, ranges in reversed(DAYPART_BINS):
-        hit = pd.Series(False, index=s.index)
-        for lo, hi in ranges:
-            hit |= (t >= lo) & (t <= hi)
-        out[hit.fillna(False)] = label
-    return out
 
 
-daypart_udf = F.pandas_udf(_daypart_pandas, StringType())
-
 
 def q_udf_scalar(spark, d):
     e = T.timed_events(spark, d).filter(F.col("premise") == STREET)
