@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.llm import textops
-from blotter.llm.shared import id_and_text, kept, rows_with
+from blotter.llm.shared import fresh, id_and_text, kept, rows_with, without_ids
 
 LEAST, MEAN_BITS, MOST = 1024, 12, 16384
 KEY_BYTES = 16
@@ -152,8 +152,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns; one of rows that repeat an id and text."""
-    groups = kept(exact_groups(docs, id_col, text_col).select("doc_id", "kept"))
-    out = docs.join(groups.where("kept").select(F.col("doc_id").alias("__id")).distinct(), F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_semi")
-    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    return out.dropDuplicates([id_col, text_col]) if repeated else out
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns. Ids may be null or repeat."""
+    groups = kept(exact_groups(docs, id_col, text_col))
+    if not groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").limit(1).count():
+        return without_ids(docs, kept(groups.where("not kept").select(F.col("doc_id").alias("id"))), id_col)
+    # ids alone don't name a row: with the digest of the text they do, up to rows of which one stays
+    i, sha, n = (fresh(k, docs.columns) for k in ("copy_id", "copy_sha", "copy_n"))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = docs.withColumn(sha, F.sha2(F.translate(text, textops.WHITE.decode(), "").cast("binary"), 256))
+    keys = groups.where("kept").select(F.col("doc_id").alias(i), F.col("text_sha256").alias("s"))
+    rows = rows.join(keys, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(i)) & (F.col(sha) == F.col("s")), "left_semi")
+    alike = Window.partitionBy(sha, F.col(f"`{id_col}`")).orderBy(F.desc(F.length(text)), text)
+    return rows.withColumn(n, F.row_number().over(alike)).where(F.col(n) == 1).drop(sha, n)

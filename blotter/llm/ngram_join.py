@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm import textops
-from blotter.llm.shared import components, id_and_text, kept, rows_with
+from blotter.llm.shared import components, id_and_text, kept, rows_with, without_ids
 
 #: The most frequent shingles that are broadcast (16 bytes each), whatever the size of the corpus.
 HOT = 1 << 16
@@ -239,3 +239,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     no = F.lit(None).cast("long")
     alone = id_and_text(nulls, id_col, text_col).mapInArrow(_signatures(params.get("shingle", 3), 1, 1, 0, np.zeros(0, np.uint64)), "id long, n long, digest binary, prefix binary")
     return out.unionByName(alone.select(no.alias("doc_id"), F.col("n").alias("n_shingles"), no.alias("component_id"), no.alias("class_id")))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a smaller id: one document of each group stays, with all its
+    columns. Rows without words or without an id stay."""
+    found = jaccard_components(docs, id_col, text_col, shingle=shingle, num=num, den=den)
+    return without_ids(docs, kept(found.where("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct()), id_col)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blotter.llm.shared import fresh
+
 #: The base patterns.
 ASSIGN = (
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -212,7 +214,7 @@ def redact(docs: DataFrame, text_col: str = "text", rate: float = RATE, mark: st
     rejected = rejection_bins(docs, text_col, rate)
     column = F.col(f"`{text_col}`")
     names = docs.columns
-    run, base, spans, clean = (_fresh(f"secret_{k}", names) for k in ("run", "base", "spans", "clean"))
+    run, base, spans, clean = (fresh(f"secret_{k}", names) for k in ("run", "base", "spans", "clean"))
     d = docs.withColumn(run, F.coalesce(column.rlike(CANDIDATE), F.lit(False)))
     d = d.withColumn(base, base_spans(F.coalesce(column, F.lit("")), F.col(run)))
     d = d.withColumn(spans, F.when(F.col(run), all_spans(column, F.col(base), rejected)).otherwise(F.col(base)))
@@ -227,8 +229,3 @@ def redact(docs: DataFrame, text_col: str = "text", rate: float = RATE, mark: st
     d = d.withColumn(clean, F.when(F.size(spans) > 0, F.aggregate(F.col(spans), zero, step, done)).otherwise(column))
     return d.select(*(F.col(clean).alias(c) if c == text_col else F.col(f"`{c}`") for c in names))
 
-
-def _fresh(name: str, taken: list[str]) -> str:
-    while name.lower() in {t.lower() for t in taken}:
-        name += "_"
-    return name

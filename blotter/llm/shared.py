@@ -29,6 +29,21 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that none of ``taken`` equals, in any case of letters."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose id isn't in ``ids`` (a stored frame with one column, id); rows without an id stay."""
+    key = fresh("dropped", docs.columns)
+    gone = ids.select(F.col("id").alias(key))
+    gone = F.broadcast(gone) if ids.count() <= limit else gone
+    return docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col(key), "left_anti")
+
+
 def rows_with(df: DataFrame, ids: DataFrame, key: str = "id", limit: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of ``df`` whose key is in ``ids`` (a stored frame of distinct keys).
 
