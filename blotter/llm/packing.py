@@ -27,7 +27,7 @@ from blotter.llm.token_counts import byte_alphabet
 
 CAPACITY, END_ID = 2048, 0
 #: Words and parts of words that a worker keeps; longer ones than LONG characters aren't kept.
-CACHE, LONG = 300_000, 64
+CACHE, LONG = 200_000, 64
 #: Pieces that a bucket of the ranking holds on average.
 PER_BUCKET = 20_000
 

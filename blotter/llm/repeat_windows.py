@@ -109,6 +109,15 @@ def _batch(digit, cell, i, start, run, kind) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (digit, cell, i, start, run, kind)], names=NAMES)
 
 
+def _some(batches: Iterator[pa.RecordBatch], megabytes: int = 8):
+    """Parts of batches with some megabytes of text each, so that the rows made from them stay few enough to sort."""
+    for whole in batches:
+        _, off = textops.byte_view(whole.column(1))
+        for i, j in textops.blocks(off, megabytes << 20):
+            b = whole.slice(i, j - i)
+            yield b, *textops.byte_view(b.column(1))
+
+
 def _first_cells(depth: int, digit: int):
     """Rows of kind 1: the first of equal cells in this batch. Rows of kind 0: spans that the others remove.
 
@@ -116,8 +125,7 @@ def _first_cells(depth: int, digit: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, off = textops.byte_view(b.column(1))
+        for b, data, off in _some(batches):
             ids = b.column(0).fill_null(LOWEST).to_numpy(zero_copy_only=False)
             parts = []
             for i, j in textops.blocks(off):
@@ -199,8 +207,7 @@ def _window_rows(depth: int):
     """Of the windows of mixed cells, in their texts: the first of equal ones (kind 1), and spans of the others (kind 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, off = textops.byte_view(b.column(1))
+        for b, data, off in _some(batches, 2):
             ids = b.column(0).to_numpy(zero_copy_only=False)
             parts = []
             for i, j in textops.blocks(off):
