@@ -9,8 +9,8 @@ Two documents link when the Jaccard similarity of their sets of word shingles re
 3. Shingles met in one prefix only are dropped. Each document takes the l of 1..``levels`` with the least estimated
    cost: the postings its l-prefix reads, and the candidates these can give if each needs l matches. A pair is a
    candidate if it shares min(l, l') shingles of its prefixes and passes the size and position bounds.
-4. Candidates are verified on the whole sets. Links first go to the hub of each long posting list (the document to
-   which the shingle comes first); pairs that these links already connect can't change a component, and are not built,
+4. Candidates are verified on the whole sets. Links first go to the hub of each long posting list (the document that
+   shares most of its prefix with most others); pairs that these links already connect can't change a component, and are not built,
    so a group of thousands of near copies doesn't give all its pairs. Every other pair is verified.
 
 Shingles are compared as 64-bit hashes; within one pair of sets a chance collision has a likelihood below 1e-12.
@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm import textops
-from blotter.llm.shared import components, id_and_text, kept, rows_with, without_ids
+from blotter.llm.shared import components, id_and_text, kept, rows_with, small_batches, without_ids
 
 #: The most frequent shingles that are broadcast (16 bytes each), whatever the size of the corpus.
 HOT = 1 << 16
 LEVELS = 6
 #: Posting lists from this length on get hub links first.
 HUB = 16
+#: Hubs that a document is compared with before the other pairs are looked for.
+HUBS = 3
 
 
 def _hot_counts(n: int, share: float):
@@ -41,13 +43,15 @@ def _hot_counts(n: int, share: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = np.uint64(int(min(1.0, share) * (2**64 - 1)))
-        for b in batches:
-            sets = [s[: np.searchsorted(s, top, "right")] for s in textops.shingle_sets(*textops.byte_view(b.column(0)), n)]
-            if not sets:
-                continue
-            token, count = np.unique(np.concatenate(sets), return_counts=True)
-            many = count >= 3
-            yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "c"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 4000):
+                b = whole.slice(lo, 4000)
+                sets = [s[: np.searchsorted(s, top, "right")] for s in textops.shingle_sets(*textops.byte_view(b.column(0)), n)]
+                if not sets:
+                    continue
+                token, count = np.unique(np.concatenate(sets), return_counts=True)
+                many = count >= 3
+                yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "c"])
 
     return run
 
@@ -106,35 +110,43 @@ def _choose_levels(num: int, den: int, levels: int):
     """Keep of each document's shared shingles those of the l-prefix with the least estimated cost."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "id", "n", "pos", "level", "matches", "df"]
-        for b in batches:
-            out = {k: [] for k in names}
-            for row in b.to_pylist():
-                n = row["n"]
-                p = n - -(-num * n // den)
-                pos = np.array([x["pos"] for x in row["shared"]])
-                df = np.array([x["df"] for x in row["shared"]])
-                best, cost = 1, None
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                b = whole.slice(lo, 1000)
+                lens = np.diff(b.column(2).offsets.to_numpy())
+                row = np.repeat(np.arange(b.num_rows), lens)
+                flat = b.column(2).flatten()
+                token, pos, df = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in ("token", "pos", "df"))
+                i, n = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+                p = n + (-num * n // den)
+                costs = []
                 for level in range(1, levels + 1):
-                    read = float((df[pos < p + level] - 1).sum())
+                    read = np.bincount(row, (df - 1) * (pos < p[row] + level), b.num_rows)
                     # each posting is a row to join; a candidate that needs `level` matches uses up as many of them
-                    c = read + read / level * (1 + n / 50)
-                    if cost is None or c < cost:
-                        best, cost = level, c
-                for x in row["shared"]:
-                    if x["pos"] < p + best:
-                        for k, v in zip(names, (x["token"], row["id"], n, x["pos"], max(1, x["pos"] - p + 1), best, x["df"])):
-                            out[k].append(v)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(k, pa.int64()) for k in names]))
+                    costs.append(read + read / level * (1 + n / 50))
+                best = np.argmin(costs, axis=0) + 1
+                # how much of its first prefix a document shares with how many: the centre of a group of copies has the most
+                central = (1000 * np.bincount(row, np.log2(df) * (pos < p[row] + 1), b.num_rows) / (p + 1)).astype(np.int64)
+                use = pos < (p + best)[row]
+                order = np.flatnonzero(use)
+                order = order[np.lexsort((pos[order], row[order]))]
+                token, pos, df, row = token[order], pos[order], df[order], row[order]
+                # shingles before pos that other prefixes have too
+                count = np.bincount(row, minlength=b.num_rows)
+                earlier = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                out = [token, i[row], n[row], earlier, pos, np.maximum(1, pos - p[row] + 1), best[row], df, central[row]]
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names=["token", "id", "n", "earlier", "pos", "level", "matches", "df", "central"])
 
     return run
 
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [s.tobytes() for s in textops.shingle_sets(*textops.byte_view(b.column(1)), n)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "s"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                b = whole.slice(lo, 500)
+                sets = [s.tobytes() for s in textops.shingle_sets(*textops.byte_view(b.column(1)), n)]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "s"])
 
     return run
 
@@ -173,36 +185,54 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     entries = kept(reps.select("id", "n", "prefix")).mapInArrow(_explode, "token long, id long, n int, pos int")
     df = entries.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = entries.join(df, "token").groupBy("id", "n").agg(F.collect_list(F.struct("token", "pos", "df")).alias("shared"))
-    cols = "token long, id long, n long, pos long, level long, matches long, df long"
+    cols = "token long, id long, n long, earlier long, pos long, level long, matches long, df long, central long"
     posts = kept(shared.mapInArrow(_choose_levels(num, den, levels), cols))
 
     a, b = posts.alias("a"), posts.alias("b")
-    room = f"(least(a.n - a.pos, b.n - b.pos) - ceil({num} * (a.n + b.n) / {num + den}.0))"
+    least_overlap = f"ceil({num} * (a.n + b.n) / {num + den}.0)"
+    # an overlap is what is shared before a shingle, and at most what both sets have from it on
     fits = F.expr(
         f"a.level <= b.matches and b.level <= a.matches and {den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n)"
-        f" and {room} >= 1 - least(a.matches, b.matches)"
+        f" and least(a.earlier, b.earlier) + least(a.n - a.pos, b.n - b.pos) >= {least_overlap}"
     )
-    # room is largest at the first shared shingle: all the others of the overlap come after it in both sets
-    enough = [F.max(F.least("a.matches", "b.matches")).alias("need"), F.count(F.lit(1)).alias("got"), F.max(F.expr(room)).alias("room")]
+    swap = "a.id < b.id"
+    enough = [
+        F.max(F.least("a.matches", "b.matches")).alias("need"),
+        F.count(F.lit(1)).alias("got"),
+        # the same at the first and at the last shared shingle, where what is shared before is known
+        F.max(F.expr(f"least(a.n - a.pos, b.n - b.pos) - {least_overlap}")).alias("first"),
+        F.min(F.expr(f"if({swap}, a.n - a.pos, b.n - b.pos)")).alias("rest_a"),
+        F.min(F.expr(f"if({swap}, b.n - b.pos, a.n - a.pos)")).alias("rest_b"),
+        F.max(F.expr(least_overlap)).alias("overlap"),
+    ]
 
     def candidates(joined: DataFrame) -> DataFrame:
         pairs = joined.where(fits).groupBy(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b"))
-        return pairs.agg(*enough).where("got >= need and room >= 0").select("a", "b")
+        return pairs.agg(*enough).where("got >= need and first >= 0 and got - 1 + least(rest_a, rest_b) >= overlap").select("a", "b")
+
+    def nearest_hubs(joined: DataFrame) -> DataFrame:
+        # each document with the hubs it shares most long lists with; what this leaves out, the second part finds
+        pairs = joined.where(fits).groupBy(F.col("b.id").alias("x"), F.col("a.id").alias("y")).agg(F.count(F.lit(1)).alias("got"))
+        best = F.slice(F.sort_array(F.collect_list(F.struct("got", F.expr("~y").alias("y"))), asc=False), 1, HUBS)  # at most one hub a shingle
+        best = pairs.groupBy("x").agg(best.alias("best")).select("x", F.expr("explode(best.y)").alias("y")).withColumn("y", F.expr("~y"))
+        return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = kept(pairs)
         ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         sets = rows_with(d, ids).mapInArrow(_sets(shingle), "id long, s binary")
         sets = kept(sets.groupBy("id").agg(F.min("s").alias("s")))  # repeated rows of one id count once
+        # sets travel in rows of their own until they meet in a pair; small Arrow batches bound what a worker holds
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
         both = both.join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-        return kept(both.select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a long, b long"))
+        with small_batches(d.sparkSession, 500):
+            return kept(both.select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a long, b long"))
 
     longs = posts.where(f"df >= {hub}")
-    hubs = longs.groupBy("token").agg(F.min(F.struct("pos", "id")).alias("h")).select("token", F.col("h.id").alias("id"))
+    hubs = longs.groupBy("token").agg(F.max(F.struct("central", F.expr("~id").alias("no"))).alias("h")).select("token", F.expr("~h.no").alias("id"))
     hub_posts = longs.join(hubs, ["token", "id"], "left_semi").alias("a")
     near_hub = hub_posts.join(longs.alias("b"), F.expr("a.token = b.token and a.id != b.id"))
-    first = verified(candidates(near_hub))
+    first = verified(nearest_hubs(near_hub))
 
     # Pairs between what is not yet connected: of each posting list, all but its largest component against the rest.
     comp = components(first)

@@ -33,8 +33,8 @@ from blotter.llm.shared import id_and_text, kept
 
 DEPTH, DIGIT = 100, 32
 LOWEST = -(2**63)  # stands for an id of null, which comes first
-#: Removal spans up to this many bytes (in rows of 24) may be broadcast to the texts.
-BROADCAST_SPANS = 1_000_000
+#: Up to this many cells, or spans to remove (24 bytes each), are broadcast to the texts; more are joined by a shuffle.
+BROADCAST_SPANS = 1_500_000
 
 ROW = np.dtype([("digit", "<i8"), ("cell", "<i8"), ("id", "<i8"), ("start", "<i8"), ("run", "<i8")])
 
@@ -233,14 +233,72 @@ def _window_rows(depth: int):
             if not parts:
                 continue
             rows = np.concatenate(parts)
-            # the digit of a group keeps its windows together; one key now names group and window
-            rows["digit"] = textops.mix64(rows["digit"].view(np.uint64) ^ rows["cell"].view(np.uint64)).view(np.int64)
             rows = rows[np.lexsort((rows["start"], rows["id"], rows["cell"], rows["digit"]))]
             again = _again(rows)
             spans = _spans(rows[again], depth)
-            yield spans.set_column(0, "digit", pa.array(textops.mix64(spans.column(2).to_numpy().view(np.uint64)).view(np.int64)))
+            key = textops.mix64(spans.column(2).to_numpy().view(np.uint64)).view(np.int64)
+            yield _packed(key, spans.column(2), spans.column(3), spans.column(4), [None] * len(key))
             rows = rows[~again]
-            yield _batch(*(rows[c] for c in NAMES[:5]), np.ones(len(rows), np.int32))
+            rows = rows[np.lexsort((rows["start"], rows["id"], rows["digit"]))]
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows["digit"][1:] != rows["digit"][:-1]) | (rows["id"][1:] != rows["id"][:-1]) | (rows["start"][1:] >= rows["start"][:-1] + depth)
+            at = np.append(np.flatnonzero(new), len(rows))
+            first = rows[new]
+            step = (rows["start"] - np.repeat(first["start"], np.diff(at))).astype("<u4")
+            packed = [step[x:y].tobytes() + rows["cell"][x:y].tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield _packed(first["digit"], first["id"], first["start"], np.diff(at), packed)
+
+    return run
+
+
+PACKED = "digit long, id long, start long, run long, windows binary"
+
+
+def _packed(digit, i, start, run, windows) -> pa.RecordBatch:
+    """One row for the windows of a cell: places from ``start`` on (4 bytes each), then hashes (8 each). No windows: a span."""
+    arrays = [pa.array(np.ascontiguousarray(x)) for x in (digit, i, start, run)]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(windows, pa.binary())], names=["digit", "id", "start", "run", "windows"])
+
+
+def _settle_windows(depth: int):
+    """Spans of all but the first of equal windows, from packed rows sorted by digit: (id, start, end)."""
+
+    def groups(batches):
+        held = None
+        for b in batches:
+            ready = b.filter(b.column(4).is_null())
+            if ready.num_rows:
+                yield ready, True
+            b = b.filter(b.column(4).is_valid())
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()
+                b = b[0] if b else held
+            digit = b.column(0).to_numpy(zero_copy_only=False)
+            cut = int(np.searchsorted(digit, digit[-1])) if len(digit) else 0
+            held = b.slice(cut)
+            if cut:
+                yield b.slice(0, cut), False
+        if held is not None and held.num_rows:
+            yield held, False
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["id", "start", "end"]
+        for b, spans in groups(batches):
+            if spans:
+                yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3)], names=names)
+                continue
+            digit, i, start, count = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            bodies = b.column(4).to_pylist()
+            rows = np.empty(int(count.sum()), ROW)
+            rows["digit"], rows["id"], rows["run"] = np.repeat(digit, count), np.repeat(i, count), 1
+            step = np.frombuffer(b"".join(x[: 4 * k] for x, k in zip(bodies, count.tolist())), "<u4")
+            rows["start"] = np.repeat(start, count) + step
+            rows["cell"] = np.frombuffer(b"".join(x[4 * k :] for x, k in zip(bodies, count.tolist())), "<i8")
+            rows = rows[np.lexsort((rows["start"], rows["id"], rows["cell"], rows["digit"]))]
+            again = _again(rows)
+            if again.any():
+                found = _spans(rows[again], depth)
+                yield pa.RecordBatch.from_arrays([found.column(2), found.column(3), found.column(4)], names=names)
 
     return run
 
@@ -260,12 +318,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = kept(_by_digit(d.mapInArrow(_first_cells(depth, digit), SCHEMA)).mapInArrow(_settle(depth), SCHEMA))
     mixed = found.where("kind = 2").groupBy("id").agg(F.collect_set(F.struct("start", "run", "digit")).alias("cells"))
     texts = d.select(F.coalesce("id", F.lit(LOWEST)).alias("id"), "text")
-    if found.where("kind = 2").select("id").distinct().count() <= BROADCAST_SPANS // 20:
-        mixed = F.broadcast(mixed)  # at most 50,000 documents' cells
-    windows = texts.join(mixed, "id").select("id", "text", "cells").mapInArrow(_window_rows(depth), SCHEMA)
-    borders = _by_digit(windows).mapInArrow(_settle(depth), SCHEMA).where("kind = 0")
-    spans = found.where("kind = 0").unionByName(borders).select("id", F.struct(F.col("start").alias("a"), F.col("run").alias("b")).alias("span"))
-    return spans.groupBy("id").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    if found.where("kind = 2").count() <= BROADCAST_SPANS:
+        mixed = F.broadcast(mixed)
+    windows = texts.join(mixed, "id").select("id", "text", "cells").mapInArrow(_window_rows(depth), PACKED)
+    windows = windows.repartition(F.col("digit")).sortWithinPartitions("digit")
+    borders = windows.mapInArrow(_settle_windows(depth), "id long, a long, b long")
+    spans = found.where("kind = 0").select("id", F.col("start").alias("a"), F.col("run").alias("b")).unionByName(borders)
+    return spans.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
 def _cut(keep_text: bool):

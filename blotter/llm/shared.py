@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,18 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, jobs send Arrow batches of at most ``rows`` rows to Python; for steps with long rows that are stored at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator needs, under its own names: other columns can't clash with anything."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
