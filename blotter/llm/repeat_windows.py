@@ -29,13 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm import textops
-from blotter.llm.shared import id_and_text, kept
+from blotter.llm.shared import id_and_text, id_filter, kept, may_hold
 
 DEPTH, DIGIT = 100, 32
 LOWEST = -(2**63)  # stands for an id of null, which comes first
-#: Up to this many cells, or spans to remove (24 bytes each), are broadcast to the texts; more are joined by a shuffle.
-BROADCAST_SPANS = 1_500_000
-
 ROW = np.dtype([("digit", "<i8"), ("cell", "<i8"), ("id", "<i8"), ("start", "<i8"), ("run", "<i8")])
 
 
@@ -317,9 +314,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     d = id_and_text(docs, id_col, text_col)
     found = kept(_by_digit(d.mapInArrow(_first_cells(depth, digit), SCHEMA)).mapInArrow(_settle(depth), SCHEMA))
     mixed = found.where("kind = 2").groupBy("id").agg(F.collect_set(F.struct("start", "run", "digit")).alias("cells"))
-    texts = d.select(F.coalesce("id", F.lit(LOWEST)).alias("id"), "text")
-    if found.where("kind = 2").count() <= BROADCAST_SPANS:
-        mixed = F.broadcast(mixed)
+    texts = d.mapInArrow(_only(id_filter(found.where("kind = 2"))), "id long, text string")
     windows = texts.join(mixed, "id").select("id", "text", "cells").mapInArrow(_window_rows(depth), PACKED)
     windows = windows.repartition(F.col("digit")).sortWithinPartitions("digit")
     borders = windows.mapInArrow(_settle_windows(depth), "id long, a long, b long")
@@ -327,36 +322,69 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return spans.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
-def _cut(keep_text: bool):
+def _only(bits: np.ndarray):
+    """The rows whose id may be in a filter; null ids as the smallest long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).fill_null(LOWEST)
+            b = pa.RecordBatch.from_arrays([ids, b.column(1)], names=["id", "text"])
+            yield b.filter(pa.array(may_hold(bits, ids.to_numpy(zero_copy_only=False))))
+
+    return run
+
+
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _whole(bits: np.ndarray, keep_text: bool):
+    """Results of the documents without spans; the others keep their text, to meet their spans."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, off = textops.byte_view(b.column(1))
             view = memoryview(data)
-            spans = b.column(2)
+            later = may_hold(bits, b.column(0).fill_null(LOWEST).to_numpy(zero_copy_only=False))
+            parts = [None if w else bytes(view[x:y]) for w, x, y in zip(later.tolist(), off[:-1].tolist(), off[1:].tolist())]
+            text = pa.array([bytes(view[x:y]) if w else None for w, x, y in zip(later.tolist(), off[:-1].tolist(), off[1:].tolist())], pa.binary())
+            sha = pa.array([None if x is None else hashlib.sha256(x).hexdigest() for x in parts], pa.string())
+            body = pa.array(parts if keep_text else [None] * len(parts), pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(off)), text, sha, body], names=["id", "n", "text", "sha", "body"])
+
+    return run
+
+
+def _cut(keep_text: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
             n_removed, n_spans, sha, rest = [], [], [], []
-            for k, (lo, hi) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
-                size, runs, gone, parts, last = hi - lo, 0, 0, [], 0
-                if spans[k].is_valid:
-                    end = -1
-                    for x in spans[k].as_py():
-                        a, e = x["a"], min(x["b"], size)
-                        if a >= e:
-                            continue
-                        if a > end:
-                            runs += 1
-                            parts.append(bytes(view[lo + last : lo + a]))
-                            gone += e - a
-                        elif e > end:
-                            gone += e - end
-                        end = last = max(end, e)
-                parts.append(bytes(view[lo + last : hi]))
+            for n, text, done, body, spans in zip(*(b.column(k) for k in range(1, 6))):
+                if done.is_valid:
+                    n_removed.append(0)
+                    n_spans.append(0)
+                    sha.append(done.as_py())
+                    rest.append(body.as_py())
+                    continue
+                view = memoryview(text.as_buffer())
+                size, runs, gone, parts, last, end = len(view), 0, 0, [], 0, -1
+                for x in spans.as_py() or ():
+                    a, e = x["a"], min(x["b"], size)
+                    if a >= e:
+                        continue
+                    if a > end:
+                        runs += 1
+                        parts.append(bytes(view[last:a]))
+                        gone += e - a
+                    elif e > end:
+                        gone += e - end
+                    end = last = max(end, e)
+                parts.append(bytes(view[last:]))
                 left = b"".join(parts)
                 n_removed.append(gone)
                 n_spans.append(runs)
                 sha.append(hashlib.sha256(left).hexdigest())
-                if keep_text:
-                    rest.append(left)
-            out = [b.column(0), pa.array(np.diff(off)), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string())]
+                rest.append(left)
+            out = [b.column(0), b.column(1), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays(out + [pa.array(rest, pa.binary())] * keep_text, names=names + ["kept"] * keep_text)
 
@@ -372,10 +400,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     in one hold for all, cut to their lengths. A null id is the first of all.
     """
     spans = kept(repeated_spans(docs, id_col, text_col, depth, digit))
-    n = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
-    if n <= BROADCAST_SPANS:
-        spans = F.broadcast(spans)
-    d = id_and_text(docs, id_col, text_col)
-    joined = d.join(spans.withColumnRenamed("id", "key"), F.coalesce("id", F.lit(LOWEST)) == F.col("key"), "left").select("id", "text", "spans")
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-    return joined.mapInArrow(_cut(keep_text), schema)
+    rows = id_and_text(docs, id_col, text_col).mapInArrow(_whole(id_filter(spans), keep_text), "id long, n long, text binary, sha string, body binary")
+    joined = rows.join(spans.withColumnRenamed("id", "key"), F.coalesce("id", F.lit(LOWEST)) == F.col("key"), "left")
+    joined = joined.select("id", "n", "text", "sha", "body", "spans")
+    return joined.mapInArrow(_cut(keep_text), RESULT + ", kept binary" * keep_text)

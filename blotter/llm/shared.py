@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,30 @@ def rows_with(df: DataFrame, ids: DataFrame, key: str = "id", limit: int = BROAD
     return df.join(F.broadcast(ids) if ids.count() <= limit else ids.hint("merge"), key, "left_semi")
 
 
+#: Bits of an id filter: 1 MB, whatever the number of ids.
+FILTER_BITS = 1 << 23
+
+
+def id_filter(ids: DataFrame, key: str = "id") -> np.ndarray:
+    """A bitmap of fixed size that has the bit of every id in ``ids``; made by an aggregate of at most 2**17 rows.
+
+    An id whose bit is off is surely not among them. The more ids, the more others pass too: the filter then saves less, and a
+    join behind it gives the same rows.
+    """
+    at = F.pmod(F.col(key).bitwiseXOR(F.shiftright(key, 23)), F.lit(FILTER_BITS))
+    words = ids.select(at.alias("at")).select(F.shiftright("at", 6).alias("w"), F.expr("shiftleft(1L, cast(at & 63L as int))").alias("m")).groupBy("w").agg(F.bit_or("m").alias("m"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.collect():
+        out[r["w"]] = r["m"]
+    return out
+
+
+def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For each id whether its bit is on."""
+    at = (ids ^ (ids >> 23)) % FILTER_BITS
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` reaches, itself included.
 
