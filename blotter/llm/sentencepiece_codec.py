@@ -27,8 +27,8 @@ from blotter.llm import textops
 from blotter.llm.shared import id_and_text
 
 #: Words and parts that a worker keeps (longer ones than LONG characters aren't kept), and judged pairs of pieces.
-CACHE, LONG = 300_000, 64
-PAIRS = 300_000
+CACHE, LONG = 800_000, 64
+PAIRS = 600_000
 SPACE = "▁"
 
 
