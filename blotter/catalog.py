@@ -22,7 +22,7 @@ from blotter.operators.facilities import assign_sites, assigned_distance, neares
 from blotter.operators.joins import key_spellings_join, union_of_equi_joins, with_join_hint
 from blotter.operators.periods import period_counts, top_periods
 from blotter.operators.zones import extreme_zone_counts, extreme_zone_totals, zone_incomes
-from blotter.session import scratch_path
+from blotter.session import delete_path, scratch_path
 from blotter.sources import tables as T
 from blotter.sources.incidents import (
     INCIDENT_COLUMNS,
@@ -69,14 +69,27 @@ def incident_export_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.select(*[v.alias(n) for n, v in cols.items()])
 
 
+_EXPORTS: dict[tuple[str, str], list[str]] = {}
+
+
 def export_incident_files(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Write the older and the newer incident file to the shared folder."""
-    frame = incident_export_frame(spark, sf_dir)
-    base = scratch_path(spark, "incidents")
-    older, newer = f"{base}/older", f"{base}/newer"
-    write_incident_csv(frame.filter(F.col("occurred_year") < EXPORT_SPLIT_YEAR), older, area_header="AREA ")
-    write_incident_csv(frame.filter(F.col("occurred_year") >= EXPORT_SPLIT_YEAR), newer, area_header="AREA")
-    return [older, newer]
+    """The older and the newer incident file below the shared folder, written once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EXPORTS:
+        frame = incident_export_frame(spark, sf_dir)
+        base = scratch_path(spark, "incidents")
+        older, newer = f"{base}/older", f"{base}/newer"
+        write_incident_csv(frame.filter(F.col("occurred_year") < EXPORT_SPLIT_YEAR), older, area_header="AREA ")
+        write_incident_csv(frame.filter(F.col("occurred_year") >= EXPORT_SPLIT_YEAR), newer, area_header="AREA")
+        _EXPORTS[key] = [older, newer]
+    return _EXPORTS[key]
+
+
+def drop_exports(spark: SparkSession) -> None:
+    """Remove this session's exported files."""
+    for key in [k for k in _EXPORTS if k[0] == spark.sparkContext.applicationId]:
+        for path in _EXPORTS.pop(key):
+            delete_path(spark, path)
 
 
 def q_csv_scan(spark, d):
@@ -187,13 +200,12 @@ def q_top_months_per_year(spark, d):
 def q_top_months_per_year_sql(spark, d):
     return spark.sql(
         f"""
-        SELECT year, month, crime_total, rank FROM (
-          SELECT year(occurred_on) AS year, month(occurred_on) AS month, count(*) AS crime_total,
-                 rank() OVER w AS rank
-          FROM {{i}}
-          GROUP BY year(occurred_on), month(occurred_on)
-          WINDOW w AS (PARTITION BY year(occurred_on) ORDER BY count(*) DESC)
-        ) WHERE rank <= {TOP_K}
+        WITH months AS (
+          SELECT trunc(occurred_on, 'MM') AS first_day, count(*) AS crime_total FROM {{i}} GROUP BY 1
+        ), placed AS (
+          SELECT first_day, crime_total, rank() OVER (PARTITION BY year(first_day) ORDER BY crime_total DESC) AS rank FROM months
+        )
+        SELECT year(first_day) AS year, month(first_day) AS month, crime_total, rank FROM placed WHERE rank <= {TOP_K}
         """,
         i=T.incidents(spark, d),
     )
@@ -334,6 +346,11 @@ def _located(spark, d, with_area: bool = True) -> DataFrame:
     return i.filter((F.col("lat") != 0) & (F.col("lon") != 0)).withColumn("year", F.year("reported_on"))
 
 
+def _cores(spark) -> int:
+    """The tables here are single splits: their points are dealt to all cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _firearm(df: DataFrame) -> DataFrame:
     return df.filter(F.col("weapon_code").startswith("1"))
 
@@ -376,14 +393,14 @@ def _finish_avg(df: DataFrame, by: str, order_desc_count: bool) -> DataFrame:
 
 def _responsible_by_year(metric):
     def q(spark, d):
-        r = assigned_distance(_firearm(_located(spark, d)), T.stations(spark, d), by="year", metric=metric)
+        r = assigned_distance(_firearm(_located(spark, d)), T.stations(spark, d), by="year", metric=metric, partitions=_cores(spark))
         return _finish_avg(r, "year", False)
     return q
 
 
 def _responsible_by_division(metric):
     def q(spark, d):
-        r = assigned_distance(_armed(_located(spark, d)), T.stations(spark, d), by="division", metric=metric)
+        r = assigned_distance(_armed(_located(spark, d)), T.stations(spark, d), by="division", metric=metric, partitions=_cores(spark))
         return _finish_avg(r, "division", True)
     return q
 
@@ -391,7 +408,7 @@ def _responsible_by_division(metric):
 def _nearest_by_year(metric):
     def q(spark, d):
         r = nearest_distance(_firearm(_located(spark, d, with_area=False)), T.stations(spark, d), by="year",
-                             id_col="incident_id", metric=metric)
+                             id_col="incident_id", metric=metric, partitions=_cores(spark))
         return _finish_avg(r, "year", False)
     return q
 
@@ -399,7 +416,7 @@ def _nearest_by_year(metric):
 def _nearest_by_division(metric):
     def q(spark, d):
         r = nearest_distance(_armed(_located(spark, d, with_area=False)), T.stations(spark, d), by="division",
-                             site_cols=("division",), metric=metric)
+                             site_cols=("division",), metric=metric, partitions=_cores(spark))
         return _finish_avg(r, "division", True)
     return q
 
@@ -443,7 +460,7 @@ def _candidates(spark, d, metric: str, where) -> DataFrame:
     """Exploded exact candidate sets of the nearest search (not all pairs)."""
     pts = where(_located(spark, d, with_area=False)).select("incident_id", "year", "lat", "lon")
     near = nearest_facility(pts, T.stations(spark, d), site_cols=("division",), metric=metric,
-                            candidates_col="cands")
+                            candidates_col="cands", partitions=_cores(spark))
     return near.select("incident_id", "year", F.inline("cands")).select(
         "incident_id", "year", F.col("k").alias("site_id"), F.col("p.division").alias("division"),
         F.col("d").alias("distance"))
@@ -453,10 +470,9 @@ def _nearest_by_year_sql(metric):
     def q(spark, d):
         return spark.sql(
             """
-            SELECT year, round(avg(minimum_distance), 6) AS average_distance, count(*) AS crime_total
-            FROM (SELECT incident_id, min(distance) AS minimum_distance, min(year) AS year
-                  FROM {c} GROUP BY incident_id)
-            GROUP BY year ORDER BY year
+            WITH nearest AS (SELECT min_by(struct(year, distance), distance) AS n FROM {c} GROUP BY incident_id)
+            SELECT n.year AS year, round(avg(n.distance), 6) AS average_distance, count(*) AS crime_total
+            FROM nearest GROUP BY n.year ORDER BY 1
             """,
             c=_candidates(spark, d, metric, _firearm),
         )
@@ -467,11 +483,9 @@ def _nearest_by_division_sql(metric):
     def q(spark, d):
         return spark.sql(
             """
-            SELECT division, round(avg(distance), 6) AS average_distance, count(*) AS crime_total
-            FROM (SELECT division, distance, ROW_NUMBER() OVER w AS rank FROM {c}
-                  WINDOW w AS (PARTITION BY incident_id ORDER BY distance, site_id))
-            WHERE rank = 1
-            GROUP BY division ORDER BY crime_total DESC, division
+            WITH nearest AS (SELECT min(struct(distance, site_id, division)) AS n FROM {c} GROUP BY incident_id)
+            SELECT n.division AS division, round(mean(n.distance), 6) AS average_distance, count(n.site_id) AS crime_total
+            FROM nearest GROUP BY n.division ORDER BY crime_total DESC, division
             """,
             c=_candidates(spark, d, metric, _armed),
         )
@@ -502,8 +516,6 @@ def q_sort_desc(spark, d):
 # --- user-defined functions ------------------------------------------------
 
 
-
-
 def q_udf_scalar(spark, d):
     e = T.timed_events(spark, d).filter(F.col("premise") == STREET)
     return e.groupBy(daypart_udf("hhmm").alias("period_of_day")).agg(F.count(F.lit(1)).alias("crime_total"))

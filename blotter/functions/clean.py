@@ -19,10 +19,3 @@ def clean_money(col) -> Column:
     """``$33,887`` -> 33887: drop every non-digit, then int; empty gives null."""
     return F.regexp_replace(_c(col), r"[^0-9]", "").try_cast("int")
 
-
-def starts_with(col, prefix: str) -> Column:
-    return _c(col).startswith(prefix)
-
-
-def zero_pad(col, width: int = 2) -> Column:
-    return F.lpad(_c(col).cast("string"), width, "0")

@@ -1,27 +1,28 @@
-"""Distances on the Earth as native expressions (no Python UDF).
-
-``haversine_km``  great circle on a sphere of the mean Earth radius; cheap.
-``geodesic_km``   ellipsoidal distance on WGS-84 by Vincenty's inverse
-                  method, as one expression: a fold (``aggregate``) over a
-                  struct state, so it also works inside higher-order lambdas.
-``with_geodesic_km`` adds the same computation as a chain of projections,
-                  which whole-stage codegen compiles (the fast form for a
-                  per-row column).
-
-Both take latitude/longitude in degrees and return kilometres. Formulas are
-kept as SQL text templates: one ``F.expr`` call builds a whole expression
-(instead of one JVM round trip per operator), and the same text runs on
-Spark and in the DuckDB oracle.
+"""Distances on the Earth.
+
+``haversine_km``      great circle on a sphere of the mean Earth radius; a native expression.
+``geodesic_km``       ellipsoidal distance on WGS-84, for any pair of finite coordinates.
+``geodesic_array_km`` the same from one point to each of a list of points.
+
+The geodesic is an iterative solution, which built-in expressions can't state without either a cap on iterations or
+an expression that grows with each step; so it is an Arrow-batched UDF over numpy arrays, and one opaque expression
+for the optimiser: it can be filtered, joined and aggregated like any column.
+
+All take latitude/longitude in degrees and return kilometres.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable
+import sys
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 # WGS-84 ellipsoid and the IUGG mean Earth radius.
 WGS84_A_KM = 6378.137
@@ -34,9 +35,6 @@ MEAN_RADIUS_KM = 6371.0088
 # before they are compared with either metric.
 SPHERE_TO_ELLIPSOID_SAFETY = 0.99
 
-VINCENTY_ITERATIONS = 6
-_CONVERGED = 1e-11
-
 
 def sql_double(x: float) -> str:
     """A DOUBLE literal in both Spark SQL and DuckDB (exponent form)."""
@@ -57,8 +55,8 @@ def quote(name: str) -> str:
 
 def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str, radius_km: float = MEAN_RADIUS_KM) -> str:
     return (
-        f"({sql_double(2 * radius_km)} * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
-        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
+        f"({sql_double(2 * radius_km)} * asin(sqrt(least(1E0, pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+        f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))))"
     )
 
 
@@ -70,127 +68,136 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = MEAN_RADIUS_KM) -> C
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(
         F.sin(F.radians(lon2 - lon1) / 2), 2
     )
-    return F.lit(2 * radius_km) * F.asin(F.sqrt(a))
-
-
-# --- Vincenty inverse as SQL templates over a named state ----------------------
-# Each step reads only a few state fields, so neither the fold nor the
-# projection chain duplicates sub-trees. Placeholders: {lat1} {lon1} {lat2}
-# {lon2} for the inputs, {<field>} for state fields.
-
-_OMF = sql_double(1 - WGS84_F)
-_F = sql_double(WGS84_F)
-_F16 = sql_double(WGS84_F / 16)
-_ZERO = "CAST(0 AS DOUBLE)"
-
-VINCENTY_STATE = ("L", "su1", "cu1", "su2", "cu2", "lam", "lam_prev", "sl", "cl", "ss", "cs", "sg", "sa", "c2a",
-                  "c2sm")
-
-VINCENTY_INIT = {
-    "L": "radians({lon2} - {lon1})",
-    "su1": f"sin(atan({_OMF} * tan(radians({{lat1}}))))",
-    "cu1": f"cos(atan({_OMF} * tan(radians({{lat1}}))))",
-    "su2": f"sin(atan({_OMF} * tan(radians({{lat2}}))))",
-    "cu2": f"cos(atan({_OMF} * tan(radians({{lat2}}))))",
-    "lam": "radians({lon2} - {lon1})",
-    "lam_prev": "CAST(10 AS DOUBLE)",
-    **{n: _ZERO for n in ("sl", "cl", "ss", "cs", "sg", "sa", "c2a", "c2sm")},
-}
-
-_C = f"({_F16} * {{c2a}} * (4 + {_F} * (4 - 3 * {{c2a}})))"
-
-VINCENTY_STEPS: list[dict[str, str]] = [
-    {"lam_prev": "{lam}", "sl": "sin({lam})", "cl": "cos({lam})"},
-    {"ss": "sqrt(pow({cu2} * {sl}, 2) + pow({cu1} * {su2} - {su1} * {cu2} * {cl}, 2))",
-     "cs": "{su1} * {su2} + {cu1} * {cu2} * {cl}"},
-    # coincident points give 0/0: sin(alpha) is null, the distance is 0 at the end
-    {"sg": "atan2({ss}, {cs})", "sa": "CASE WHEN {ss} = 0 THEN NULL ELSE {cu1} * {cu2} * {sl} / {ss} END"},
-    # equatorial lines have cos^2(alpha) = 0; cos(2 sigma_m) is then taken as 0
-    {"c2a": "1 - {sa} * {sa}",
-     "c2sm": f"coalesce({{cs}} - CASE WHEN 1 - {{sa}} * {{sa}} = 0 THEN NULL"
-             f" ELSE 2 * {{su1}} * {{su2}} / (1 - {{sa}} * {{sa}}) END, {_ZERO})"},
-    {"lam": f"{{L}} + (1 - {_C}) * {_F} * {{sa}} * ({{sg}} + {_C} * {{ss}} * ({{c2sm}}"
-            f" + {_C} * {{cs}} * (-1 + 2 * {{c2sm}} * {{c2sm}})))"},
-]
-
-_U2 = f"({{c2a}} * {sql_double((WGS84_A_KM ** 2 - WGS84_B_KM ** 2) / WGS84_B_KM ** 2)})"
-_BIG_A = f"(1 + {_U2} / 16384 * (4096 + {_U2} * (-768 + {_U2} * (320 - 175 * {_U2}))))"
-_BIG_B = f"({_U2} / 1024 * (256 + {_U2} * (-128 + {_U2} * (74 - 47 * {_U2}))))"
-_D_SIGMA = (f"({_BIG_B} * {{ss}} * ({{c2sm}} + {_BIG_B} / 4 * ({{cs}} * (-1 + 2 * {{c2sm}} * {{c2sm}})"
-            f" - {_BIG_B} / 6 * {{c2sm}} * (-3 + 4 * {{ss}} * {{ss}}) * (-3 + 4 * {{c2sm}} * {{c2sm}}))))")
-# near-antipodal pairs where the iteration does not settle give null
-VINCENTY_FINAL = (f"CASE WHEN {{lat1}} = {{lat2}} AND {{lon1}} = {{lon2}} THEN {_ZERO}"
-                  f" WHEN abs({{lam}} - {{lam_prev}}) < {sql_double(_CONVERGED)}"
-                  f" THEN {sql_double(WGS84_B_KM)} * {_BIG_A} * ({{sg}} - {_D_SIGMA}) END")
-
-
-def _fill(template: str, names: dict[str, str]) -> str:
-    return template.format(**names)
-
-
-def geodesic_sql(lat1: str, lon1: str, lat2: str, lon2: str, iterations: int = VINCENTY_ITERATIONS,
-                 acc: str = "__va", idx: str = "__vi") -> str:
-    """One SQL expression: aggregate(sequence, initial state, step, final formula)."""
-    inputs = {"lat1": lat1, "lon1": lon1, "lat2": lat2, "lon2": lon2}
-    on_acc = {**inputs, **{n: f"{acc}.{n}" for n in VINCENTY_STATE}}
-
-    def pack(values: dict[str, str], cast: bool = False) -> str:
-        parts = (f"CAST({values[n]} AS DOUBLE)" if cast else values[n] for n in VINCENTY_STATE)
-        return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in zip(VINCENTY_STATE, parts)) + ")"
-
-    init = pack({n: _fill(VINCENTY_INIT[n], inputs) for n in VINCENTY_STATE}, cast=True)
-    arms = []
-    for k, step in enumerate(VINCENTY_STEPS):
-        values = {n: f"{acc}.{n}" for n in VINCENTY_STATE}
-        values.update({n: _fill(t, on_acc) for n, t in step.items()})
-        arms.append(f"WHEN {k} THEN {pack(values)}")
-    merge = f"({acc}, {idx}) -> CASE {idx} % {len(VINCENTY_STEPS)} {' '.join(arms)} END"
-    final = f"{acc} -> {_fill(VINCENTY_FINAL, on_acc)}"
-    return f"aggregate(sequence(0, {iterations * len(VINCENTY_STEPS) - 1}), {init}, {merge}, {final})"
-
-
-def geodesic_km(lat1: str, lon1: str, lat2: str, lon2: str, iterations: int = VINCENTY_ITERATIONS) -> Column:
-    """WGS-84 geodesic distance as one expression; arguments are column names."""
-    return F.expr(geodesic_sql(*map(quote, (lat1, lon1, lat2, lon2)), iterations=iterations))
-
-
-def _iteration_sql(names: dict[str, str]) -> dict[str, str]:
-    """One whole Vincenty iteration: every state field in terms of the previous state.
-
-    The five steps are substituted textually; inside one projection,
-    whole-stage codegen evaluates the repeated sub-expressions once.
-    """
-    cur = dict(names)
-    for step in VINCENTY_STEPS:
-        cur.update({n: "(" + _fill(t, cur) + ")" for n, t in step.items()})
-    return {n: cur[n] for n in VINCENTY_STATE if cur[n] != names[n]}
-
-
-def with_geodesic_km(df: DataFrame, out: str, lat1: str, lon1: str, lat2: str, lon2: str,
-                     iterations: int = VINCENTY_ITERATIONS) -> DataFrame:
-    """Add ``out`` = WGS-84 geodesic distance, one compiled projection per iteration.
-
-    (A projection per step would make a generated method too large for the
-    JIT; per iteration it runs about 3x faster, with identical results.)
+    return F.lit(2 * radius_km) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+
+
+# --- geodesic -----------------------------------------------------------------
+
+def _fast(beta1, beta2, lam):
+    """Fixed-point iteration for the spherical longitude difference; NaN where it doesn't settle (near-antipodal pairs)."""
+    s1, c1, s2, c2 = np.sin(beta1), np.cos(beta1), np.sin(beta2), np.cos(beta2)
+    out = np.full(len(lam), np.nan)
+    todo = np.arange(len(lam))
+    omega = lam.copy()
+    second = (WGS84_A_KM**2 - WGS84_B_KM**2) / WGS84_B_KM**2
+    for _ in range(20):
+        if not len(todo):
+            break
+        sl, cl = np.sin(omega[todo]), np.cos(omega[todo])
+        a1, b1, a2, b2 = s1[todo], c1[todo], s2[todo], c2[todo]
+        ss = np.hypot(b2 * sl, b1 * a2 - a1 * b2 * cl)
+        cs = a1 * a2 + b1 * b2 * cl
+        sigma = np.arctan2(ss, cs)
+        sa = np.where(ss > 0, b1 * b2 * sl / np.where(ss > 0, ss, 1), 0.0)
+        c2a = np.maximum(0.0, 1 - sa * sa)
+        mid = np.where(c2a > 1e-15, cs - 2 * a1 * a2 / np.where(c2a > 1e-15, c2a, 1), 0.0)
+        c = WGS84_F / 16 * c2a * (4 + WGS84_F * (4 - 3 * c2a))
+        new = lam[todo] + (1 - c) * WGS84_F * sa * (sigma + c * ss * (mid + c * cs * (2 * mid * mid - 1)))
+        done = (np.abs(new - omega[todo]) < 1e-12) & (np.abs(new) <= math.pi)
+        u = c2a * second
+        big_a = 1 + u / 16384 * (4096 + u * (u * (320 - 175 * u) - 768))
+        big_b = u / 1024 * (256 + u * (u * (74 - 47 * u) - 128))
+        shift = big_b * ss * (mid + big_b / 4 * (cs * (2 * mid * mid - 1) - big_b / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3)))
+        out[todo[done]] = (WGS84_B_KM * big_a * (sigma - shift))[done]
+        omega[todo] = new
+        todo = todo[~done & (np.abs(new) <= math.pi)]
+    return out
+
+
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(24)
+
+
+def _sure(beta1, beta2, lam):
+    """Bisection on the azimuth at the first point, for any pair.
+
+    The pair is mirrored so that the first point is the one farther from the equator and lies south of it, and the
+    longitude difference is from 0 to pi; the longitude that a geodesic gains up to the second point's latitude then
+    grows with its azimuth. Arc length and longitude are integrals over the auxiliary sphere, by quadrature.
     """
-    prefix = f"__vin_{re.sub(r'[^A-Za-z0-9_]', '_', out)}_"
-    inputs = {"lat1": quote(lat1), "lon1": quote(lon1), "lat2": quote(lat2), "lon2": quote(lon2)}
-    names = {**inputs, **{n: prefix + n for n in VINCENTY_STATE}}
-    df = df.withColumns({prefix + n: F.expr(_fill(VINCENTY_INIT[n], inputs)).cast("double") for n in VINCENTY_STATE})
-    # parsed once; the same unresolved columns bind to each new projection
-    step = {prefix + n: F.expr(e) for n, e in _iteration_sql(names).items()}
-    for _ in range(iterations):
-        df = df.withColumns(step)
-    df = df.withColumn(out, F.expr(_fill(VINCENTY_FINAL, names)))
-    return df.drop(*[prefix + n for n in VINCENTY_STATE])
-
-
-def distance_sql(metric: str) -> Callable[..., str]:
-    if metric == "haversine":
-        return haversine_sql
-    if metric == "geodesic":
-        return geodesic_sql
-    raise ValueError(f"unknown metric {metric!r}: use 'haversine' or 'geodesic'")
+    swap = np.abs(beta1) < np.abs(beta2)
+    beta1, beta2 = np.where(swap, beta2, beta1), np.where(swap, beta1, beta2)
+    flip = np.where(beta1 > 0, -1.0, 1.0)
+    beta1, beta2 = beta1 * flip, beta2 * flip
+    # on the equator the first point counts as south of it: -0.0
+    s1, c1, s2, c2 = -np.abs(np.sin(beta1)), np.maximum(np.cos(beta1), 1e-15), np.sin(beta2), np.maximum(np.cos(beta2), 1e-15)
+    second = (2 - WGS84_F) * WGS84_F / (1 - WGS84_F) ** 2
+
+    def along(azimuth):
+        sa, ca = np.sin(azimuth), np.cos(azimuth)
+        s0 = sa * c1
+        # the azimuth at the second point, on the way north
+        ca2 = np.sqrt(np.maximum(0.0, (ca * c1) ** 2 + np.where(c1 < -s1, (c2 - c1) * (c1 + c2), (s1 - s2) * (s1 + s2)))) / c2
+        first, last = np.arctan2(s1, ca * c1), np.arctan2(s2, ca2 * c2)
+        w1, w2 = np.arctan2(s0 * s1, ca * c1), np.arctan2(s0 * s2, ca2 * c2)
+        half = (last - first) / 2
+        at = (last + first)[:, None] / 2 + half[:, None] * _NODES
+        root = np.sqrt(1 + (second * np.maximum(0.0, 1 - s0 * s0))[:, None] * np.sin(at) ** 2)
+        length = WGS84_B_KM * half * (root @ _WEIGHTS)
+        turn = half * (((2 - WGS84_F) / (1 + (1 - WGS84_F) * root)) @ _WEIGHTS)
+        return (w2 - w1) - WGS84_F * s0 * turn, length
+
+    low, high = np.zeros(len(lam)), np.full(len(lam), math.pi)
+    for _ in range(60):
+        mid = (low + high) / 2
+        gained, _ = along(mid)
+        less = gained < lam
+        low, high = np.where(less, mid, low), np.where(less, high, mid)
+    return along((low + high) / 2)[1]
+
+
+def geodesic_distances(lat1, lon1, lat2, lon2) -> np.ndarray:
+    """WGS-84 distances of arrays of points in km; NaN only where a coordinate is missing or not finite."""
+    lat1, lon1, lat2, lon2 = (np.asarray(x, float) for x in (lat1, lon1, lat2, lon2))
+    out = np.full(len(lat1), np.nan)
+    use = np.flatnonzero(np.isfinite(lat1) & np.isfinite(lon1) & np.isfinite(lat2) & np.isfinite(lon2))
+    if not len(use):
+        return out
+    beta1, beta2 = (np.arctan((1 - WGS84_F) * np.tan(np.radians(x[use]))) for x in (lat1, lat2))
+    lam = np.abs(np.radians((lon2[use] - lon1[use] + 180.0) % 360.0 - 180.0))
+    got = _fast(beta1, beta2, lam)
+    same = (lat1[use] == lat2[use]) & (lam == 0)
+    got[same] = 0.0
+    rest = np.isnan(got)
+    if rest.any():
+        got[rest] = _sure(beta1[rest], beta2[rest], lam[rest])
+    out[use] = got
+    return out
+
+
+def _distances(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
+    d = geodesic_distances(lat1, lon1, lat2, lon2)
+    return pd.Series(d).astype("Float64").mask(np.isnan(d))
+
+
+def _array_distances(lat: pd.Series, lon: pd.Series, lats: pd.Series, lons: pd.Series) -> pd.Series:
+    sizes = np.array([0 if x is None else len(x) for x in lats])
+    if not sizes.sum():
+        return pd.Series([None if x is None else [] for x in lats], dtype=object)
+    flat = [np.concatenate([np.asarray(x, float) for x in s if x is not None]) for s in (lats, lons)]
+    d = geodesic_distances(np.repeat(lat.to_numpy(float), sizes), np.repeat(lon.to_numpy(float), sizes), *flat)
+    ends = np.cumsum(sizes)
+    return pd.Series([None if x is None else d[e - n : e].tolist() for x, e, n in zip(lats, ends, sizes)], dtype=object)
+
+
+# Serialised by value: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+_geodesic = F.pandas_udf(_distances, DoubleType())
+_geodesic_array = F.pandas_udf(_array_distances, ArrayType(DoubleType()))
+
+
+def geodesic_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """WGS-84 geodesic distance; arguments are column names. Null where a coordinate is null or not finite."""
+    return _geodesic(*(F.expr(quote(c)).cast("double") for c in (lat1, lon1, lat2, lon2)))
+
+
+def geodesic_array_km(lat: str, lon: str, lats: Column, lons: Column) -> Column:
+    """Distances from (lat, lon) to each point of the two lists."""
+    return _geodesic_array(F.expr(quote(lat)), F.expr(quote(lon)), lats, lons)
+
+
+def with_geodesic_km(df: DataFrame, out: str, lat1: str, lon1: str, lat2: str, lon2: str) -> DataFrame:
+    """Add ``out`` = WGS-84 geodesic distance."""
+    return df.withColumn(out, geodesic_km(lat1, lon1, lat2, lon2))
 
 
 # --- lower bound used by the nearest-facility search --------------------------

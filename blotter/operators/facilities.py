@@ -5,7 +5,7 @@ equi-join over the key's spellings) and averages the distance per group.
 
 ``nearest_facility``   finds each point's nearest site exactly, without a
 Cartesian product. Sites are indexed on a pyramid of grids (cell sizes
-g, 4g, 16g, ... and finally one cell for the whole globe). At level i a
+g, 8g, 64g, ... and finally one cell for the whole globe). At level i a
 point looks up the sites in the 3x3 block of cells around its own cell and
 takes the closest one; it accepts that answer only when it is strictly
 closer than a lower bound on the distance from the point to anything outside
@@ -30,20 +30,20 @@ from pyspark.sql import functions as F
 from blotter.functions.geo import (
     SPHERE_TO_ELLIPSOID_SAFETY,
     block_lower_bound_sql,
-    geodesic_sql,
+    geodesic_array_km,
+    geodesic_km,
     haversine_km,
     haversine_sql,
     sql_double,
     with_geodesic_km,
 )
-from blotter.operators.joins import key_spellings_join, row_count_at_most
-from blotter.operators.layout import spread_for_cpu
+from blotter.operators.joins import DEFAULT_BROADCAST_BYTES, key_spellings_join, measured_bytes
+from blotter.operators.layout import spread
 from blotter.session import shared_dir
 
 # Sites per broadcast: each of ~9 pyramid levels holds every site about 9
 # times, so 20k sites stay below ~100 MB of broadcast state.
 DEFAULT_MAX_BROADCAST_SITES = 20_000
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 # A site can beat the haversine-nearest one on the ellipsoid only if its
 # haversine distance is within this ratio of the minimum (both metrics agree
@@ -67,7 +67,7 @@ def _distance_column(df: DataFrame, out: str, lat: str, lon: str, site_lat: str,
 
 
 def assign_sites(points: DataFrame, sites: DataFrame, *, point_key: str, site_key: str,
-                 pad: str | None = "0", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 pad: str | None = "0", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """points JOIN sites ON point_key = site_key OR point_key = pad || site_key.
 
     Planned as one equi-join over the distinct spellings of each site key
@@ -76,7 +76,7 @@ def assign_sites(points: DataFrame, sites: DataFrame, *, point_key: str, site_ke
     spellings = [F.col(site_key)]
     if pad:
         spellings.append(F.concat(F.lit(pad), F.col(site_key)))
-    small = row_count_at_most(sites, max_broadcast_rows)
+    small = measured_bytes(sites) * len(spellings) <= max_broadcast_bytes
     return key_spellings_join(points, sites, point_key, spellings, "inner", broadcast_right=small)
 
 
@@ -84,11 +84,17 @@ def assigned_distance(points: DataFrame, sites: DataFrame, *, by: str | Sequence
                       site_key: str = "prec", pad: str | None = "0", lat: str = "lat", lon: str = "lon",
                       site_lat: str = "y", site_lon: str = "x", metric: str = "geodesic",
                       count_col: str = "crime_total", avg_col: str = "average_distance",
-                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Per group: joined rows and the mean distance to the assigned site."""
+                      max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES, partitions: int | None = None) -> DataFrame:
+    """Per group: joined rows and the mean distance to the assigned site, over the same rows.
+
+    Only the key, coordinate and ``by`` columns of either side are carried. ``partitions`` spreads the points, for an
+    input that one split holds.
+    """
     by = [by] if isinstance(by, str) else list(by)
-    joined = assign_sites(spread_for_cpu(points), sites, point_key=point_key, site_key=site_key, pad=pad,
-                          max_broadcast_rows=max_broadcast_rows)
+    own = [c for c in by if c in points.columns]
+    points = spread(points.select(*dict.fromkeys([point_key, lat, lon, *own])), partitions)
+    sites = sites.select(*dict.fromkeys([site_key, site_lat, site_lon, *(c for c in by if c not in own)]))
+    joined = assign_sites(points, sites, point_key=point_key, site_key=site_key, pad=pad, max_broadcast_bytes=max_broadcast_bytes)
     with_d = _distance_column(joined, "__distance", lat, lon, site_lat, site_lon, metric)
     return with_d.groupBy(*by).agg(F.count(F.lit(1)).alias(count_col), F.avg("__distance").alias(avg_col))
 
@@ -171,9 +177,9 @@ def _level_rows(sites: DataFrame, levels: list[float | None]) -> DataFrame:
     return out
 
 
-def _scored_sql(arr: str, metric: str) -> str:
-    """Candidates as (d, k, lat, lon, p) structs: array_min orders by d, then k."""
-    dist = (haversine_sql if metric == "haversine" else geodesic_sql)("__plat", "__plon", "__s.lat", "__s.lon")
+def _scored_sql(arr: str) -> str:
+    """Candidates as (d, k, lat, lon, p) structs, d by haversine: array_min orders by d, then k."""
+    dist = haversine_sql("__plat", "__plon", "__s.lat", "__s.lon")
     return (f"transform({arr}, __s -> named_struct('d', {dist}, 'k', __s.k, 'lat', __s.lat,"
             f" 'lon', __s.lon, 'p', __s.p))")
 
@@ -196,19 +202,17 @@ def _prepare_sites(sites: DataFrame, site_id: str, site_lat: str, site_lon: str,
 
 
 def _default_cell_deg(sites: DataFrame) -> tuple[int, float]:
-    """Site count and a cell size of about one site per cell over their extent."""
-    row = sites.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("lat").alias("a0"), F.max("lat").alias("a1"),
-        F.min("lon").alias("o0"), F.max("lon").alias("o1"),
-    ).first()
+    """Site count and a cell size of about one site per cell where the sites are.
+
+    The extent is that of the middle nine tenths in each direction, so single far sites don't stretch the cells.
+    """
+    middle = [0.05, 0.95]
+    row = sites.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("lat", middle, 1000).alias("a"), F.percentile_approx("lon", middle, 1000).alias("o")).first()
     n = int(row["n"])
     if n == 0:
         return 0, 1.0
-    span_lat = max(row["a1"] - row["a0"], 0.01)
-    span_lon = max(row["o1"] - row["o0"], 0.01)
-    g = math.sqrt(span_lat * span_lon / n)
-    return n, min(max(g, 1e-3), 45.0)
+    span_lat, span_lon = (max(x[1] - x[0], 0.01) for x in (row["a"], row["o"]))
+    return n, min(max(math.sqrt(span_lat * span_lon / n), 1e-3), 45.0)
 
 
 def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", lon: str = "lon",
@@ -216,14 +220,16 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
                      site_cols: Sequence[str] = (), metric: str = "geodesic", ties: bool = False,
                      cell_deg: float | None = None, distance_col: str = "distance_km",
                      candidates_col: str | None = None,
-                     max_broadcast_sites: int = DEFAULT_MAX_BROADCAST_SITES) -> DataFrame:
+                     max_broadcast_sites: int = DEFAULT_MAX_BROADCAST_SITES, partitions: int | None = None) -> DataFrame:
     """Each point with its nearest site (``site_id``, ``site_cols``, ``distance_col``).
 
     Equal distances are broken by the smaller ``site_id``. With ``ties=True``
     a point gets one row per site at the minimal distance instead. Points
     without coordinates, or when there are no sites, get nulls (one row).
-    ``candidates_col`` (optional) keeps the exact candidate set of the level
-    that answered, as an array of (d, k, lat, lon, p) structs.
+    ``candidates_col`` (optional) keeps the sites that were compared in the
+    end, as an array of (d, k, lat, lon, p) structs. Any column names of the
+    points are kept. ``partitions`` spreads the points, for an input that one
+    split holds.
     """
     s = _prepare_sites(sites, site_id, site_lat, site_lon, site_cols)
     n_sites, auto_g = _default_cell_deg(s)
@@ -237,13 +243,19 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
 
     plat = F.col(lat).cast("double")
     plon = _norm_lon(F.col(lon).cast("double"))
-    base = spread_for_cpu(points).withColumns({"__plat": plat, "__plon": plon})
-
+    columns = points.columns
+    # the caller's columns travel inside one struct, so no name of theirs can meet one of the search
+    packed = F.struct(*(F.col(f"`{c}`") for c in columns)).alias("__row")
+    base = spread(points, partitions).select(packed, plat.alias("__plat"), plon.alias("__plon"))
     if broadcast:
         found = _search_broadcast(base, table, levels, slack)
-        return _finish(found, metric, site_id, site_cols, ties, distance_col, candidates_col)
-    return _search_rows(points.withColumns({"__plat": plat, "__plon": plon}), _level_rows(s, levels), levels,
-                        metric, slack, ties, site_id, site_cols, distance_col)
+        out = _finish(found, metric, ties)
+    else:
+        out = _search_rows(base, _level_rows(s, levels), levels, metric, slack, ties, bool(candidates_col))
+    values = {site_id: F.col("__pick.k"), distance_col: F.col("__pick.d"), **{c: F.col("__pick.p")[c] for c in site_cols}}
+    if candidates_col:
+        values[candidates_col] = F.col("__cands")
+    return out.select(*(F.col(f"__row.`{c}`") for c in columns if c not in values), *(v.alias(k) for k, v in values.items()))
 
 
 def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: float,
@@ -261,7 +273,7 @@ def _probe(df: DataFrame, table: DataFrame, i: int, g: float | None, slack: floa
     t = table.alias(f"__L{i}")
     joined = df.join(t, F.expr(key) == F.col(f"__L{i}.key"), "left")
     joined = joined.select(*[df[c] for c in df.columns], F.col(f"__L{i}.cands").alias(f"__c{i}"),
-                           F.expr(f"array_min({_scored_sql(f'__L{i}.cands', 'haversine')})").alias(f"__b{i}"))
+                           F.expr(f"array_min({_scored_sql(f'__L{i}.cands')})").alias(f"__b{i}"))
     lb = sql_double(math.inf) if g is None else block_lower_bound_sql("__plat", "__plon", g)
     return joined.withColumn(f"__ok{i}", F.expr(f"coalesce(__b{i}.d * {sql_double(slack)} < {lb}, false)"))
 
@@ -274,27 +286,27 @@ def _search_broadcast(df: DataFrame, table: DataFrame, levels: list, slack: floa
         resolved = f"__ok{i}" if resolved is None else f"{resolved} OR __ok{i}"
     n = len(levels)
     return df.select(
-        *[c for c in df.columns if not c.startswith("__") or c in ("__plat", "__plon")],
+        "__row", "__plat", "__plon",
         F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__b{i}")) for i in range(n)]).alias("__hbest"),
         F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__c{i}")) for i in range(n)]).alias("__cands"),
     )
 
 
 def _search_rows(points: DataFrame, site_rows: DataFrame, levels: list, metric: str, slack: float, ties: bool,
-                 site_id: str, site_cols: Sequence[str], distance_col: str) -> DataFrame:
+                 with_cands: bool) -> DataFrame:
     """The same exact search for site tables too big to broadcast, on rows.
 
     Points get a stable id (checkpointed to the shared folder). At each
     level the points still unresolved meet the (cell, site) rows of their
     block in a shuffled equi-join (AQE splits hot cells); each point keeps
     its minimum with map-side combine, and the accepted points leave the
-    search. No candidate list is ever gathered into one row. For the
-    geodesic metric the few candidates within the pruning ratio are scored
-    with the compiled Vincenty projections.
+    search. Only ids and coordinates take part; points without coordinates
+    don't. For the geodesic metric the few candidates within the pruning
+    ratio are scored anew.
     """
     shared_dir(points.sparkSession)
     pts = points.withColumn("__pid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    todo = pts.select("__pid", "__plat", "__plon")
+    todo = pts.filter("__plat IS NOT NULL AND __plon IS NOT NULL").select("__pid", "__plat", "__plon")
     picked: list[DataFrame] = []
     for i, g in enumerate(levels):
         keyed = todo.withColumn("__key", F.expr(_cell_key_sql(i, g)))
@@ -316,50 +328,38 @@ def _search_rows(points: DataFrame, site_rows: DataFrame, levels: list, metric:
         near = near.unionByName(part)
     if metric == "geodesic":
         near = near.join(pts.select("__pid", "__plat", "__plon"), "__pid").select(
-            "__pid", F.expr(geodesic_sql("__plat", "__plon", "lat", "lon")).alias("d"), "lat", "lon", "k", "p"
-        ).filter(F.col("d").isNotNull())
-    top = near.groupBy("__pid").agg(F.min(F.struct("d", "k", "p")).alias("__m"))
+            "__pid", geodesic_km("__plat", "__plon", "lat", "lon").alias("d"), "lat", "lon", "k", "p")
+    top = near.groupBy("__pid").agg(F.min(F.struct("d", "k", "lat", "lon", "p")).alias("__pick"))
     if ties:
-        chosen = near.join(top.select("__pid", F.col("__m.d").alias("__md")), "__pid").filter(
-            F.col("d") == F.col("__md")).select("__pid", "d", "k", "p")
+        chosen = near.join(top.select("__pid", F.col("__pick.d").alias("__md")), "__pid").filter(
+            F.col("d") == F.col("__md")).select("__pid", F.struct("d", "k", "lat", "lon", "p").alias("__pick"))
     else:
-        chosen = top.select("__pid", F.col("__m.d").alias("d"), F.col("__m.k").alias("k"), F.col("__m.p").alias("p"))
+        chosen = top
     out = pts.join(chosen, "__pid", "left")
-    cols = {site_id: F.col("k"), distance_col: F.col("d")}
-    for c in site_cols:
-        cols[c] = F.col("p")[c]
-    out = out.withColumns(cols).drop("k", "d", "p")
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    if with_cands:  # per point a few sites: those within the pruning ratio of the nearest
+        cands = near.groupBy("__pid").agg(F.sort_array(F.collect_list(F.struct("d", "k", "lat", "lon", "p"))).alias("__cands"))
+        out = out.join(cands, "__pid", "left")
+    return out
 
 
-def _finish(df: DataFrame, metric: str, site_id: str, site_cols: Sequence[str], ties: bool,
-            distance_col: str, candidates_col: str | None) -> DataFrame:
-    """From the answering level's candidates to the output columns.
+def _finish(df: DataFrame, metric: str, ties: bool) -> DataFrame:
+    """From the answering level's candidates to ``__cands`` (those compared in the end) and ``__pick``.
 
     Haversine: the search result is final. Geodesic: only sites within the
     pruning ratio of the haversine minimum can be nearest on the ellipsoid;
-    Vincenty runs on those few.
+    the geodesic is solved for those few.
     """
-    if metric == "haversine":
-        df = df.withColumn("__best", F.col("__hbest"))
-        if ties or candidates_col:
-            df = df.withColumn("__cands", F.expr(_scored_sql("__cands", "haversine")))
-    else:
-        bound = f"__hbest.d * {sql_double(_GEODESIC_PRUNE_RATIO)} + {sql_double(_EPS_KM)}"
-        near = f"filter({_scored_sql('__cands', 'haversine')}, __x -> __x.d <= {bound})"
-        df = df.withColumn("__cands", F.expr(f"filter({_scored_sql(near, 'geodesic')}, __x -> __x.d IS NOT NULL)"))
-        df = df.withColumn("__best", F.array_min(F.col("__cands")))
+    ratio = "1E0" if metric == "haversine" else sql_double(_GEODESIC_PRUNE_RATIO)
+    bound = f"__hbest.d * {ratio} + {sql_double(_EPS_KM)}"
+    df = df.withColumn("__near", F.expr(f"filter({_scored_sql('__cands')}, __x -> __x.d <= {bound})"))
+    if metric == "geodesic":
+        exact = geodesic_array_km("__plat", "__plon", F.expr("transform(__near, __x -> __x.lat)"), F.expr("transform(__near, __x -> __x.lon)"))
+        df = df.withColumn("__exact", exact).withColumn("__near", F.expr(
+            "zip_with(__near, __exact, (__x, __g) -> named_struct('d', __g, 'k', __x.k, 'lat', __x.lat, 'lon', __x.lon, 'p', __x.p))"))
+    df = df.withColumn("__cands", F.col("__near")).withColumn("__best", F.array_min("__near"))
     if ties:
-        df = df.withColumn("__pick", F.explode_outer(F.expr("filter(__cands, __x -> __x.d = __best.d)")))
-    else:
-        df = df.withColumn("__pick", F.col("__best"))
-    out = {site_id: F.col("__pick")["k"], distance_col: F.col("__pick")["d"]}
-    for c in site_cols:
-        out[c] = F.col("__pick")["p"][c]
-    if candidates_col:
-        out[candidates_col] = F.col("__cands")
-    df = df.withColumns(out)
-    return df.drop(*[c for c in df.columns if c.startswith("__")])
+        return df.withColumn("__pick", F.explode_outer(F.expr("filter(__cands, __x -> __x.d = __best.d)")))
+    return df.withColumn("__pick", F.col("__best"))
 
 
 def nearest_distance(points: DataFrame, sites: DataFrame, *, by: str | Sequence[str], id_col: str | None = None,

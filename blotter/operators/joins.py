@@ -6,34 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
-# Default bound for broadcasting a dimension by row count.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Default bound for broadcasting a dimension, in bytes of its rows.
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 JOIN_HINTS = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads no more than ``max_rows + 1`` rows (the limit is pushed into the
-    scan), so the check itself stays cheap on a large input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``, measured by one distributed aggregate: 8 for each field, and the length of what varies."""
+    sizes = [F.lit(8 * len(df.columns) + 8)]
+    for f in df.schema.fields:
+        if f.dataType.simpleString() in ("string", "binary"):
+            sizes.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
+    total = sizes[0]
+    for x in sizes[1:]:
+        total = total + x
+    return int(df.agg(F.sum(total.cast("long")).alias("n")).first()["n"] or 0)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven small.
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its measured size is small.
 
     Beyond the bound ``df`` is returned unchanged: the join then shuffles on
     its keys (AQE can still switch to a broadcast from runtime sizes and
     split skewed partitions).
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
 
 
 def with_join_hint(left: DataFrame, right: DataFrame, on, how: str = "inner", hint: str | None = None,
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Join with a strategy hint on the right side.
 
     ``broadcast`` is applied only when the right side is proven small (else
@@ -49,7 +55,7 @@ def with_join_hint(left: DataFrame, right: DataFrame, on, how: str = "inner", hi
     if hint == "shuffle_replicate_nl":
         raise ValueError("shuffle_replicate_nl plans a Cartesian product over all row pairs; use an equi-join hint")
     if hint == "broadcast":
-        return left.join(bounded_broadcast(right, max_broadcast_rows), on, how)
+        return left.join(bounded_broadcast(right, max_broadcast_bytes), on, how)
     return left.join(right.hint(hint), on, how)
 
 

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Give a CPU-bound stage at least one partition per core.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` dealt round-robin to ``partitions``, or as it is when that is None.
 
-    Large inputs already have many more partitions than cores and are left
-    alone (no shuffle is added). A small input read as a single split is
-    spread round-robin so its expensive per-row work runs on every core.
+    For CPU-bound work on an input that one split holds. The caller knows the input's layout; nothing is looked up, so no job
+    runs while the plan is built.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(partitions) if partitions else df

@@ -77,6 +77,7 @@ def extreme_zone_counts(facts: DataFrame, geocode: DataFrame, income: DataFrame,
     """
     per_zone = facts_per_zone(facts, geocode, lat=lat, lon=lon, category=category, zone_col=zone_col,
                               zip_key=zip_key, dedupe_geocode=dedupe_geocode)
+    per_zone = per_zone.groupBy(zone_col, category).agg(F.sum("n").alias("n"))  # zones x categories rows
     if materialize:
         shared_dir(per_zone.sparkSession)
         per_zone = per_zone.checkpoint(eager=True)

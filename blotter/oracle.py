@@ -3,20 +3,13 @@
 Each statement recomputes the key's result from the raw benchmark views
 (``orders``, ``customer``, ``nation``, ``supplier``, ``events``) with the
 same role definitions as :mod:`blotter.sources.tables`, written
-independently as plain SQL. The nearest-facility oracles use the
+as plain SQL. The geodesic here is Vincenty's fixed-point iteration, unrolled
+step by step; the library solves it in another way (functions/geo.py). The nearest-facility oracles use the
 straightforward all-pairs form, which is fine for a small check.
 """
 
 from __future__ import annotations
 
-from blotter.functions.geo import (
-    VINCENTY_FINAL,
-    VINCENTY_INIT,
-    VINCENTY_ITERATIONS,
-    VINCENTY_STATE,
-    VINCENTY_STEPS,
-    haversine_sql,
-)
 from blotter.functions.labels import label_case_sql
 
 TOP_K = 3
@@ -25,6 +18,75 @@ SPLIT_YEAR = 1998
 STREET = "error"
 US_TS = "%m/%d/%Y %I:%M:%S %p"
 
+# --- distances -------------------------------------------------------------
+
+# WGS-84 ellipsoid and the IUGG mean Earth radius.
+WGS84_A_KM = 6378.137
+WGS84_F = 1 / 298.257223563
+WGS84_B_KM = WGS84_A_KM * (1 - WGS84_F)
+MEAN_RADIUS_KM = 6371.0088
+VINCENTY_ITERATIONS = 8
+_CONVERGED = 1e-11
+
+
+def sql_double(x: float) -> str:
+    r = repr(float(x))
+    return r if "e" in r else r + "E0"
+
+
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """2 R atan2(sqrt(h), sqrt(1 - h))."""
+    h = (f"(pow(sin(radians({lat2} - {lat1}) / 2), 2)"
+         f" + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))")
+    return f"({sql_double(2 * MEAN_RADIUS_KM)} * atan2(sqrt({h}), sqrt(greatest(0, 1 - {h}))))"
+
+
+_OMF = sql_double(1 - WGS84_F)
+_F = sql_double(WGS84_F)
+_F16 = sql_double(WGS84_F / 16)
+_ZERO = "CAST(0 AS DOUBLE)"
+
+VINCENTY_STATE = ("L", "su1", "cu1", "su2", "cu2", "lam", "lam_prev", "sl", "cl", "ss", "cs", "sg", "sa", "c2a",
+                  "c2sm")
+
+VINCENTY_INIT = {
+    "L": "radians({lon2} - {lon1})",
+    "su1": f"sin(atan({_OMF} * tan(radians({{lat1}}))))",
+    "cu1": f"cos(atan({_OMF} * tan(radians({{lat1}}))))",
+    "su2": f"sin(atan({_OMF} * tan(radians({{lat2}}))))",
+    "cu2": f"cos(atan({_OMF} * tan(radians({{lat2}}))))",
+    "lam": "radians({lon2} - {lon1})",
+    "lam_prev": "CAST(10 AS DOUBLE)",
+    **{n: _ZERO for n in ("sl", "cl", "ss", "cs", "sg", "sa", "c2a", "c2sm")},
+}
+
+_C = f"({_F16} * {{c2a}} * (4 + {_F} * (4 - 3 * {{c2a}})))"
+
+VINCENTY_STEPS: list[dict[str, str]] = [
+    {"lam_prev": "{lam}", "sl": "sin({lam})", "cl": "cos({lam})"},
+    {"ss": "sqrt(pow({cu2} * {sl}, 2) + pow({cu1} * {su2} - {su1} * {cu2} * {cl}, 2))",
+     "cs": "{su1} * {su2} + {cu1} * {cu2} * {cl}"},
+    # coincident points give 0/0: sin(alpha) is null, the distance is 0 at the end
+    {"sg": "atan2({ss}, {cs})", "sa": "CASE WHEN {ss} = 0 THEN NULL ELSE {cu1} * {cu2} * {sl} / {ss} END"},
+    # equatorial lines have cos^2(alpha) = 0; cos(2 sigma_m) is then taken as 0
+    {"c2a": "1 - {sa} * {sa}",
+     "c2sm": f"coalesce({{cs}} - CASE WHEN 1 - {{sa}} * {{sa}} = 0 THEN NULL"
+             f" ELSE 2 * {{su1}} * {{su2}} / (1 - {{sa}} * {{sa}}) END, {_ZERO})"},
+    {"lam": f"{{L}} + (1 - {_C}) * {_F} * {{sa}} * ({{sg}} + {_C} * {{ss}} * ({{c2sm}}"
+            f" + {_C} * {{cs}} * (-1 + 2 * {{c2sm}} * {{c2sm}})))"},
+]
+
+_U2 = f"({{c2a}} * {sql_double((WGS84_A_KM ** 2 - WGS84_B_KM ** 2) / WGS84_B_KM ** 2)})"
+_BIG_A = f"(1 + {_U2} / 16384 * (4096 + {_U2} * (-768 + {_U2} * (320 - 175 * {_U2}))))"
+_BIG_B = f"({_U2} / 1024 * (256 + {_U2} * (-128 + {_U2} * (74 - 47 * {_U2}))))"
+_D_SIGMA = (f"({_BIG_B} * {{ss}} * ({{c2sm}} + {_BIG_B} / 4 * ({{cs}} * (-1 + 2 * {{c2sm}} * {{c2sm}})"
+            f" - {_BIG_B} / 6 * {{c2sm}} * (-3 + 4 * {{ss}} * {{ss}}) * (-3 + 4 * {{c2sm}} * {{c2sm}}))))")
+# near-antipodal pairs where the iteration does not settle give null
+VINCENTY_FINAL = (f"CASE WHEN {{lat1}} = {{lat2}} AND {{lon1}} = {{lon2}} THEN {_ZERO}"
+                  f" WHEN abs({{lam}} - {{lam_prev}}) < {sql_double(_CONVERGED)}"
+                  f" THEN {sql_double(WGS84_B_KM)} * {_BIG_A} * ({{sg}} - {_D_SIGMA}) END")
+
+
 # --- role views ------------------------------------------------------------
 
 INCIDENTS = """incidents AS (

@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when the frames that read them go
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -64,8 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
     On a cluster this must name a distributed file system path; it is read
-    from the session. Only when it is unset (local tests) a private folder
-    under the system temp directory is created and registered.
+    from the session. Only when it is unset and the master is local, a
+    private folder under the system temp directory is created and
+    registered; on a cluster executors couldn't see that, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -73,6 +76,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="blotter-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -84,13 +89,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/blotter-{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme, for helpers that must touch the local disk in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def is_local_master(spark: SparkSession) -> bool:
+    """One JVM runs everything (local-cluster starts executors of their own)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
-def is_local_master(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any Hadoop file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-__all__ = ["RECOMMENDED_CONF", "scale_conf", "build_session", "shared_dir", "scratch_path", "local_path", "is_local_master"]
+__all__ = ["RECOMMENDED_CONF", "scale_conf", "build_session", "shared_dir", "scratch_path", "delete_path", "is_local_master"]

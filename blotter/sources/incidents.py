@@ -88,13 +88,14 @@ def load_incidents_text(spark: SparkSession, paths: str | Sequence[str]) -> Data
 
     Quoted commas are honoured; a quoted line break would split a record (use
     ``load_incidents(multiline=True)`` for such files). Header lines are
-    dropped by value.
+    dropped by value, blank lines as the CSV reader drops them; a record
+    without an id stays.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     ddl = ", ".join(f"`{c}` STRING" for c in INCIDENT_COLUMNS)
-    lines = spark.read.text(paths)
+    lines = spark.read.text(paths).filter(F.length(F.trim("value")) > 0)
     parsed = lines.select(F.from_csv(F.col("value"), ddl).alias("r")).select("r.*")
-    return typed_incidents(parsed.filter(F.col("incident_id") != F.lit(INCIDENT_HEADER[0])))
+    return typed_incidents(parsed.filter(~F.col("incident_id").eqNullSafe(F.lit(INCIDENT_HEADER[0]))))
 
 
 def write_incident_csv(df: DataFrame, path: str, area_header: str = "AREA") -> None:

@@ -2,13 +2,15 @@
 
 import math
 import random
+import time
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from blotter.functions.geo import geodesic_km, haversine_km, with_geodesic_km
+from blotter.functions.geo import WGS84_F, _fast, _sure, geodesic_distances, geodesic_km, haversine_km, with_geodesic_km
 from blotter.operators.facilities import nearest_facility
 
 FLINDERS = (-37.95103341666667, 144.42486788888888)   # Flinders Peak
@@ -46,8 +48,50 @@ def test_distances_symmetric_and_close(spark, p):
     h1, h2 = _one(spark, haversine_km, a, b), _one(spark, haversine_km, b, a)
     assert h1 >= 0 and abs(h1 - h2) < 1e-6
     g = _one(spark, geodesic_km, a, b)
-    if g is not None:  # null only for non-converging near-antipodal pairs
-        assert abs(g - h1) <= 0.01 * h1 + 1e-6
+    assert abs(g - h1) <= 0.01 * h1 + 1e-6
+
+
+def test_geodesic_always_answers():
+    """Random, near-antipodal and degenerate pairs against a quadrature along the geodesic that a fine search finds."""
+    rnd = np.random.default_rng(3)
+    lat1, lon1 = rnd.uniform(-90, 90, 6000), rnd.uniform(-180, 180, 6000)
+    lat2, lon2 = rnd.uniform(-90, 90, 6000), rnd.uniform(-180, 180, 6000)
+    lat2[:2000], lon2[:2000] = -lat1[:2000] + rnd.normal(0, 0.2, 2000), lon1[:2000] + 180 + rnd.normal(0, 0.2, 2000)
+    lat2 = np.clip(lat2, -90, 90)
+    d = geodesic_distances(lat1, lon1, lat2, lon2)
+    assert np.isfinite(d).all()
+    assert np.allclose(d, geodesic_distances(lat2, lon2, lat1, lon1), atol=1e-6)
+    h = 2 * 6371.0088 * np.arcsin(np.sqrt(np.minimum(1, np.sin(np.radians(lat2 - lat1) / 2) ** 2 + np.cos(np.radians(lat1)) * np.cos(np.radians(lat2)) * np.sin(np.radians(lon2 - lon1) / 2) ** 2)))
+    assert (np.abs(d - h) <= 0.01 * h + 1e-6).all()
+    # where both solutions answer they agree
+    beta = [np.arctan((1 - WGS84_F) * np.tan(np.radians(x))) for x in (lat1, lat2)]
+    lam = np.abs(np.radians((lon2 - lon1 + 180) % 360 - 180))
+    assert np.nanmax(np.abs(_sure(*beta, lam) - _fast(*beta, lam))) < 1e-5
+
+
+@pytest.mark.parametrize("pair,km", [
+    ((0.0, 0.0, 0.0, 180.0), 20003.931459),  # over a pole: half a meridian
+    ((0.0, 0.0, 0.5, 179.5), 19936.288579),  # published near-antipodal line
+    ((0.0, 0.0, 0.5, 179.7), 19944.127421),  # published line on which Vincenty's iteration fails
+    ((90.0, 0.0, -90.0, 77.0), 20003.931459),
+    ((0.0, 10.0, 0.0, 11.0), 111.319491),
+])
+def test_geodesic_known_lines(pair, km):
+    assert abs(geodesic_distances(*([x] for x in pair))[0] - km) < 2e-6
+
+
+def test_geodesic_can_be_filtered(spark):
+    df = spark.range(2000).selectExpr("34.0 + id / 1000 AS a", "-118.0 AS b", "34.0 AS c", "-118.0 AS e")
+    began = time.time()
+    out = with_geodesic_km(df, "d", "a", "b", "c", "e").filter("d < 5").filter("d > 1")
+    out._jdf.queryExecution().optimizedPlan()
+    assert time.time() - began < 2
+    assert out.count() == sum(1 for k in range(2000) if 1 < geodesic_distances([34 + k / 1000], [-118], [34], [-118])[0] < 5)
+
+
+def test_missing_coordinates_give_null(spark):
+    df = spark.createDataFrame([(None, 1.0, 2.0, 3.0), (1.0, float("nan"), 2.0, 3.0)], "a double, b double, c double, e double")
+    assert [r["d"] for r in with_geodesic_km(df, "d", "a", "b", "c", "e").collect()] == [None, None]
 
 
 def _brute(points, sites, metric):

@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from blotter.catalog import queries
+from blotter.oracle import oracle_sql
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
