@@ -2,6 +2,7 @@
 
 import pytest
 
+from __spark_entry__ import entry
 from blotter.catalog import queries
 from blotter.oracle import oracle_sql
 from tests.conftest import SF_SMALL
