@@ -178,7 +178,7 @@ def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, bool, bool]]:
         if not inline:
             flush()
         inside = inside or node.tag in ("article", "main")
-        path = path if inline else (*path, node.tag)
+        path = path if inline or node is root else (*path, node.tag)
         if not inline:
             todo.append((None, (), False, False))
         for c in reversed(node.children):

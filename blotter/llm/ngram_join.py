@@ -42,7 +42,7 @@ def _hot_counts(n: int, share: float):
     """Shingles met in several documents of a batch, with their counts, from the hash range that prefixes come from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = np.uint64(int(min(1.0, share) * (2**64 - 1)))
+        top = np.uint64(min(2**64 - 1, int(share * 2**64)))
         for whole in batches:
             for lo in range(0, whole.num_rows, 4000):
                 b = whole.slice(lo, 4000)

@@ -85,7 +85,7 @@ def test_components_edges(spark):
     assert ngram_join.jaccard_components(_edge(spark).limit(0)).collect() == []
     left = ngram_join.drop_near_copies(_edge(spark))
     assert left.columns == ["doc_id", "text", "id", "n", "base"]
-    assert sorted((str(r.doc_id) for r in left.collect())) == ["1", "2", "3", "4", "5", "6", "6", "7", "None"]  # one five-word set each
+    assert sorted((str(r.doc_id) for r in left.collect())) == ["1", "2", "3", "4", "5", "7", "None"]  # with fewer than five words the whole sequence is the set, so 1 and 6 are copies
 
 
 def test_components_of_chains(spark):
