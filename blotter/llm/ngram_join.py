@@ -10,8 +10,11 @@ Two documents link when the Jaccard similarity of their sets of word shingles re
    cost: the postings its l-prefix reads, and the candidates these can give if each needs l matches. A pair is a
    candidate if it shares min(l, l') shingles of its prefixes and passes the size and position bounds.
 4. Candidates are verified on the whole sets. Links first go to the hub of each long posting list (the document that
-   shares most of its prefix with most others); pairs that these links already connect can't change a component, and are not built,
-   so a group of thousands of near copies doesn't give all its pairs. Every other pair is verified.
+   shares most of its prefix with most others); pairs that these links already connect can't change a component, and are not built.
+5. What has half or more in common with the same hub is one group. A pair of a group that isn't connected by the hub must
+   also share differences from it (``_difference_prefixes``), so within a group prefixes of the few differences are joined
+   instead of prefixes of the whole sets: thousands of near copies don't give all their pairs.
+6. Every other pair that shares enough of its prefixes is verified.
 
 Shingles are compared as 64-bit hashes; within one pair of sets a chance collision has a likelihood below 1e-12.
 """
@@ -23,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.llm import textops
@@ -167,6 +170,67 @@ def _verify(num: int, den: int):
     return run
 
 
+def _measure(num: int, den: int):
+    """How a document x and a hub h compare: link, sizes, and the differences of those that have half or more in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for x, h in zip(b.column(2), b.column(3)):
+                x, h = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(h.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(h, x), len(h) - 1)
+                same = h[at] == x
+                both = int(same.sum())
+                removed, added, union = len(h) - both, len(x) - both, len(x) + len(h) - both
+                near = 2 * both >= union
+                diff = np.concatenate([np.delete(h, at[same]), x[~same]]).tobytes() if near else None
+                rows.append((den * both >= num * union, near, len(x), len(h), removed, added, diff))
+            kinds = [pa.bool_(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            out = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *out], names=["x", "h", "link", "near", "n", "hub_n", "removed", "added", "diff"])
+
+    return run
+
+
+def _explode_differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, token, id, ...) for each difference of each member of a group; the last column holds the differences."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 500):
+            b = whole.slice(lo, 500)
+            data, off = textops.byte_view(b.column(b.num_columns - 1))
+            lens = np.diff(off) // 8
+            row = pa.array(np.repeat(np.arange(b.num_rows), lens))
+            cols = [b.column(k).take(row) for k in range(b.num_columns - 1)]
+            token = pa.array(data.view(np.int64) if len(data) else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([*cols, token], names=["h", "id", "n", "link", "size", "keep", "keep_apart", "token"])
+
+
+def _difference_prefixes(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidate pairs (a, b) of one group of which the hub connects at most one: a pair that isn't here isn't linked or is connected.
+
+    Let D be the hub's shingles that a document lacks and E those it has besides. A pair (u, v) with the hub h shares
+    |h| - D(u) - D(v) + s shingles, s being its shared differences. With r = num / (num + den), it is linked only if
+    s >= r (|u| + |v|) - |h| + D(u) + D(v) = r (|u| + |h|) - |h| + D(u) + r E(v) + (1 - r) D(v). As u isn't linked to h,
+    the part without v is over -1 + 1 = 0, so s > r E(v) + (1 - r) D(v) also holds. Both bounds give prefixes of the
+    differences, in the order of their frequency within the group: first those that no unlinked member shares.
+    """
+    alone = f"ceil({num} * (n + hub_n) / {num + den}.0) - hub_n + removed"
+    other = f"floor(({num} * added + {den} * removed) / {num + den}.0) + 1"
+    m = members.withColumn("size", F.expr("removed + added")).withColumn("keep", F.expr(f"size + 1 - if(link, {other}, {alone})")).withColumn("keep_apart", F.expr(f"size + 1 - greatest({other}, {alone})"))
+    m = m.selectExpr("h", "x as id", "n", "link", "size", "cast(keep as long) as keep", "cast(keep_apart as long) as keep_apart", "diff").where("keep > 0")
+    entries = m.mapInArrow(_explode_differences, "h long, id long, n long, link boolean, size long, keep long, keep_apart long, token long")
+    df = entries.groupBy("h", "token").agg(F.count(F.lit(1)).alias("df"), F.bool_and("link").alias("all_linked")).where("df > 1 and not all_linked").drop("all_linked")
+    of = Window.partitionBy("id")
+    shared = entries.join(df, ["h", "token"]).withColumn("pos", F.col("size") - F.count(F.lit(1)).over(of) + F.row_number().over(of.orderBy("df", "token")))
+    posts = kept(shared.where("pos <= keep").select("h", "token", "id", "n", "link", "pos", "keep_apart"))
+    a, b = posts.where("not link").alias("a"), posts.alias("b")
+    fits = F.expr(
+        "a.h = b.h and a.token = b.token and (b.link or (a.id < b.id and a.pos <= a.keep_apart and b.pos <= b.keep_apart))"
+        f" and {den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n)"
+    )
+    return a.join(b, fits).select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
+
+
 def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, num: int = 90, den: int = 100,
                   hot: int = HOT, levels: int = LEVELS, hub: int = HUB) -> tuple[DataFrame, DataFrame]:
     """(signatures, links): (id, n, digest) of each row, and verified pairs (a, b) between class representatives.
@@ -214,10 +278,9 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         # each document with the hubs it shares most long lists with; what this leaves out, the second part finds
         pairs = joined.where(fits).groupBy(F.col("b.id").alias("x"), F.col("a.id").alias("y")).agg(F.count(F.lit(1)).alias("got"))
         best = F.slice(F.sort_array(F.collect_list(F.struct("got", F.expr("~y").alias("y"))), asc=False), 1, HUBS)  # at most one hub a shingle
-        best = pairs.groupBy("x").agg(best.alias("best")).select("x", F.expr("explode(best.y)").alias("y")).withColumn("y", F.expr("~y"))
-        return best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        return pairs.groupBy("x").agg(best.alias("best")).select("x", F.expr("explode(best.y)").alias("y")).select(F.col("x").alias("a"), F.expr("~y").alias("b"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def compared(pairs: DataFrame, how, schema: str) -> DataFrame:
         pairs = kept(pairs)
         ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         sets = rows_with(d, ids).mapInArrow(_sets(shingle), "id long, s binary")
@@ -226,25 +289,37 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
         both = both.join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
         with small_batches(d.sparkSession, 500):
-            return kept(both.select("a", "b", "x", "y").mapInArrow(_verify(num, den), "a long, b long"))
+            return kept(both.select("a", "b", "x", "y").mapInArrow(how, schema))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return compared(pairs, _verify(num, den), "a long, b long")
 
     longs = posts.where(f"df >= {hub}")
     hubs = longs.groupBy("token").agg(F.max(F.struct("central", F.expr("~id").alias("no"))).alias("h")).select("token", F.expr("~h.no").alias("id"))
     hub_posts = longs.join(hubs, ["token", "id"], "left_semi").alias("a")
     near_hub = hub_posts.join(longs.alias("b"), F.expr("a.token = b.token and a.id != b.id"))
-    first = verified(nearest_hubs(near_hub))
-
-    # Pairs between what is not yet connected: of each posting list, all but its largest component against the rest.
-    comp = components(first)
-    placed = posts.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = kept(placed)
-    sizes = placed.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("token").agg(F.max(F.struct("k", "component")).alias("m")).select("token", F.col("m.component").alias("main"))
-    rest = placed.join(main, "token").where("component != main")
+    schema = "x long, h long, link boolean, near boolean, n long, hub_n long, removed long, added long, diff binary"
+    measured = compared(nearest_hubs(near_hub), _measure(num, den), schema)
+    to_hubs = measured.where("link").select(F.least("x", "h").alias("a"), F.greatest("x", "h").alias("b")).distinct()
+
+    # Each document joins the group of one hub that is near it: the one that most documents are near.
+    near = measured.where("near").select("x", "h")
+    popular = near.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
+    group = near.join(popular, "h").groupBy("x").agg(F.max(F.struct("k", F.expr("~h").alias("no"))).alias("g"))
+    group = kept(group.select("x", F.expr("~g.no").alias("h")))
+    inside = verified(_difference_prefixes(measured.join(group, ["x", "h"]), num, den))
+
+    # Pairs of different groups that aren't yet connected: of each posting list, all but its largest group against the rest.
+    comp = components(to_hubs.unionByName(inside)).withColumnRenamed("node", "id")
+    placed = posts.join(comp, "id", "left").join(group.select(F.col("x").alias("id"), F.col("h").alias("group")), "id", "left")
+    placed = kept(placed.withColumns({"component": F.coalesce("component", "id"), "group": F.coalesce("group", "id")}))
+    sizes = placed.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("token").agg(F.max(F.struct("k", "group")).alias("m")).select("token", F.col("m.group").alias("main"))
+    rest = placed.join(main, "token").where("group != main")
     a_side, b_side = rest.alias("a"), placed.join(main, "token").alias("b")
-    apart = F.expr("a.token = b.token and a.component != b.component and (b.component = b.main or a.id < b.id)")
+    apart = F.expr("a.token = b.token and a.group != b.group and a.component != b.component and (b.group = b.main or a.id < b.id)")
     second = verified(candidates(a_side.join(b_side, apart)))
-    return signed.drop("prefix"), first.unionByName(second)
+    return signed.drop("prefix"), to_hubs.unionByName(inside).unionByName(second)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:

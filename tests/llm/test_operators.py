@@ -79,6 +79,28 @@ def test_components_equal_brute_force(spark, n, num, hub):
     assert got == _brute_components(rows, n, num, 100)
 
 
+def test_branches_far_from_their_hub_stay_linked(spark):
+    rng = random.Random(8)
+    base = ["w%d" % k for k in range(70)]
+
+    def edited(t, edits):
+        t = list(t)
+        for k in rng.sample(range(len(t)), edits):
+            t[k] = "x%d" % rng.randrange(40) if rng.random() < 0.9 else t[k] + " " + t[k]
+        return t
+
+    texts = [edited(base, rng.choice([0, 1, 1, 2, 3])) for _ in range(60)]
+    for depth in (2, 3, 4, 6, 9):  # branches that the centre links with or not, each with copies of its own
+        branch = edited(base, depth)
+        texts += [edited(branch, rng.choice([0, 1, 1, 2])) for _ in range(8)] + [branch[:-depth]]
+    rng.shuffle(texts)
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df).collect()}
+    want = _brute_components(rows, 3, 90, 100)
+    assert len({c for _, c in want.values()}) > 5 and got == want
+
+
 def test_components_edges(spark):
     out = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(_edge(spark)).collect()), key=str)
     assert out == sorted([(1, 2, 1), (2, 0, 2), (3, 0, 3), (4, 0, 4), (5, 57, 5), (6, 2, 1), (6, 2, 1), (None, 2, None), (7, 3, 7)], key=str)
