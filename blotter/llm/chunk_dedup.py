@@ -112,7 +112,8 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, chars, sha256, ids) of each row; ``ids`` are equal exactly for rows with equal normalised texts."""
     d = id_and_text(docs, id_col, text_col)
     signed = kept(d.mapInArrow(_recipes(key_bytes), "id long, chars long, sha256 string, recipe binary"))
-    often = signed.where("length(recipe) > 0").groupBy("recipe").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    # stored, so that the join below reads two exchanges: Spark can then split a recipe that thousands of rows have
+    often = kept(signed.where("length(recipe) > 0").groupBy("recipe").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("recipe"))
     ids = kept(signed.join(often, "recipe", "left_semi").select("id").distinct())
     rows = rows_with(d, ids) if not signed.where("id is null").limit(1).count() else d
     chunks = rows.mapInArrow(_chunk_rows(key_bytes), CHUNKS)
@@ -140,7 +141,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = identified(docs, id_col, text_col, key_bytes)
     # ~id falls as id rises, without an overflow
     groups = rows.groupBy("ids").agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("chars", F.expr("~id").alias("no"))).alias("top"))
-    groups = groups.where("size > 1").select("ids", "size", F.expr("~top.no").alias("keep_id"))
+    groups = kept(groups.where("size > 1").select("ids", "size", F.expr("~top.no").alias("keep_id")))  # stored for the same reason
     out = rows.join(groups, "ids", "left")
     alike = Window.partitionBy("sha256", "id").orderBy(F.desc("chars"))
     return out.select(
