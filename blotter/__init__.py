@@ -15,6 +15,7 @@ from blotter.operators.facilities import assigned_distance, nearest_distance, ne
 from blotter.operators.periods import period_counts, top_periods
 from blotter.operators.zones import extreme_zone_counts
 from blotter.sources.incidents import load_incidents, load_incidents_text
+from blotter.sources.lookups import load_geocode, load_income, load_stations
 
 __all__ = [
     "assigned_distance",
@@ -23,8 +24,11 @@ __all__ = [
     "geodesic_km",
     "haversine_km",
     "hour_prefix_counts",
+    "load_geocode",
     "load_incidents",
     "load_incidents_text",
+    "load_income",
+    "load_stations",
     "nearest_distance",
     "nearest_facility",
     "period_counts",
