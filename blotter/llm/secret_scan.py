@@ -1,7 +1,8 @@
 """Secret scans in DataFrame expressions only: base patterns, and a battery of randomness tests for other tokens.
 
 Base patterns give spans of kinds assign, access and hex. Further candidates are runs of 20 or more characters
-``[A-Za-z0-9+/_=-]`` that no base span touches and that hold digits and letters. The battery infers each candidate's encoding
+``[A-Za-z0-9+/_-]``, with the ``=`` that pad them, that no base span touches and that hold digits and letters. A ``=`` before
+a run ends another one: in ``NAME=token`` and ``?key=token`` the token is judged alone. The battery infers each candidate's encoding
 (hex, base32 or base64) and tests it against random characters of that alphabet:
 
 - chi-squared uniformity, over the symbols and over the classes of symbols (digits, lower, upper case, others),
@@ -34,8 +35,8 @@ KINDS = ["assign", "access", "hex", "random"]
 #: Groups of 6, 20 and 24 characters at least pass.
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
-#: A whole run of 20 or more characters; inside a run the look-behind fails at once.
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: A whole run of 20 or more characters; inside a run the look-behind fails at once. ``=`` is padding only where no value follows.
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:=++(?![A-Za-z0-9+/_-]))?"
 RATE = 0.05
 BAND, BANDS = 8, 12  # bands of 8 characters; the last is open
 BINS, PER_DECADE = 120, 8

@@ -461,6 +461,19 @@ def test_battery_finds_random_tokens_only(spark):
     assert out == {1: f"random:4:{4 + len(RANDOM_TOKEN)}", 2: "", 3: "hex:0:44", 4: "random:0:40"}
 
 
+def test_tokens_behind_an_equals_sign(spark):
+    other = "Zk3QvX8mB1tYc7RfLw5NsJ0hGd2UeP9a"
+    texts = ["AWS_SECRET_ACCESS_KEY={}", "export GITHUB_PAT={}\nPATH=/usr/bin", "https://h.example/a?sig={}&page=2", "https://h.example/?user=me&key={}", "A_LONG_NAME_OF_A_VARIABLE={}", "x=={} y", "see {}== ok", "={}"]
+    rows = [(k, t.format(token)) for token in (RANDOM_TOKEN, other) for k, t in enumerate(texts, 100 * (token == other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in secret_scan.secret_spans(df).collect()}
+    for k, t in enumerate(texts):
+        a = t.index("{}")
+        assert spans[k] == spans[100 + k] == f"random:{a}:{a + 32 + 2 * ('}==' in t)}"
+    left = {r.doc_id: r.text for r in secret_scan.redact(df).collect()}
+    assert left == {k: texts[k % 100].replace("{}==", "{}").format("[SECRET]") for k in left}
+
+
 def test_redaction_and_edges(spark):
     rows = [(1, f"a password=abcdef12 b {RANDOM_TOKEN}", "x"), (2, None, "x"), (3, "", "x"), (4, "token=" + "0123456789abcdef" * 2 + "é", "x"), (5, "clean text", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, secret_base string")
