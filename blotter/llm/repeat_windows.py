@@ -8,12 +8,13 @@ Digit 1 is a 32-byte string. Sorting every suffix by it would move many times th
 (leftmost of equals). It depends on the window's bytes alone, so equal windows have anchors with equal digits at
 equal places, and each anchor serves one run of window starts, its cell. The passes:
 
-1. Anchors are sorted by the digit; a group of one is finished, as none of its windows is repeated.
-2. Within a group, cells are sorted by all the bytes their windows cover. All but the first of equal cells are repeats
-   from end to end. A task sends the first of equal cells only and settles the others itself, so a passage that a third
-   of all documents share is a row per task, not per document.
-3. In groups with several different cells, the windows of each first cell are sorted by the remaining bytes, through the
-   threshold, to find those that other cells hold too. This touches borders of repeats only.
+1. Cells are dealt out and sorted by the digit and by all the bytes their windows cover. All but the first of equal cells
+   are repeats from end to end. A task sends the first of equal cells only and settles the others itself, so a passage that
+   a third of all documents share is a row per task, not per document.
+2. Different cells of each digit are counted. A digit with one cell is finished, as none of its windows is repeated elsewhere.
+3. In the others, the windows of each first cell are sorted by the remaining bytes, through the threshold, to find those
+   that other cells hold too. This touches borders of repeats only. Only equal windows must meet: those of a digit that
+   many different cells have, as at the edges of a common passage, are dealt to many parts by their hashes.
 
 Digits, cells and windows are compared by 64-bit hashes within a group that already shares 32 bytes.
 """
@@ -25,15 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm import textops
-from blotter.llm.shared import id_and_text, id_filter, kept, may_hold
+from blotter.llm.shared import BROADCAST_ROWS, id_and_text, id_filter, kept, may_hold
 
 DEPTH, DIGIT = 100, 32
 LOWEST = -(2**63)  # stands for an id of null, which comes first
 ROW = np.dtype([("digit", "<i8"), ("cell", "<i8"), ("id", "<i8"), ("start", "<i8"), ("run", "<i8")])
+PART_ROW = np.dtype([*ROW.descr, ("part", "<i8")])
+#: Windows of a digit are dealt by their hashes to a part for each so many different cells, so no task gets a hot digit whole.
+CELLS = 64
 
 
 def _windowed_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -154,48 +159,35 @@ def _again(rows: np.ndarray) -> np.ndarray:
     return same & moved
 
 
-def _sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(rows, kind) of whole digit groups, from batches sorted by digit, cell, id and start.
+def _settle(depth: int):
+    """Spans (kind 0) of all but the first of equal cells, and the first cells (kind 1), from rows sorted by kind, digit, cell and place.
 
-    Only rows of one digit's group are held over from batch to batch; equal cells were reduced to one row a task before.
+    Only the first row of the last cell is held over from batch to batch.
     """
-    held = None
-    for b in batches:
-        rows = np.empty(b.num_rows, np.dtype([*ROW.descr, ("kind", "<i4")]))
-        for k, name in enumerate(NAMES):
-            rows[name] = b.column(k).to_numpy(zero_copy_only=False)
-        if held is not None:
-            rows = np.concatenate([held, rows])
-        cut = np.searchsorted(rows["digit"], rows["digit"][-1]) if len(rows) else 0
-        held = rows[cut:]
-        if cut:
-            yield rows[:cut]
-    if held is not None and len(held):
-        yield held
-
-
-def _settle(depth: int):
-    """Spans (kind 0) of all but the first of equal cells; rows of kind 2: first cells whose group has other cells too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _sorted_groups(batches):
-            ready = rows[rows["kind"] == 0]
-            if len(ready):
-                yield _batch(*(ready[c] for c in NAMES))
-            rows = rows[rows["kind"] == 1]
-            if not len(rows):
+        last = np.empty(0, ROW)
+        for b in batches:
+            ready = b.filter(pc.equal(b.column(5), 0))
+            if ready.num_rows:
+                yield ready
+            b = b.filter(pc.equal(b.column(5), 1))
+            if not b.num_rows:
                 continue
+            rows = np.empty(b.num_rows, ROW)
+            for k, name in enumerate(NAMES[:5]):
+                rows[name] = b.column(k).to_numpy(zero_copy_only=False)
+            rows = np.concatenate([last, rows])
             again = _again(rows)
             if again.any():
                 yield _spans(rows[again], depth)
-            firsts = rows[~again]
-            new = np.ones(len(firsts), bool)
-            new[1:] = firsts["digit"][1:] != firsts["digit"][:-1]
-            size = np.diff(np.append(np.flatnonzero(new), len(firsts)))
-            mixed = firsts[np.repeat(size, size) > 1]
-            # equal rows of one place (a repeated input row) aren't different cells
-            if len(mixed):
-                yield _batch(*(mixed[c] for c in NAMES[:5]), np.full(len(mixed), 2, np.int32))
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows["digit"][1:] != rows["digit"][:-1]) | (rows["cell"][1:] != rows["cell"][:-1])
+            # a row of the same place (a repeated input row) is neither a repeat nor another cell
+            firsts = rows[new][len(last) :]
+            last = rows[np.flatnonzero(new)[-1:]]
+            if len(firsts):
+                yield _batch(*(firsts[c] for c in NAMES[:5]), np.ones(len(firsts), np.int32))
 
     return run
 
@@ -214,18 +206,19 @@ def _window_rows(depth: int):
                     continue
                 lens = np.diff(b.column(2).slice(i, j - i).offsets.to_numpy())
                 doc = np.repeat(np.arange(j - i), lens)
-                start, count, dig = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "run", "digit"))
+                start, count, dig, parts_of = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("start", "run", "digit", "parts"))
                 end = start + count - 1 + depth
                 fits = end <= (off[i + 1 : j + 1] - off[i:j])[doc]  # always, unless texts differ under one id
-                doc, start, count, dig = doc[fits], start[fits], count[fits], dig[fits]
+                doc, start, count, dig, parts_of = doc[fits], start[fits], count[fits], dig[fits], parts_of[fits]
                 if not len(doc):
                     continue
                 at = np.repeat(start, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                 row = np.repeat(np.arange(len(doc)), count)
                 place = at + (off[i:j] - off[i])[doc[row]]
-                rows = np.empty(len(at), ROW)
+                rows = np.empty(len(at), PART_ROW)
                 rows["digit"], rows["id"], rows["start"], rows["run"] = dig[row], ids[i:j][doc[row]], at, 1
-                rows["cell"] = textops.mix64((h[place + depth] - h[place]) * inverse[place]).view(np.int64)
+                window = textops.mix64((h[place + depth] - h[place]) * inverse[place])
+                rows["cell"], rows["part"] = window.view(np.int64), (window % parts_of[row].astype(np.uint64)).view(np.int64)
                 parts.append(rows)
             if not parts:
                 continue
@@ -234,63 +227,71 @@ def _window_rows(depth: int):
             again = _again(rows)
             spans = _spans(rows[again], depth)
             key = textops.mix64(spans.column(2).to_numpy().view(np.uint64)).view(np.int64)
-            yield _packed(key, spans.column(2), spans.column(3), spans.column(4), [None] * len(key))
+            yield _packed(key, np.zeros(len(key), np.int64), spans.column(2), spans.column(3), spans.column(4), [None] * len(key))
             rows = rows[~again]
-            rows = rows[np.lexsort((rows["start"], rows["id"], rows["digit"]))]
+            rows = rows[np.lexsort((rows["start"], rows["id"], rows["part"], rows["digit"]))]
             new = np.ones(len(rows), bool)
-            new[1:] = (rows["digit"][1:] != rows["digit"][:-1]) | (rows["id"][1:] != rows["id"][:-1]) | (rows["start"][1:] >= rows["start"][:-1] + depth)
+            new[1:] = (rows["digit"][1:] != rows["digit"][:-1]) | (rows["part"][1:] != rows["part"][:-1]) | (rows["id"][1:] != rows["id"][:-1]) | (rows["start"][1:] >= rows["start"][:-1] + depth)
             at = np.append(np.flatnonzero(new), len(rows))
             first = rows[new]
             step = (rows["start"] - np.repeat(first["start"], np.diff(at))).astype("<u4")
             packed = [step[x:y].tobytes() + rows["cell"][x:y].tobytes() for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
-            yield _packed(first["digit"], first["id"], first["start"], np.diff(at), packed)
+            yield _packed(first["digit"], first["part"], first["id"], first["start"], np.diff(at), packed)
 
     return run
 
 
-PACKED = "digit long, id long, start long, run long, windows binary"
+PACKED = "digit long, part long, id long, start long, run long, windows binary"
 
 
-def _packed(digit, i, start, run, windows) -> pa.RecordBatch:
-    """One row for the windows of a cell: places from ``start`` on (4 bytes each), then hashes (8 each). No windows: a span."""
-    arrays = [pa.array(np.ascontiguousarray(x)) for x in (digit, i, start, run)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(windows, pa.binary())], names=["digit", "id", "start", "run", "windows"])
+def _packed(digit, part, i, start, run, windows) -> pa.RecordBatch:
+    """One row for a cell's windows of one part: places from ``start`` on (4 bytes each), then hashes (8 each). No windows: a span."""
+    arrays = [pa.array(np.ascontiguousarray(x)) for x in (digit, part, i, start, run)]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(windows, pa.binary())], names=["digit", "part", "id", "start", "run", "windows"])
 
 
 def _settle_windows(depth: int):
-    """Spans of all but the first of equal windows, from packed rows sorted by digit: (id, start, end)."""
+    """Spans of all but the first of equal windows, from packed rows sorted by digit and part: (id, start, end)."""
 
     def groups(batches):
-        held = None
+        """Batches of whole groups; what a batch's last group has is joined once, when the group ends."""
+        held: list[pa.RecordBatch] = []
         for b in batches:
-            ready = b.filter(b.column(4).is_null())
+            ready = b.filter(b.column(5).is_null())
             if ready.num_rows:
-                yield ready, True
-            b = b.filter(b.column(4).is_valid())
-            if held is not None:
-                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()
-                b = b[0] if b else held
-            digit = b.column(0).to_numpy(zero_copy_only=False)
-            cut = int(np.searchsorted(digit, digit[-1])) if len(digit) else 0
-            held = b.slice(cut)
-            if cut:
-                yield b.slice(0, cut), False
-        if held is not None and held.num_rows:
+                yield [ready], True
+            b = b.filter(b.column(5).is_valid())
+            if not b.num_rows:
+                continue
+            digit, part = (b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            other = np.flatnonzero((digit != digit[-1]) | (part != part[-1]))
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if held and (cut or (held[-1].column(0)[-1], held[-1].column(1)[-1]) != (b.column(0)[0], b.column(1)[0])):
+                yield [*held, b.slice(0, cut)], False
+                held = []
+            elif cut:
+                yield [b.slice(0, cut)], False
+            held.append(b.slice(cut))
+        if held:
             yield held, False
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "start", "end"]
-        for b, spans in groups(batches):
+        for group, spans in groups(batches):
             if spans:
-                yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), b.column(3)], names=names)
+                yield pa.RecordBatch.from_arrays([group[0].column(k) for k in (2, 3, 4)], names=names)
                 continue
-            digit, i, start, count = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            bodies = b.column(4).to_pylist()
-            rows = np.empty(int(count.sum()), ROW)
-            rows["digit"], rows["id"], rows["run"] = np.repeat(digit, count), np.repeat(i, count), 1
-            step = np.frombuffer(b"".join(x[: 4 * k] for x, k in zip(bodies, count.tolist())), "<u4")
-            rows["start"] = np.repeat(start, count) + step
-            rows["cell"] = np.frombuffer(b"".join(x[4 * k :] for x, k in zip(bodies, count.tolist())), "<i8")
+            parts = []
+            for b in group:
+                digit, _, i, start, count = (b.column(k).to_numpy(zero_copy_only=False) for k in range(5))
+                bodies = b.column(5).to_pylist()
+                rows = np.empty(int(count.sum()), ROW)
+                rows["digit"], rows["id"], rows["run"] = np.repeat(digit, count), np.repeat(i, count), 1
+                step = np.frombuffer(b"".join(x[: 4 * k] for x, k in zip(bodies, count.tolist())), "<u4")
+                rows["start"] = np.repeat(start, count) + step
+                rows["cell"] = np.frombuffer(b"".join(x[4 * k :] for x, k in zip(bodies, count.tolist())), "<i8")
+                parts.append(rows)
+            rows = np.concatenate(parts)
             rows = rows[np.lexsort((rows["start"], rows["id"], rows["cell"], rows["digit"]))]
             again = _again(rows)
             if again.any():
@@ -300,8 +301,23 @@ def _settle_windows(depth: int):
     return run
 
 
-def _by_digit(rows: DataFrame) -> DataFrame:
-    return rows.repartition(F.col("digit")).sortWithinPartitions("digit", "kind", "cell", "id", "start")
+def _mixed_cells(firsts: DataFrame) -> DataFrame:
+    """The first cells whose digit has other cells too, with the number of parts that the digit's windows are dealt to.
+
+    Distinct cells are counted by an aggregate on the map side. A filter of fixed size comes before the join, and the stored
+    counts let Spark split a digit that many cells have.
+    """
+    many = kept(firsts.groupBy("digit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digit", F.ceil(F.col("n") / CELLS).cast("long").alias("parts")))
+    some = firsts.mapInArrow(_only_digits(id_filter(many, "digit")), SCHEMA)
+    return kept(some.join(F.broadcast(many) if many.count() <= BROADCAST_ROWS else many.hint("merge"), "digit").select("digit", "id", "start", "run", "parts"))
+
+
+def _only_digits(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(may_hold(bits, b.column(0).to_numpy(zero_copy_only=False))))
+
+    return run
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, digit: int = DIGIT) -> DataFrame:
@@ -312,11 +328,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 1 <= digit <= depth:
         raise ValueError("digit must be between 1 and depth")
     d = id_and_text(docs, id_col, text_col)
-    found = kept(_by_digit(d.mapInArrow(_first_cells(depth, digit), SCHEMA)).mapInArrow(_settle(depth), SCHEMA))
-    mixed = found.where("kind = 2").groupBy("id").agg(F.collect_set(F.struct("start", "run", "digit")).alias("cells"))
-    texts = d.mapInArrow(_only(id_filter(found.where("kind = 2"))), "id long, text string")
+    rows = d.mapInArrow(_first_cells(depth, digit), SCHEMA).repartition("digit", "cell").sortWithinPartitions("kind", "digit", "cell", "id", "start")
+    found = kept(rows.mapInArrow(_settle(depth), SCHEMA))
+    cells_of = _mixed_cells(found.where("kind = 1"))
+    mixed = cells_of.groupBy("id").agg(F.collect_set(F.struct("start", "run", "digit", "parts")).alias("cells"))
+    texts = d.mapInArrow(_only(id_filter(cells_of)), "id long, text string")
     windows = texts.join(mixed, "id").select("id", "text", "cells").mapInArrow(_window_rows(depth), PACKED)
-    windows = windows.repartition(F.col("digit")).sortWithinPartitions("digit")
+    windows = windows.repartition("digit", "part").sortWithinPartitions("digit", "part")
     borders = windows.mapInArrow(_settle_windows(depth), "id long, a long, b long")
     spans = found.where("kind = 0").select("id", F.col("start").alias("a"), F.col("run").alias("b")).unionByName(borders)
     return spans.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))

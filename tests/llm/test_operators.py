@@ -307,6 +307,32 @@ def test_repeats_equal_brute_force(spark, depth, digit):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == _brute_repeats(rows, depth)
 
 
+def test_passage_with_different_neighbours(spark, monkeypatch):
+    """At a common passage's edges each document has a cell of its own: one digit, many cells, over many small batches."""
+    rng = random.Random(12)
+    junk = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, phrase = junk(300), junk(60)
+    rows = [(k, junk(rng.randint(0, 150)) + rng.choice([passage, passage, phrase]) + junk(rng.randint(0, 150))) for k in range(150)]
+    monkeypatch.setattr(repeat_windows, "CELLS", 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    with shared.small_batches(spark, 7):
+        out = repeat_windows.remove_repeats(df).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == _brute_repeats(rows, 100)
+
+
+def test_windows_of_a_hot_digit_are_dealt_out():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    text = pa.array(["".join(map(chr, rng.integers(97, 123, 130))) for _ in range(50)])
+    cells = pa.array([[{"start": 0, "run": 30, "digit": 5, "parts": 40}]] * 50)
+    out = [r for b in repeat_windows._window_rows(100)(iter([pa.RecordBatch.from_arrays([pa.array(range(50)), text, cells], names=["id", "text", "cells"])])) for r in b.to_pylist() if r["windows"]]
+    load = Counter()
+    for r in out:
+        load[r["digit"], r["part"]] += r["run"]
+    assert sum(load.values()) == 1500 and len(load) == 40 and max(load.values()) < 80
+
+
 def test_repeats_edges(spark):
     out = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in repeat_windows.remove_repeats(_edge(spark), depth=20, digit=8).collect())
     # the row without an id comes first, so the texts of 1 and 6 repeat its windows; the two rows of 6 are one document
