@@ -28,7 +28,8 @@ BLOCK = 32
 #: A text is template if it stands at its place in this share of a block's different pages, and in so many at least.
 SHARE, LEAST = 0.6, 3
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>|<[!?][^>]*>", re.S)
+#: A quote is alone only where none closes it, and nothing is tried twice; where so no tag ends, it ends at the next ``>``.
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+(?=>)|[^>]*+)>|<[!?][^>]*+>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -98,11 +99,11 @@ def parse(page: str) -> Node:
             articles -= x.tag in ("article", "main")
         del stack[n:]
 
-    pos, low = 0, None
+    pos, low, last = 0, None, page.rfind(">")
     while True:
-        m = TOKEN.search(page, pos)
+        m = TOKEN.search(page, pos) if pos <= last else None
         if not m:
-            rest = page[pos:]
+            rest = page[pos:].partition("<!--")[0]  # of what follows the last tag, only a comment ends the text
             cut = re.search(r"<[!/?a-zA-Z][^<>]*$", rest)  # a tag that the page's end cuts
             add_text(rest[: cut.start()] if cut else rest)
             return root
@@ -220,25 +221,27 @@ def shape_of(items: list[tuple[tuple[str, ...], str, bool, bool]]) -> tuple[Shap
 
 def match_trees(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
     """The pairs of a largest top-down, order-preserving match of two trees with like roots (simple tree matching)."""
-    sizes: dict[tuple[int, int], int] = {}
-
-    def size(x: Shape, y: Shape) -> int:
-        if x.tag != y.tag:
-            return 0
-        key = (id(x), id(y))
-        if key not in sizes:
-            sizes[key] = 1 + table(x, y)[-1][-1]
-        return sizes[key]
+    sizes: dict[tuple[int, int], int] = {}  # of pairs with like tags
 
     def table(x: Shape, y: Shape) -> list[list[int]]:
         t = [[0] * (len(y.children) + 1)]
         for i, c in enumerate(x.children):
             row = [0]
             for j, d in enumerate(y.children):
-                row.append(max(row[j], t[i][j + 1], t[i][j] + size(c, d)))
+                row.append(max(row[j], t[i][j + 1], t[i][j] + sizes.get((id(c), id(d)), 0)))
             t.append(row)
         return t
 
+    # children before their parents, without recursion: pages may nest to any depth
+    below: list[tuple[Shape, Shape, bool]] = [(a, b, False)]
+    while below:
+        x, y, ready = below.pop()
+        if ready:
+            sizes[id(x), id(y)] = 1 + table(x, y)[-1][-1]
+        elif x.tag == y.tag:
+            below.append((x, y, True))
+            below += [(c, d, False) for c in x.children for d in y.children if c.tag == d.tag]
+
     pairs, todo = [], [(a, b)]
     while todo:
         x, y = todo.pop()
@@ -248,7 +251,7 @@ def match_trees(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
         t = table(x, y)
         i, j = len(x.children), len(y.children)
         while i and j:
-            s = size(x.children[i - 1], y.children[j - 1])
+            s = sizes.get((id(x.children[i - 1]), id(y.children[j - 1])), 0)
             if s and t[i][j] == t[i - 1][j - 1] + s:
                 todo.append((x.children[i - 1], y.children[j - 1]))
                 i, j = i - 1, j - 1

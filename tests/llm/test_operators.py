@@ -384,6 +384,14 @@ def test_tree_matching_aligns_like_nodes():
     assert sorted(x.tag for x, _ in html_wrapper.match_trees(a, b)) == ["#root", "div", "li", "p", "ul"]
 
 
+def test_malformed_pages_end():
+    attributes = " ".join(f'a{k}="v{k}"' for k in range(60))
+    assert html_wrapper.extract([f"<p>one</p><a {attributes}", f"<p>two</p><a {attributes} b='", f"<p>x</p><a {attributes} c=\"d>three</a> it's \"so"]) == ["one", "two", "x\nthree it's \"so"]
+    assert html_wrapper.extract(["<p>a</p>b <!-- c <b"]) == ["a\nb"]
+    deep = [f"<body>{'<div>' * 5000}deep {k}" for k in range(3)]
+    assert html_wrapper.extract(deep) == ["deep 0", "deep 1", "deep 2"]
+
+
 # ---------------------------------------------------------------- quality
 
 
