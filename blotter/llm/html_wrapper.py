@@ -3,8 +3,10 @@
 Pages of one host are aligned in blocks: their DOM trees (runs of like siblings folded into one list node, as templates
 repeat records) are matched by simple tree matching with the block's first page. A text that stands at the same template
 place in most of the block's different pages belongs to the template; slots that vary hold content. Content is taken from the
-``article`` or ``main`` element if there is one, else from the varying slots of the body. Elements that by name, role or class
-aren't main text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments) never count.
+``article`` or ``main`` element if there is one, else from the varying slots of the body. Elements that by name or role aren't
+main text (menus, headers, footers, forms, scripts) never count. A class or id that says so (sidebar, notice, advert, comments)
+must say it as a whole name, and doesn't count against what was induced: where an element so named holds the page's article,
+or most of its varying text, its name is ignored.
 
 Blocks hold a bounded number of pages by a salt on the host, so a host with a third of all pages is many groups, and
 every page is aligned with others of its host.
@@ -39,12 +41,15 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
 SKIP = {"script", "style", "noscript", "template", "head", "title", "nav", "footer", "aside", "form", "button", "select", "option", "textarea", "input", "iframe", "object", "svg", "canvas",
         "dialog", "menu", "noembed", "noframes", "audio", "video", "map", "datalist"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form"}
-#: Words of class and id names that mark such elements.
-MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tions?)?|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-?bar|aside|footer|masthead|"
+#: Class and id names that mark such elements: whole names, not parts of others (``has-sidebar``, ``search-results``).
+MARK = re.compile(
+    r"(?:(?:top|bottom|left|right|main|site|page|global|primary|secondary|header|footer|side|mobile|cookies?|social|google)[_-])*"
+    r"(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tions?)?|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-?bar|aside|footer|masthead|"
     r"site-?header|page-?header|cookies?|consent|notices?|gdpr|popup|modal|overlay|comments?|disqus|respond|replies|share|sharing|social|related|recommended|newsletter|subscribe|signup|"
-    r"login|search|pagination|pager|skip-?link|copyright|widget|toolbar|hidden)(?:$|[\s_-])", re.I)
-HEADER = re.compile(r"(?:^|[\s_-])(?:header|top-?bar)(?:$|[\s_-])", re.I)
+    r"login|search|pagination|pager|skip-?link|copyright|widget|toolbar|hidden)(?:[_-](?:bar|box|banner|notice|menu|links?|list|form))*", re.I)
+HEADER = re.compile(r"(?:header|top-?bar)", re.I)
+#: What ``Node.skip`` has for elements that never count; else the numbers of the elements around it that a name marks.
+NEVER = (0,)
 #: Start tags that end an open paragraph.
 ENDS_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main",
           "nav", "ol", "p", "pre", "section", "table", "ul"}
@@ -55,7 +60,7 @@ STOPS = {"ul", "ol", "table", "dl", "select", "article", "section", "div", "body
 class Node:
     __slots__ = ("tag", "children", "skip", "text")
 
-    def __init__(self, tag: str, skip: bool = False, text: str = ""):
+    def __init__(self, tag: str, skip: tuple[int, ...] = (), text: str = ""):
         self.tag, self.skip, self.text, self.children = tag, skip, text, []
 
 
@@ -63,27 +68,28 @@ def _attributes(s: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(s)}
 
 
-def _skipped(tag: str, attrs: str, in_article: bool) -> bool:
+def _skipped(tag: str, attrs: str, in_article: bool) -> str:
+    """"never" if an element can't hold main text, "named" if a class or id says so, else ""."""
     if tag in SKIP:
-        return True
+        return "never"
     if tag == "header":
-        return not in_article
+        return "" if in_article else "never"
     if not attrs or attrs.isspace():
-        return False
+        return ""
     a = _attributes(attrs)
     if a.get("role", "").lower() in ROLES or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", a.get("style", ""), re.I):
-        return True
+        return "never"
+    names = f"{a.get('class', '')} {a.get('id', '')}".split()
     if tag in ("html", "body", "article", "main"):
-        return tag == "article" and bool(re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", a.get("class", ""), re.I))
-    names = f"{a.get('class', '')} {a.get('id', '')}"
-    return bool(MARKS.search(names)) or (not in_article and bool(HEADER.search(names)))
+        return "never" if tag == "article" and any(x.lower() in ("comment", "comments") for x in a.get("class", "").split()) else ""
+    return "named" if any(MARK.fullmatch(x) or (not in_article and HEADER.fullmatch(x)) for x in names) else ""
 
 
 def parse(page: str) -> Node:
     """The DOM tree of a page, tolerant of unclosed and misnested tags; a cut page ends where it ends."""
     root = Node("#root")
     stack = [root]
-    articles = 0
+    articles = marks = 0
 
     def add_text(s: str) -> None:
         if s:
@@ -134,25 +140,27 @@ def parse(page: str) -> Node:
                 if k >= len(stack) or stack[k].tag in STOPS - {"td", "th"}:
                     break
         top = stack[-1]
-        node = Node(tag, top.skip or _skipped(tag, m[3], articles > 0))
+        how = "never" if top.skip == NEVER else _skipped(tag, m[3], articles > 0)
+        marks += how == "named"
+        node = Node(tag, NEVER if how == "never" else (*top.skip, marks) if how else top.skip)
         top.children.append(node)
         if tag in RAW:
             if low is None:
                 low = page.lower()
             end = low.find(f"</{tag}", pos)
             body = page[pos:] if end < 0 else page[pos:end]
-            node.children.append(Node("#text", True, body))
+            node.children.append(Node("#text", NEVER, body))
             pos = len(page) if end < 0 else low.find(">", end) + 1 or len(page)
         elif tag not in VOID and not m[3].endswith("/"):
             stack.append(node)
             articles += tag in ("article", "main")
 
 
-def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, bool, bool]]:
-    """(path, text, skipped, in the article) of each block of text, in page order: text between block elements."""
-    out: list[tuple[tuple[str, ...], str, bool, bool]] = []
+def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, tuple[int, ...], bool]]:
+    """(path, text, skip, in the article) of each block of text, in page order: text between block elements."""
+    out: list[tuple[tuple[str, ...], str, tuple[int, ...], bool]] = []
     held: list[str] = []
-    place: list = [((), False, False)]
+    place: list = [((), (), False)]
 
     def flush() -> None:
         if held:
@@ -161,7 +169,7 @@ def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, bool, bool]]:
                 out.append((place[0][0], text, place[0][1], place[0][2]))
             held.clear()
 
-    todo: list = [(root, (), False, False)]
+    todo: list = [(root, (), False, ())]
     while todo:
         node, path, inside, after = todo.pop()
         if node is None:
@@ -175,13 +183,13 @@ def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, bool, bool]]:
         if node.tag == "br":
             held.append(" ")
             continue
-        inline = node.tag in INLINE and not (node.skip and not after)
+        inline = node.tag in INLINE and node.skip == after
         if not inline:
             flush()
         inside = inside or node.tag in ("article", "main")
         path = path if inline or node is root else (*path, node.tag)
         if not inline:
-            todo.append((None, (), False, False))
+            todo.append((None, (), False, ()))
         for c in reversed(node.children):
             todo.append((c, path, inside, node.skip))
     flush()
@@ -200,7 +208,7 @@ class Shape:
         self.tag, self.children, self.texts = tag, [], []
 
 
-def shape_of(items: list[tuple[tuple[str, ...], str, bool, bool]]) -> tuple[Shape, list[Shape]]:
+def shape_of(items: list[tuple[tuple[str, ...], str, tuple[int, ...], bool]]) -> tuple[Shape, list[Shape]]:
     """The folded tree over the blocks' paths, and the node of each block."""
     root, nodes, stack = Shape("#root"), [], []
     for path, text, _, _ in items:
@@ -262,6 +270,23 @@ def match_trees(a: Shape, b: Shape) -> list[tuple[Shape, Shape]]:
     return pairs
 
 
+def _unmarked(varying: list) -> list:
+    """Of varying blocks, those that no named element holds.
+
+    If no article is outside of named elements, a name is ignored that holds most of the articles' text, or without any
+    most of the varying text.
+    """
+    article = [b for b in varying if b[3]]
+    if any(not b[2] for b in article):  # comments may be longer than their article
+        return [b for b in varying if not b[2]]
+    held, inside = article or varying, Counter()
+    for b in held:
+        for mark in b[2]:
+            inside[mark] += len(b[1])
+    ignored = {mark for mark, n in inside.items() if 2 * n > sum(len(b[1]) for b in held)}
+    return [b for b in varying if ignored.issuperset(b[2])]
+
+
 def extract(pages: list[str | None], share: float = SHARE, least: int = LEAST) -> list[str]:
     """Main texts of pages of one host (a block), by template induction over them.
 
@@ -286,7 +311,7 @@ def extract(pages: list[str | None], share: float = SHARE, least: int = LEAST) -
     for x in items:
         k = different[tuple(b[1] for b in x)]
         nodes = shapes[k][1]
-        varying = [b for b, n in zip(x, nodes) if not b[2] and template[places[k][id(n)], b[1]] < need]
+        varying = _unmarked([b for b, n in zip(x, nodes) if b[2] != NEVER and template[places[k][id(n)], b[1]] < need])
         article = [b for b in varying if b[3]]
         out.append("\n".join(b[1] for b in article or varying))
     return out

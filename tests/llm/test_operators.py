@@ -384,6 +384,18 @@ def test_tree_matching_aligns_like_nodes():
     assert sorted(x.tag for x, _ in html_wrapper.match_trees(a, b)) == ["#root", "div", "li", "p", "ul"]
 
 
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-with-sidebar", "sticky-nav", "search-results", "no-comments", "sidebar", "widget"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_names_of_wrappers_keep_the_article(name, tag):
+    pages = [f"<body><div class='menu'>Home {k}</div><div class='{name}'><{tag}><h1>Title {k}</h1><p>Text of page {k}<div class='ad'>buy {k}</div></{tag}></div><div id='sidebar'>other {k}</div>" for k in range(5)]
+    assert html_wrapper.extract(pages) == [f"Title {k}\nText of page {k}" for k in range(5)]
+
+
+def test_comments_beside_an_article_never_count():
+    page = "<body><article><p>Short</p><div class='comments'><p>a much longer comment than the text</p></div></article><div class='related'><article>A teaser of another page</article></div>"
+    assert html_wrapper.extract([page]) == ["Short"]
+
+
 def test_malformed_pages_end():
     attributes = " ".join(f'a{k}="v{k}"' for k in range(60))
     assert html_wrapper.extract([f"<p>one</p><a {attributes}", f"<p>two</p><a {attributes} b='", f"<p>x</p><a {attributes} c=\"d>three</a> it's \"so"]) == ["one", "two", "x\nthree it's \"so"]
