@@ -133,12 +133,16 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE):
-    """(weights, bias, scale, shift), or None without labels of both kinds. At most ``sample`` rows reach the driver."""
+    """(weights, bias, scale, shift), or None without labels of both kinds. At most ``sample`` rows reach the driver.
+
+    Of rows with one id the last text counts, by order of texts: a repeated id is one row here, merged on the map side.
+    """
     y = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
     y = y.where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
     y = y.orderBy(F.xxhash64("id"), "id").limit(sample)
     d = id_and_text(docs, id_col, text_col)
-    rows = d.join(F.broadcast(y), "id").select("id", "text", "y").mapInArrow(_sample_features, "id long, x binary, y int").collect()
+    d = d.join(F.broadcast(y), "id").groupBy("id").agg(F.max("text").alias("text"), F.max("y").alias("y"))
+    rows = d.select("id", "text", "y").mapInArrow(_sample_features, "id long, x binary, y int").collect()
     rows.sort(key=lambda r: (r["id"], r["x"]))
     if len({r["y"] for r in rows}) < 2:
         return None

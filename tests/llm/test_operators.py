@@ -452,6 +452,15 @@ def test_classifiers_on_held_out_rows(spark):
     assert left.schema == docs.schema and left.count() == quality_rules.quality_verdicts(docs, labels).where("kept").count()
 
 
+def test_repeated_ids_are_one_training_row(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_rules, "fit", lambda x, y, **_: seen.append(len(x)) or (np.zeros(x.shape[1], np.float32), 0.0))
+    docs = spark.createDataFrame([(k, f"text of {k}") for k in range(20)] + [(3, f"again {k}") for k in range(200)] + [(4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)], "doc_id long, quality int")
+    quality_rules.train(docs, labels, sample=10)
+    assert seen == [8]  # ten ids, of which a fifth calibrates
+
+
 def test_network_reads_whole_texts():
     rng = np.random.default_rng(0)
     tables = rng.normal(size=(quality_cnn.WIDTH, 256, 3)).astype(np.float32)
