@@ -127,7 +127,8 @@ def _choose_levels(num: int, den: int, levels: int):
                     read = np.bincount(row, (df - 1) * (pos < p[row] + level), b.num_rows)
                     # each posting is a row to join; a candidate that needs `level` matches uses up as many of them
                     costs.append(read + read / level * (1 + n / 50))
-                best = np.argmin(costs, axis=0) + 1
+                # a set of n shingles shares n - p with a partner at least, so more matches can't be asked for
+                best = np.minimum(np.argmin(costs, axis=0) + 1, n - p)
                 # how much of its first prefix a document shares with how many: the centre of a group of copies has the most
                 central = (1000 * np.bincount(row, np.log2(df) * (pos < p[row] + 1), b.num_rows) / (p + 1)).astype(np.int64)
                 use = pos < (p + best)[row]

@@ -79,6 +79,23 @@ def test_components_equal_brute_force(spark, n, num, hub):
     assert got == _brute_components(rows, n, num, 100)
 
 
+def test_levels_stay_within_the_least_overlap(spark):
+    import pyarrow as pa
+
+    shared_by = pa.array([[{"token": k, "pos": k, "df": 1000 if k == 0 else 2} for k in range(n)] for n in (4, 5, 6)])
+    b = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([4, 5, 6]), shared_by], names=["id", "n", "shared"])
+    out = [r for x in ngram_join._choose_levels(80, 100, 6)(iter([b])) for r in x.to_pylist()]
+    assert {r["id"] for r in out} == {1, 2, 3} and all(r["matches"] <= -(-4 * r["n"] // 5) for r in out)
+    rows = []
+    for g in range(12):
+        few = ["the", *(f"g{g}x{k}" for k in range(3 + g % 2))]
+        rows += [(len(rows), " ".join(few)), (len(rows) + 1, " ".join([*few, f"more{g}"]))]
+    rows += [(k, f"the only{k}") for k in range(100, 160)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df, shingle=1, num=80).collect()}
+    assert got == _brute_components(rows, 1, 80, 100)
+
+
 def test_branches_far_from_their_hub_stay_linked(spark):
     rng = random.Random(8)
     base = ["w%d" % k for k in range(70)]
