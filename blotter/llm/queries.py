@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import chunk_dedup, html_wrapper, ngram_join, packing, quality_cnn, quality_rules, repeat_windows, secret_scan, sentencepiece_codec, token_counts
+from blotter.llm import (
+    chunk_dedup, html_wrapper, ngram_join, packing, quality_cnn, quality_rules, rank_profiles, repeat_windows, secret_scan, sentencepiece_codec, spelling_groups, sql,
+    token_counts, vector_codes,
+)
 from blotter.llm.shared import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -56,6 +59,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_profiles.languages(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,7 +79,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_ngram_jaccard_join, op2_exact_dedup, op3_token_counts, op4_suffix_array_dedup, op5_best_fit_packing, op6_html_extraction,
-             op7_quality_rules, op8_secret_scans, op9_sentencepiece, op10_quality_classifier, pipeline]
+             op7_quality_rules, op8_secret_scans, op9_sentencepiece, op10_quality_classifier,
+             op11_spelling_variants, op12_language_id, op13_vector_codes, pipeline]
     return {f.__name__: f for f in found}
 
 
@@ -89,4 +105,9 @@ WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that it can express on whole tables; the others are tested against brute force."""
-    return {"op2_exact_dedup": _OP2}
+    return {
+        "op2_exact_dedup": _OP2,
+        "op11_spelling_variants": sql.SPELLING,
+        "op12_language_id": sql.LANGUAGES,
+        "op13_vector_codes": sql.VECTOR_CODES,
+    }

@@ -14,14 +14,14 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_every_operator_has_one_query():
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.queries() if k != "pipeline"] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in queries.queries() if k != "pipeline"] == list(range(1, 14))
     assert all(len(inspect.signature(f).parameters) == 2 for f in queries.queries().values())
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     want = con.execute(queries.oracle_sql()[name]).df()
     got = queries.queries()[name](spark, SMALL).toPandas()
