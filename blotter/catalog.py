@@ -21,6 +21,7 @@ from blotter.operators.dayparts import daypart_counts, hour_prefix_counts, reduc
 from blotter.operators.facilities import assign_sites, assigned_distance, nearest_distance, nearest_facility
 from blotter.operators.joins import key_spellings_join, union_of_equi_joins, with_join_hint
 from blotter.operators.periods import period_counts, top_periods
+from blotter.operators.ranking import number_rows, top_rows
 from blotter.operators.zones import extreme_zone_counts, extreme_zone_totals, zone_incomes
 from blotter.session import delete_path, scratch_path
 from blotter.sources import tables as T
@@ -211,6 +212,35 @@ def q_top_months_per_year_sql(spark, d):
     )
 
 
+def q_months_named_windows_sql(spark, d):
+    """Every month with its rank, its place (ties broken) and the running total, over two windows of one WINDOW clause."""
+    return spark.sql(
+        """
+        WITH months AS (
+          SELECT year(occurred_on) AS year, month(occurred_on) AS month, count(*) AS crime_total FROM {i} GROUP BY 1, 2
+        )
+        SELECT year, month, crime_total,
+               rank() OVER busy AS rank, row_number() OVER placed AS place, sum(crime_total) OVER placed AS running_total
+        FROM months
+        WINDOW busy AS (PARTITION BY year ORDER BY crime_total DESC),
+               placed AS (PARTITION BY year ORDER BY crime_total DESC, month ROWS UNBOUNDED PRECEDING)
+        """,
+        i=T.incidents(spark, d),
+    )
+
+
+def q_top_days_per_weapon(spark, d):
+    """The busiest days of each weapon code: ranked and placed over named windows, at most TOP_K places a code."""
+    days = T.incidents(spark, d).groupBy("weapon_code", "occurred_on").agg(F.count(F.lit(1)).alias("crime_total"))
+    return top_rows(days, ["weapon_code"], [("crime_total", "desc")], TOP_K, tie_break=["occurred_on"])
+
+
+def q_incidents_numbered(spark, d):
+    """All incidents numbered within their weapon code, newest first; days share a rank."""
+    i = T.incidents(spark, d).select("incident_id", "weapon_code", "occurred_on")
+    return number_rows(i, ["weapon_code"], [("occurred_on", "desc")], tie_break=["incident_id"])
+
+
 # --- part of day -----------------------------------------------------------
 
 def q_daypart_counts(spark, d):
@@ -492,6 +522,24 @@ def _nearest_by_division_sql(metric):
     return q
 
 
+def q_nearest_station_by_division_window_sql(spark, d):
+    """The incident's first candidate by ROW_NUMBER over a named window, then per division."""
+    return spark.sql(
+        """
+        SELECT division, round(avg(distance), 6) AS average_distance, count(*) AS crime_total
+        FROM (
+          SELECT division, distance, row_number() OVER by_distance AS place
+          FROM {c}
+          WINDOW by_distance AS (PARTITION BY incident_id ORDER BY distance, site_id)
+        )
+        WHERE place = 1
+        GROUP BY division
+        ORDER BY crime_total DESC, division
+        """,
+        c=_candidates(spark, d, METRIC, _armed),
+    )
+
+
 def q_nearest_with_ties(spark, d):
     pts = _armed(_located(spark, d, with_area=False)).select("incident_id", "lat", "lon")
     near = nearest_facility(pts, T.stations(spark, d), metric=METRIC, ties=True)
@@ -565,6 +613,9 @@ def queries() -> dict[str, Query]:
         "monthly_counts": q_monthly_counts,
         "top_months_per_year": q_top_months_per_year,
         "top_months_per_year_sql": q_top_months_per_year_sql,
+        "months_named_windows_sql": q_months_named_windows_sql,
+        "top_days_per_weapon": q_top_days_per_weapon,
+        "incidents_numbered": q_incidents_numbered,
         "daypart_counts": q_daypart_counts,
         "daypart_counts_sql": q_daypart_counts_sql,
         "daypart_counts_isin": q_daypart_counts_isin,
@@ -593,6 +644,7 @@ def queries() -> dict[str, Query]:
         "nearest_station_by_division_sql": _nearest_by_division_sql(METRIC),
         "responsible_station_by_year_haversine": _responsible_by_year("haversine"),
         "nearest_station_by_division_haversine": _nearest_by_division("haversine"),
+        "nearest_station_by_division_window_sql": q_nearest_station_by_division_window_sql,
         "nearest_with_ties": q_nearest_with_ties,
         "sort_asc": q_sort_asc,
         "sort_desc": q_sort_desc,

@@ -112,6 +112,9 @@ STATIONS = """stations AS (
          -118.67 + ((n_nationkey * 3571 + 911) % 5200) / 10000 AS x
   FROM nation)"""
 
+MONTHS = """months AS (
+  SELECT year(occurred_on) AS year, month(occurred_on) AS month, count(*) AS crime_total FROM incidents GROUP BY 1, 2)"""
+
 _ZONE = "lpad(CAST(CAST(floor(li / 1280) * 5 + floor(lo / 1040) AS INTEGER) AS VARCHAR), 4, '0')"
 GEOCODE = f"""geo_pts AS (
   SELECT 33.70 + ((o_orderkey * 7919) % 6400) / 10000 AS lat,
@@ -363,6 +366,23 @@ SELECT CAST(year(occurred_on) AS INTEGER) AS year, CAST(month(occurred_on) AS IN
        count(*) AS crime_total FROM incidents GROUP BY 1, 2""",
         "top_months_per_year": _top_months(),
         "top_months_per_year_sql": _top_months(),
+        "months_named_windows_sql": W(INCIDENTS, MONTHS) + """
+SELECT year, month, crime_total,
+       1 + (SELECT count(*) FROM months o WHERE o.year = m.year AND o.crime_total > m.crime_total) AS rank,
+       (SELECT count(*) FROM months o WHERE o.year = m.year AND (-o.crime_total, o.month) <= (-m.crime_total, m.month)) AS place,
+       (SELECT sum(o.crime_total) FROM months o WHERE o.year = m.year AND (-o.crime_total, o.month) <= (-m.crime_total, m.month)) AS running_total
+FROM months m""",
+        "top_days_per_weapon": W(INCIDENTS) + f"""
+SELECT weapon_code, occurred_on, crime_total, rank, place FROM (
+  SELECT *, rank() OVER (PARTITION BY weapon_code ORDER BY crime_total DESC) AS rank,
+         row_number() OVER (PARTITION BY weapon_code ORDER BY crime_total DESC, occurred_on) AS place
+  FROM (SELECT weapon_code, occurred_on, count(*) AS crime_total FROM incidents GROUP BY 1, 2) d) t
+WHERE place <= {TOP_K}""",
+        "incidents_numbered": W(INCIDENTS) + """
+SELECT incident_id, weapon_code, occurred_on,
+       row_number() OVER (PARTITION BY weapon_code ORDER BY occurred_on DESC NULLS LAST, incident_id) AS place,
+       rank() OVER (PARTITION BY weapon_code ORDER BY occurred_on DESC NULLS LAST) AS rank
+FROM incidents""",
         "daypart_counts": _daypart_counts(),
         "daypart_counts_sql": _daypart_counts(),
         "daypart_counts_isin": W(EVENTS) + f"""
@@ -409,6 +429,7 @@ FROM incidents_area i JOIN stations s ON i.area = s.prec OR i.area = '0' || s.pr
         "nearest_station_by_division_sql": _nearest("division", armed, "geodesic", False),
         "responsible_station_by_year_haversine": _assigned("year", firearm, "haversine"),
         "nearest_station_by_division_haversine": _nearest("division", armed, "haversine", False),
+        "nearest_station_by_division_window_sql": _nearest("division", armed, "geodesic", False),
         "nearest_with_ties": _nearest_ties("geodesic"),
         "sort_asc": W(INCIDENTS) + """
 SELECT CAST(year(occurred_on) AS INTEGER) AS year, count(*) AS crime_total FROM incidents GROUP BY 1 ORDER BY 1""",
