@@ -23,6 +23,7 @@ from blotter.operators.joins import key_spellings_join, union_of_equi_joins, wit
 from blotter.operators.periods import period_counts, top_periods
 from blotter.operators.ranking import number_rows, top_rows
 from blotter.operators.zones import extreme_zone_counts, extreme_zone_totals, zone_incomes
+from blotter.operators.skew import skew_join
 from blotter.session import delete_path, scratch_path
 from blotter.sources import tables as T
 from blotter.sources.incidents import (
@@ -306,6 +307,20 @@ def q_left_join_multi_key(spark, d):
     return i.join(g, cond, "left").select(F.col("i.incident_id"), F.col("g.zip"))
 
 
+def q_left_join_skewed(spark, d):
+    """The left join on two keys with its hot keys (Null Island, a popular corner) spread over several tasks."""
+    i = T.incidents(spark, d).select("incident_id", "lat", "lon")
+    g = T.geocode(spark, d).select(F.col("lat").alias("g_lat"), F.col("lon").alias("g_lon"), "zip")
+    return skew_join(i, g, [("lat", "g_lat"), ("lon", "g_lon")], "left").select("incident_id", "zip")
+
+
+def q_inner_join_skewed(spark, d):
+    """Incidents of customers by area: a join on one key, with hot areas spread."""
+    i = T.incidents_with_area(spark, d).select("incident_id", F.col("area").cast("int").alias("area_no"))
+    s = T.stations(spark, d).select("site_id", "division")
+    return skew_join(i, s, [("area_no", "site_id")]).select("incident_id", "division")
+
+
 # --- zones -----------------------------------------------------------------
 
 def _income_clean(spark, d) -> DataFrame:
@@ -624,6 +639,8 @@ def queries() -> dict[str, Query]:
         "inner_join_using": q_inner_join_using,
         "inner_join_multi_key": q_inner_join_multi_key,
         "left_join_multi_key": q_left_join_multi_key,
+        "left_join_skewed": q_left_join_skewed,
+        "inner_join_skewed": q_inner_join_skewed,
         "min_income_per_zone": q_min_income_per_zone,
         "bottom_k": q_bottom_k,
         "top_k": q_top_k,

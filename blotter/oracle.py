@@ -398,6 +398,10 @@ SELECT g.lat, g.lon, g.zip, z.income FROM geocode g JOIN zone_income z USING (zi
 SELECT i.incident_id, g.zip FROM incidents i JOIN geocode g ON i.lat = g.lat AND i.lon = g.lon""",
         "left_join_multi_key": W(INCIDENTS, GEOCODE) + """
 SELECT i.incident_id, g.zip FROM incidents i LEFT JOIN geocode g ON i.lat = g.lat AND i.lon = g.lon""",
+        "left_join_skewed": W(INCIDENTS, GEOCODE) + """
+SELECT i.incident_id, g.zip FROM incidents i LEFT JOIN geocode g ON i.lat = g.lat AND i.lon = g.lon""",
+        "inner_join_skewed": W(INCIDENTS, INCIDENTS_AREA, STATIONS) + """
+SELECT i.incident_id, s.division FROM incidents_area i JOIN stations s ON CAST(i.area AS INTEGER) = s.site_id""",
         "min_income_per_zone": W(INCOME) + "SELECT zip, income FROM zone_income",
         "bottom_k": W(INCOME) + f"SELECT zip, income FROM zone_income ORDER BY income ASC, zip LIMIT {TOP_K}",
         "top_k": W(INCOME) + f"SELECT zip, income FROM zone_income ORDER BY income DESC, zip LIMIT {TOP_K}",
