@@ -557,10 +557,17 @@ def q_nearest_station_by_division_window_sql(spark, d):
 
 def q_nearest_with_ties(spark, d):
     pts = _armed(_located(spark, d, with_area=False)).select("incident_id", "lat", "lon")
-    near = nearest_facility(pts, T.stations(spark, d), metric=METRIC, ties=True)
+    near = nearest_facility(pts, T.stations(spark, d), metric=METRIC, ties=True, partitions=_cores(spark))
     return near.select("incident_id", "site_id", _r6("distance_km").alias("distance_km"))
 
 
+def q_nearest_outlet_tree(spark, d):
+    """All incidents, those at (0, 0) too, and their nearest outlet: the search for site tables that aren't broadcast."""
+    pts = T.incidents(spark, d).select("incident_id", "lat", "lon")
+    near = nearest_facility(pts, T.outlets(spark, d), site_id="outlet_id", metric="haversine", max_broadcast_sites=0)
+    return near.select("incident_id", "outlet_id", _r6("distance_km").alias("distance_km"))
+
+
 # --- sorting ---------------------------------------------------------------
 
 def q_sort_asc(spark, d):
@@ -663,6 +670,7 @@ def queries() -> dict[str, Query]:
         "nearest_station_by_division_haversine": _nearest_by_division("haversine"),
         "nearest_station_by_division_window_sql": q_nearest_station_by_division_window_sql,
         "nearest_with_ties": q_nearest_with_ties,
+        "nearest_outlet_tree": q_nearest_outlet_tree,
         "sort_asc": q_sort_asc,
         "sort_desc": q_sort_desc,
         "udf_scalar": q_udf_scalar,

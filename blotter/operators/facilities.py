@@ -15,8 +15,8 @@ holds every site, so every point is answered and the answer is exact.
 Only unresolved points probe coarser levels: their join keys are null once
 resolved, so the lookups cost nothing for the rest. With a site table of
 proven size the level tables are broadcast and the whole search is one
-map-side stage with no shuffle of the points. Beyond that bound every level
-is a shuffled join over the still-unresolved points, checkpointed per level.
+map-side stage with no shuffle of the points. Beyond that bound the sites
+go into a tree of bounding boxes (:mod:`blotter.operators.boxtree`).
 """
 
 from __future__ import annotations
@@ -31,19 +31,20 @@ from blotter.functions.geo import (
     SPHERE_TO_ELLIPSOID_SAFETY,
     block_lower_bound_sql,
     geodesic_array_km,
-    geodesic_km,
     haversine_km,
     haversine_sql,
     sql_double,
     with_geodesic_km,
 )
-from blotter.operators.joins import DEFAULT_BROADCAST_BYTES, key_spellings_join, measured_bytes
+from blotter.operators.boxtree import nearest_rows
+from blotter.operators.joins import DEFAULT_BROADCAST_BYTES, key_spellings_join, measured_bytes, row_bytes
 from blotter.operators.layout import spread
-from blotter.session import shared_dir
 
 # Sites per broadcast: each of ~9 pyramid levels holds every site about 9
 # times, so 20k sites stay below ~100 MB of broadcast state.
 DEFAULT_MAX_BROADCAST_SITES = 20_000
+# Bytes of those sites' rows with their payload; the level tables hold each row some 80 times.
+DEFAULT_MAX_SITE_BYTES = 4 << 20
 
 # A site can beat the haversine-nearest one on the ellipsoid only if its
 # haversine distance is within this ratio of the minimum (both metrics agree
@@ -157,26 +158,6 @@ def _level_table(sites: DataFrame, levels: list[float | None]) -> DataFrame:
     return placed.groupBy("key").agg(F.collect_list("site").alias("cands"))
 
 
-def _level_rows(sites: DataFrame, levels: list[float | None]) -> DataFrame:
-    """(key, lat, lon, k, p) rows: each site once per cell whose 3x3 block holds it."""
-    offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                        for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
-    parts = []
-    for i, g in enumerate(levels):
-        cx, cy = _cells(F.col("lat"), F.col("lon"), g)
-        if g is None:
-            parts.append(sites.select(_cell_key(i, cx, cy).alias("__key"), "lat", "lon", "k", "p"))
-        else:
-            parts.append(sites.select(cx.alias("x0"), cy.alias("y0"), "lat", "lon", "k", "p",
-                                      F.explode(offsets).alias("o")).select(
-                _cell_key(i, F.col("x0") + F.col("o.dx"), F.col("y0") + F.col("o.dy")).alias("__key"),
-                "lat", "lon", "k", "p"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
 def _scored_sql(arr: str) -> str:
     """Candidates as (d, k, lat, lon, p) structs, d by haversine: array_min orders by d, then k."""
     dist = haversine_sql("__plat", "__plon", "__s.lat", "__s.lon")
@@ -193,26 +174,28 @@ def _cell_key_sql(i: int, g: float | None) -> str:
 def _prepare_sites(sites: DataFrame, site_id: str, site_lat: str, site_lon: str,
                    site_cols: Sequence[str]) -> DataFrame:
     payload = [F.col(c) for c in site_cols] or [F.lit(None).cast("string").alias("__none")]
-    return sites.filter(F.col(site_lat).isNotNull() & F.col(site_lon).isNotNull()).select(
+    rows = sites.select(
         F.col(site_lat).cast("double").alias("lat"),
         _norm_lon(F.col(site_lon).cast("double")).alias("lon"),
         F.col(site_id).alias("k"),
         F.struct(*payload).alias("p"),
     )
+    # a comparison with NaN is false, as one with null is not true
+    return rows.filter("lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180")
 
 
-def _default_cell_deg(sites: DataFrame) -> tuple[int, float]:
-    """Site count and a cell size of about one site per cell where the sites are.
+def _default_cell_deg(sites: DataFrame) -> tuple[int, int, float]:
+    """Site count, bytes of the rows, and a cell size of about one site per cell where the sites are.
 
     The extent is that of the middle nine tenths in each direction, so single far sites don't stretch the cells.
     """
     middle = [0.05, 0.95]
-    row = sites.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("lat", middle, 1000).alias("a"), F.percentile_approx("lon", middle, 1000).alias("o")).first()
+    row = sites.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(sites)).alias("size"), F.percentile_approx("lat", middle, 1000).alias("a"), F.percentile_approx("lon", middle, 1000).alias("o")).first()
     n = int(row["n"])
     if n == 0:
-        return 0, 1.0
+        return 0, 0, 1.0
     span_lat, span_lon = (max(x[1] - x[0], 0.01) for x in (row["a"], row["o"]))
-    return n, min(max(math.sqrt(span_lat * span_lon / n), 1e-3), 45.0)
+    return n, int(row["size"]), min(max(math.sqrt(span_lat * span_lon / n), 1e-3), 45.0)
 
 
 def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", lon: str = "lon",
@@ -220,7 +203,8 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
                      site_cols: Sequence[str] = (), metric: str = "geodesic", ties: bool = False,
                      cell_deg: float | None = None, distance_col: str = "distance_km",
                      candidates_col: str | None = None,
-                     max_broadcast_sites: int = DEFAULT_MAX_BROADCAST_SITES, partitions: int | None = None) -> DataFrame:
+                     max_broadcast_sites: int = DEFAULT_MAX_BROADCAST_SITES, max_site_bytes: int = DEFAULT_MAX_SITE_BYTES,
+                     partitions: int | None = None) -> DataFrame:
     """Each point with its nearest site (``site_id``, ``site_cols``, ``distance_col``).
 
     Equal distances are broken by the smaller ``site_id``. With ``ties=True``
@@ -232,10 +216,10 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
     split holds.
     """
     s = _prepare_sites(sites, site_id, site_lat, site_lon, site_cols)
-    n_sites, auto_g = _default_cell_deg(s)
+    n_sites, site_bytes, auto_g = _default_cell_deg(s)
     g0 = cell_deg or auto_g
     levels = _pyramid(g0)
-    broadcast = n_sites <= max_broadcast_sites
+    broadcast = n_sites <= max_broadcast_sites and site_bytes <= max_site_bytes
     table = _level_table(s, levels) if broadcast else None
     slack = 1.0 if metric == "haversine" else 1.0 / SPHERE_TO_ELLIPSOID_SAFETY
     if metric not in ("haversine", "geodesic"):
@@ -251,7 +235,7 @@ def nearest_facility(points: DataFrame, sites: DataFrame, *, lat: str = "lat", l
         found = _search_broadcast(base, table, levels, slack)
         out = _finish(found, metric, ties)
     else:
-        out = _search_rows(base, _level_rows(s, levels), levels, metric, slack, ties, bool(candidates_col))
+        out = nearest_rows(base, s, n_sites, metric, ties, bool(candidates_col))
     values = {site_id: F.col("__pick.k"), distance_col: F.col("__pick.d"), **{c: F.col("__pick.p")[c] for c in site_cols}}
     if candidates_col:
         values[candidates_col] = F.col("__cands")
@@ -292,56 +276,6 @@ def _search_broadcast(df: DataFrame, table: DataFrame, levels: list, slack: floa
     )
 
 
-def _search_rows(points: DataFrame, site_rows: DataFrame, levels: list, metric: str, slack: float, ties: bool,
-                 with_cands: bool) -> DataFrame:
-    """The same exact search for site tables too big to broadcast, on rows.
-
-    Points get a stable id (checkpointed to the shared folder). At each
-    level the points still unresolved meet the (cell, site) rows of their
-    block in a shuffled equi-join (AQE splits hot cells); each point keeps
-    its minimum with map-side combine, and the accepted points leave the
-    search. Only ids and coordinates take part; points without coordinates
-    don't. For the geodesic metric the few candidates within the pruning
-    ratio are scored anew.
-    """
-    shared_dir(points.sparkSession)
-    pts = points.withColumn("__pid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    todo = pts.filter("__plat IS NOT NULL AND __plon IS NOT NULL").select("__pid", "__plat", "__plon")
-    picked: list[DataFrame] = []
-    for i, g in enumerate(levels):
-        keyed = todo.withColumn("__key", F.expr(_cell_key_sql(i, g)))
-        cand = keyed.join(site_rows, "__key").withColumn(
-            "d", F.expr(haversine_sql("__plat", "__plon", "lat", "lon")))
-        best = cand.groupBy("__pid").agg(F.min(F.struct("d", "k")).alias("__hb"),
-                                         F.first("__plat").alias("__plat"), F.first("__plon").alias("__plon"))
-        lb = sql_double(math.inf) if g is None else block_lower_bound_sql("__plat", "__plon", g)
-        accepted = best.filter(F.expr(f"__hb.d * {sql_double(slack)} < {lb}")).select(
-            "__pid", F.col("__hb.d").alias("__hd")).checkpoint(eager=True)
-        if metric == "haversine":
-            keep = F.col("d") <= F.col("__hd")
-        else:
-            keep = F.col("d") <= F.col("__hd") * _GEODESIC_PRUNE_RATIO + _EPS_KM
-        picked.append(cand.join(accepted, "__pid").filter(keep).select("__pid", "d", "lat", "lon", "k", "p"))
-        todo = todo.join(accepted.select("__pid"), "__pid", "left_anti").checkpoint(eager=True)
-    near = picked[0]
-    for part in picked[1:]:
-        near = near.unionByName(part)
-    if metric == "geodesic":
-        near = near.join(pts.select("__pid", "__plat", "__plon"), "__pid").select(
-            "__pid", geodesic_km("__plat", "__plon", "lat", "lon").alias("d"), "lat", "lon", "k", "p")
-    top = near.groupBy("__pid").agg(F.min(F.struct("d", "k", "lat", "lon", "p")).alias("__pick"))
-    if ties:
-        chosen = near.join(top.select("__pid", F.col("__pick.d").alias("__md")), "__pid").filter(
-            F.col("d") == F.col("__md")).select("__pid", F.struct("d", "k", "lat", "lon", "p").alias("__pick"))
-    else:
-        chosen = top
-    out = pts.join(chosen, "__pid", "left")
-    if with_cands:  # per point a few sites: those within the pruning ratio of the nearest
-        cands = near.groupBy("__pid").agg(F.sort_array(F.collect_list(F.struct("d", "k", "lat", "lon", "p"))).alias("__cands"))
-        out = out.join(cands, "__pid", "left")
-    return out
-
-
 def _finish(df: DataFrame, metric: str, ties: bool) -> DataFrame:
     """From the answering level's candidates to ``__cands`` (those compared in the end) and ``__pick``.
 

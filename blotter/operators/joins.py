@@ -14,18 +14,20 @@ DEFAULT_BROADCAST_BYTES = 64 << 20
 JOIN_HINTS = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the rows of ``df``, measured by one distributed aggregate: 8 for each field, and the length of what varies."""
-    sizes = [F.lit(8 * len(df.columns) + 8)]
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row of ``df``: 8 for each field, and the length of what varies."""
+    total = F.lit(8 * len(df.columns) + 8)
     for f in df.schema.fields:
         if f.dataType.simpleString() in ("string", "binary"):
-            sizes.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
         elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
-            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0)))
-    total = sizes[0]
-    for x in sizes[1:]:
-        total = total + x
-    return int(df.agg(F.sum(total.cast("long")).alias("n")).first()["n"] or 0)
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))), F.lit(0))
+    return total.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``, measured by one distributed aggregate."""
+    return int(df.agg(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0)
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -435,6 +435,11 @@ FROM incidents_area i JOIN stations s ON i.area = s.prec OR i.area = '0' || s.pr
         "nearest_station_by_division_haversine": _nearest("division", armed, "haversine", False),
         "nearest_station_by_division_window_sql": _nearest("division", armed, "geodesic", False),
         "nearest_with_ties": _nearest_ties("geodesic"),
+        "nearest_outlet_tree": W(INCIDENTS) + f""", outlets AS (
+  SELECT c_custkey AS outlet_id, 33.70 + ((c_custkey * 3253) % 6389) / 10000 AS y, -118.67 + ((c_custkey * 4099) % 5197) / 10000 AS x FROM customer),
+best AS (
+  SELECT incident_id, min({{'d': {haversine_sql('lat', 'lon', 'y', 'x')}, 'k': outlet_id}}) AS m FROM incidents CROSS JOIN outlets GROUP BY incident_id)
+SELECT incident_id, m.k AS outlet_id, round(m.d, 6) AS distance_km FROM best""",
         "sort_asc": W(INCIDENTS) + """
 SELECT CAST(year(occurred_on) AS INTEGER) AS year, count(*) AS crime_total FROM incidents GROUP BY 1 ORDER BY 1""",
         "sort_desc": W(INCIDENTS) + """

@@ -13,6 +13,7 @@ incidents   orders (one incident per order): id = o_orderkey,
             With customer: area = c_nationkey zero-padded to 2 characters.
 stations    nation: site_id = n_nationkey, prec = unpadded key, division =
             n_name, (y, x) from the key.
+outlets     customer: outlet_id = c_custkey, (y, x) from the key.
 geocode     distinct incident points -> ZIP of one of 25 zones ('900NN'),
             with ZIP+4 spellings and null ZIPs mixed in.
 income      supplier: ZIP of its nation, '$12,345'-style income (empty for
@@ -88,6 +89,16 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def outlets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many sites in the same box: one per customer, some in the same place."""
+    k = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        k.alias("outlet_id"),
+        (F.lit(33.70) + ((k * 3253) % 6389) / 10000).alias("y"),
+        (F.lit(-118.67) + ((k * 4099) % 5197) / 10000).alias("x"),
+    )
+
+
 def geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     li, lo = _lat_index(k), _lon_index(k)
