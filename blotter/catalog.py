@@ -71,7 +71,7 @@ def incident_export_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return i.select(*[v.alias(n) for n, v in cols.items()])
 
 
-_EXPORTS: dict[tuple[str, str], list[str]] = {}
+_EXPORTS: dict[tuple, list[str]] = {}
 
 
 def export_incident_files(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -87,6 +87,18 @@ def export_incident_files(spark: SparkSession, sf_dir: str) -> list[str]:
     return _EXPORTS[key]
 
 
+def export_multiline_file(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All incidents in one layout, with line breaks, commas and quotes inside some premises."""
+    key = (spark.sparkContext.applicationId, sf_dir, "multiline")
+    if key not in _EXPORTS:
+        k = F.col("incident_id").cast("long")
+        place = F.when(k % 7 == 0, F.concat(F.lit("ROOM "), k % 13, F.lit(",\nFLOOR ")  , k % 3, F.lit("\n\nREAR"))).when(k % 11 == 0, F.lit('SO-CALLED "YARD",\nGATE')).otherwise(F.col("premise"))
+        base = scratch_path(spark, "incidents-multiline")
+        write_incident_csv(incident_export_frame(spark, sf_dir).withColumn("premise", place), base)
+        _EXPORTS[key] = [base]
+    return _EXPORTS[key]
+
+
 def drop_exports(spark: SparkSession) -> None:
     """Remove this session's exported files."""
     for key in [k for k in _EXPORTS if k[0] == spark.sparkContext.applicationId]:
@@ -102,6 +114,10 @@ def q_text_scan_from_csv(spark, d):
     return load_incidents_text(spark, export_incident_files(spark, d))
 
 
+def q_text_scan_multiline(spark, d):
+    return load_incidents_text(spark, export_multiline_file(spark, d), multiline=True)
+
+
 def q_load_count(spark, d):
     return load_incidents(spark, export_incident_files(spark, d)).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -618,6 +634,7 @@ def queries() -> dict[str, Query]:
     return {
         "csv_scan": q_csv_scan,
         "text_scan_from_csv": q_text_scan_from_csv,
+        "text_scan_multiline": q_text_scan_multiline,
         "load_count": q_load_count,
         "union_all": q_union_all,
         "union_distinct": q_union_distinct,

@@ -335,6 +335,10 @@ def oracle_sql() -> dict[str, str]:
     return {
         "csv_scan": _typed_export(),
         "text_scan_from_csv": _typed_export(),
+        "text_scan_multiline": f"""
+SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 7 = 0 THEN 'ROOM ' || (k % 13) || ',' || chr(10) || 'FLOOR ' || (k % 3) || chr(10) || chr(10) || 'REAR'
+                       WHEN k % 11 = 0 THEN 'SO-CALLED "YARD",' || chr(10) || 'GATE' ELSE premise END AS premise)
+FROM (SELECT *, CAST(incident_id AS BIGINT) AS k FROM ({_typed_export()}) e) t""",
         "load_count": W(INCIDENTS, INCIDENTS_AREA) + "SELECT count(*) AS n_rows FROM incidents_area",
         "union_all": W(INCIDENTS) + "SELECT incident_id, occurred_on FROM incidents",
         "union_distinct": W(INCIDENTS) + f"""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from blotter.functions.timeparts import US_TIMESTAMP_FORMAT, parse_us_timestamp
+from blotter.sources.records import read_quoted_records
 
 # The incident file header, in file order (the older file
 # writes "AREA " with a trailing blank; two columns carry no usable name).
@@ -83,17 +84,17 @@ def load_incidents(spark: SparkSession, paths: str | Sequence[str], multiline: b
     return typed_incidents(read_incidents_raw(spark, paths, multiline))
 
 
-def load_incidents_text(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def load_incidents_text(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
     """Line-wise variant: read text lines and decode each with ``from_csv``.
 
-    Quoted commas are honoured; a quoted line break would split a record (use
-    ``load_incidents(multiline=True)`` for such files). Header lines are
+    Quoted commas are honoured. A quoted line break splits a record unless ``multiline`` is set: records are then cut across lines and across
+    the splits of a file (:mod:`blotter.sources.records`), which stays splittable. Header lines are
     dropped by value, blank lines as the CSV reader drops them; a record
     without an id stays.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     ddl = ", ".join(f"`{c}` STRING" for c in INCIDENT_COLUMNS)
-    lines = spark.read.text(paths).filter(F.length(F.trim("value")) > 0)
+    lines = read_quoted_records(spark, paths) if multiline else spark.read.text(paths).filter(F.length(F.trim("value")) > 0)
     parsed = lines.select(F.from_csv(F.col("value"), ddl).alias("r")).select("r.*")
     return typed_incidents(parsed.filter(~F.col("incident_id").eqNullSafe(F.lit(INCIDENT_HEADER[0]))))
 
