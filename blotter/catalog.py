@@ -28,10 +28,14 @@ from blotter.session import delete_path, scratch_path
 from blotter.sources import tables as T
 from blotter.sources.incidents import (
     INCIDENT_COLUMNS,
+    INCIDENT_HEADER,
     load_incidents,
     load_incidents_text,
+    read_incidents_by_header,
+    typed_incidents,
     write_incident_csv,
 )
+from blotter.sources.layouts import CORRUPT, malformed_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,6 +103,29 @@ def export_multiline_file(spark: SparkSession, sf_dir: str) -> list[str]:
     return _EXPORTS[key]
 
 
+def export_mixed_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two layouts: older incidents in the usual order, newer ones with their columns turned round and two of them left out.
+
+    The newer folder has a further file of the usual layout whose records have too few or too many values.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "mixed")
+    if key not in _EXPORTS:
+        frame = incident_export_frame(spark, sf_dir)
+        base = scratch_path(spark, "incidents-mixed")
+        older, newer = f"{base}/older", f"{base}/newer"
+        late = F.col("occurred_year") >= EXPORT_SPLIT_YEAR
+        write_incident_csv(frame.filter(~late), older, area_header="AREA ")
+        turned = [(c, h) for c, h in reversed(list(zip(INCIDENT_COLUMNS, INCIDENT_HEADER))) if c not in ("extra_1", "extra_2")]
+        frame.filter(late).select(*[F.col(c).alias(h) for c, h in turned]).write.option("header", True).csv(newer)
+        bad = frame.filter(late & (F.col("incident_id").cast("long") % 29 == 0))
+        values = F.when(F.col("incident_id").cast("long") % 2 == 0, F.lit(",too,few")).otherwise(F.lit("," * 40))
+        lines = bad.select(F.lit(1).alias("o"), F.concat(F.lit("9"), "incident_id", values).alias("value"))
+        head = spark.range(1).select(F.lit(0).alias("o"), F.lit(",".join(INCIDENT_HEADER)).alias("value"))
+        head.union(lines).coalesce(1).sortWithinPartitions("o").select("value").write.mode("append").text(newer)
+        _EXPORTS[key] = [older, newer]
+    return _EXPORTS[key]
+
+
 def drop_exports(spark: SparkSession) -> None:
     """Remove this session's exported files."""
     for key in [k for k in _EXPORTS if k[0] == spark.sparkContext.applicationId]:
@@ -118,6 +145,19 @@ def q_text_scan_multiline(spark, d):
     return load_incidents_text(spark, export_multiline_file(spark, d), multiline=True)
 
 
+def q_csv_scan_by_header(spark, d):
+    """The incidents of both layouts; the malformed records, which have ids of their own, are left out here."""
+    rows = read_incidents_by_header(spark, export_mixed_files(spark, d))
+    return typed_incidents(rows.filter(F.col(CORRUPT).isNull()))
+
+
+def q_malformed_counts(spark, d):
+    """Rows and malformed rows of each file, added up per folder."""
+    files = malformed_counts(read_incidents_by_header(spark, export_mixed_files(spark, d)))
+    folder = F.regexp_extract("file", "/(older|newer)/[^/]*$", 1).alias("folder")
+    return files.groupBy(folder).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_malformed").alias("n_malformed"))
+
+
 def q_load_count(spark, d):
     return load_incidents(spark, export_incident_files(spark, d)).agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -635,6 +675,8 @@ def queries() -> dict[str, Query]:
         "csv_scan": q_csv_scan,
         "text_scan_from_csv": q_text_scan_from_csv,
         "text_scan_multiline": q_text_scan_multiline,
+        "csv_scan_by_header": q_csv_scan_by_header,
+        "malformed_counts": q_malformed_counts,
         "load_count": q_load_count,
         "union_all": q_union_all,
         "union_distinct": q_union_distinct,

@@ -339,6 +339,12 @@ def oracle_sql() -> dict[str, str]:
 SELECT * EXCLUDE (k) REPLACE (CASE WHEN k % 7 = 0 THEN 'ROOM ' || (k % 13) || ',' || chr(10) || 'FLOOR ' || (k % 3) || chr(10) || chr(10) || 'REAR'
                        WHEN k % 11 = 0 THEN 'SO-CALLED "YARD",' || chr(10) || 'GATE' ELSE premise END AS premise)
 FROM (SELECT *, CAST(incident_id AS BIGINT) AS k FROM ({_typed_export()}) e) t""",
+        "csv_scan_by_header": _typed_export(),
+        "malformed_counts": W(INCIDENTS, INCIDENTS_AREA) + f"""
+SELECT CASE WHEN late THEN 'newer' ELSE 'older' END AS folder, count(*) + sum(bad)::BIGINT AS n_rows, sum(bad)::BIGINT AS n_malformed
+FROM (SELECT late, CASE WHEN late AND incident_id % 29 = 0 THEN 1 ELSE 0 END AS bad
+      FROM (SELECT incident_id, occurred_on >= DATE '{SPLIT_YEAR}-01-01' AS late FROM incidents_area) i) t
+GROUP BY late""",
         "load_count": W(INCIDENTS, INCIDENTS_AREA) + "SELECT count(*) AS n_rows FROM incidents_area",
         "union_all": W(INCIDENTS) + "SELECT incident_id, occurred_on FROM incidents",
         "union_distinct": W(INCIDENTS) + f"""

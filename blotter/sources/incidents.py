@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from blotter.functions.timeparts import US_TIMESTAMP_FORMAT, parse_us_timestamp
+from blotter.sources.layouts import read_by_header
 from blotter.sources.records import read_quoted_records
 
 # The incident file header, in file order (the older file
@@ -84,6 +85,16 @@ def load_incidents(spark: SparkSession, paths: str | Sequence[str], multiline: b
     return typed_incidents(read_incidents_raw(spark, paths, multiline))
 
 
+def read_incidents_by_header(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """The raw string columns by the names in each file's header, whatever their order, with the malformed text and the file of each row."""
+    return read_by_header(spark, paths, dict(zip(INCIDENT_COLUMNS, INCIDENT_HEADER)), multiline, required=("incident_id",))
+
+
+def load_incidents_by_header(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """Typed union of incident files whose columns may stand in any order; a column that a file lacks is null."""
+    return typed_incidents(read_incidents_by_header(spark, paths, multiline))
+
+
 def load_incidents_text(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
     """Line-wise variant: read text lines and decode each with ``from_csv``.
 
@@ -114,7 +125,9 @@ __all__ = [
     "TYPED_COLUMNS",
     "US_TIMESTAMP_FORMAT",
     "load_incidents",
+    "load_incidents_by_header",
     "load_incidents_text",
+    "read_incidents_by_header",
     "read_incidents_raw",
     "typed_incidents",
     "write_incident_csv",
