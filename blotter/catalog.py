@@ -19,12 +19,14 @@ from blotter.functions.timeparts import format_us_timestamp, parse_us_timestamp,
 from blotter.functions.udfs import daypart_udf
 from blotter.operators.dayparts import daypart_counts, hour_prefix_counts, reduce_by_key
 from blotter.operators.facilities import assign_sites, assigned_distance, nearest_distance, nearest_facility
-from blotter.operators.joins import key_spellings_join, union_of_equi_joins, with_join_hint
+from blotter.operators.joins import disjunctive_join, key_spellings_join, union_of_equi_joins, with_join_hint
 from blotter.operators.periods import period_counts, top_periods
 from blotter.operators.ranking import number_rows, top_rows
 from blotter.operators.zones import extreme_zone_counts, extreme_zone_totals, zone_incomes
+from blotter.plans.compare import join_table
+from blotter.operators.reuse import Reuse
 from blotter.operators.skew import skew_join
-from blotter.session import delete_path, scratch_path
+from blotter.session import delete_path, scratch_path, shared_dir
 from blotter.sources import tables as T
 from blotter.sources.incidents import (
     INCIDENT_COLUMNS,
@@ -403,6 +405,14 @@ def q_income_extremes(spark, d):
     return extreme_zone_counts(_zone_facts(spark, d), T.geocode(spark, d), _income_clean(spark, d), k=TOP_K)
 
 
+def q_income_extremes_cached(spark, d):
+    """The per-zone counts cached while the (small) result is made and stored, then released."""
+    shared_dir(spark)
+    with Reuse() as reuse:
+        counts = extreme_zone_counts(_zone_facts(spark, d), T.geocode(spark, d), _income_clean(spark, d), k=TOP_K, reuse=reuse)
+        return counts.checkpoint(eager=True)
+
+
 def q_income_extremes_total(spark, d):
     return extreme_zone_totals(q_income_extremes(spark, d))
 
@@ -476,6 +486,18 @@ def q_or_join_rewritten(spark, d):
     )
 
 
+def q_or_join_disjoint(spark, d):
+    """A left join on three conditions that can hold at once: two spellings of the area, or an urgent incident of the customer's station."""
+    i = T.incidents_with_area(spark, d).select("incident_id", "area", "weapon_code", F.pmod("o_custkey", F.lit(60)).alias("home"))
+    s = T.stations(spark, d).select("site_id", F.nullif("prec", F.lit("7")).alias("prec"))
+    branches = [
+        [("area", "prec")],
+        [("area", F.lpad("prec", 2, "0"))],
+        [("home", "site_id"), (F.substring("weapon_code", 1, 1), F.lit("1"))],
+    ]
+    return disjunctive_join(i, s, branches, "left").select("incident_id", "site_id")
+
+
 def q_haversine_distance(spark, d):
     j = assign_sites(_firearm(_located(spark, d)), T.stations(spark, d), point_key="area", site_key="prec")
     return j.select("incident_id", "site_id", _r6(haversine_km("lat", "lon", "y", "x")).alias("distance_km"))
@@ -670,6 +692,16 @@ def _hint_query(hint: str):
     return q
 
 
+def q_join_plans(spark, d):
+    """How each hint is planned (the join's node, build side and what feeds it), beside the rows that the join gives."""
+    hinted = {hint: _hint_query(hint)(spark, d) for hint in ("broadcast", "merge", "shuffle_hash")}
+    counted = None
+    for label, df in hinted.items():
+        n = df.agg(F.lit(label).alias("label"), F.count(F.lit(1)).alias("n_rows"))
+        counted = n if counted is None else counted.unionByName(n)
+    return join_table(spark, hinted).join(counted, "label").withColumnRenamed("label", "hint")
+
+
 def queries() -> dict[str, Query]:
     return {
         "csv_scan": q_csv_scan,
@@ -712,9 +744,11 @@ def queries() -> dict[str, Query]:
         "top_k": q_top_k,
         "income_extremes": q_income_extremes,
         "income_extremes_sql": q_income_extremes_sql,
+        "income_extremes_cached": q_income_extremes_cached,
         "income_extremes_total": q_income_extremes_total,
         "or_join": q_or_join,
         "or_join_rewritten": q_or_join_rewritten,
+        "or_join_disjoint": q_or_join_disjoint,
         "haversine_distance": q_haversine_distance,
         "geodesic_distance": q_geodesic_distance,
         "responsible_station_by_year": _responsible_by_year(METRIC),
@@ -734,6 +768,7 @@ def queries() -> dict[str, Query]:
         "sort_desc": q_sort_desc,
         "udf_scalar": q_udf_scalar,
         "udf_in_sql": q_udf_in_sql,
+        "join_plans": q_join_plans,
         "join_hint_broadcast": _hint_query("broadcast"),
         "join_hint_merge": _hint_query("merge"),
         "join_hint_shuffle_hash": _hint_query("shuffle_hash"),

@@ -91,3 +91,51 @@ def union_of_equi_joins(left: DataFrame, right: DataFrame, left_key, right_spell
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def disjunctive_join(left: DataFrame, right: DataFrame, branches: Sequence[Sequence[tuple[str | Column, str | Column]]], how: str = "inner") -> DataFrame:
+    """``left JOIN right ON branch1 OR branch2 OR ...``, each branch a conjunction of equalities (left expression, right expression).
+
+    Every branch is an equi-join of its own, kept to the pairs for which no earlier branch holds, so a pair that fulfils several
+    comes once, as with the disjunction. Null keys match nothing. For ``left``, ``right`` and ``full`` the rows without any match are found by
+    anti-joins, one a branch. All columns of ``left`` and then of ``right`` come out, under their names.
+    """
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"how must be inner, left, right or full, not {how!r}")
+    if not branches or not all(branches):
+        raise ValueError("each branch needs an equality")
+
+    def keyed(df: DataFrame, side: int, row: str) -> DataFrame:
+        keys = [(f"{row}{i}_{j}", pair[side]) for i, branch in enumerate(branches) for j, pair in enumerate(branch)]
+        own = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(row)
+        return df.select(own, *((k if isinstance(k, Column) else F.col(f"`{k}`")).alias(name) for name, k in keys))
+
+    def holds(i: int) -> Column:
+        same = F.col(f"l{i}_0") == F.col(f"r{i}_0")
+        for j in range(1, len(branches[i])):
+            same = same & (F.col(f"l{i}_{j}") == F.col(f"r{i}_{j}"))
+        return same
+
+    def rows(df: DataFrame) -> DataFrame:
+        nulls = {"l": left.schema, "r": right.schema}
+        cols = []
+        for row, schema in nulls.items():
+            cols += [(F.col(row)[f.name] if row in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+        return df.select(*cols)
+
+    a, b = keyed(left, 0, "l"), keyed(right, 1, "r")
+    parts = []
+    for i in range(len(branches)):
+        pairs = a.join(b, holds(i), "inner")
+        for earlier in range(i):
+            pairs = pairs.where(~F.coalesce(holds(earlier), F.lit(False)))
+        parts.append(rows(pairs))
+    for of, alone, other in (("left", a, b), ("right", b, a)):
+        if how in (of, "full"):
+            for i in range(len(branches)):
+                alone = alone.join(other, holds(i), "left_anti")
+            parts.append(rows(alone))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)  # by position: both sides may use a name
+    return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.clean import zip_prefix
 from blotter.functions.labels import code_to_label
+from blotter.operators.reuse import Reuse
 from blotter.session import shared_dir
 
 
@@ -62,7 +63,7 @@ def extreme_zone_counts(facts: DataFrame, geocode: DataFrame, income: DataFrame,
                         zone_col: str = "zip", income_col: str = "income", zip_key: str = "raw",
                         label: Callable[[Column], Column] = code_to_label, label_col: str = "victim_descent",
                         count_col: str = "crime_total", dedupe_geocode: bool = False,
-                        materialize: bool = True) -> DataFrame:
+                        materialize: bool = True, reuse: Reuse | None = None) -> DataFrame:
     """Facts per category in the ``k`` richest and ``k`` poorest zones.
 
     Output: ``side`` ('highest' | 'lowest'), the category code, its label and
@@ -74,11 +75,14 @@ def extreme_zone_counts(facts: DataFrame, geocode: DataFrame, income: DataFrame,
     The per-zone counts feed both the choice of zones and the final counts;
     with ``materialize`` they are computed once and checkpointed to the
     shared folder (reliable, lineage cut), so the facts are scanned once.
+    With ``reuse`` they are cached in that scope instead.
     """
     per_zone = facts_per_zone(facts, geocode, lat=lat, lon=lon, category=category, zone_col=zone_col,
                               zip_key=zip_key, dedupe_geocode=dedupe_geocode)
     per_zone = per_zone.groupBy(zone_col, category).agg(F.sum("n").alias("n"))  # zones x categories rows
-    if materialize:
+    if reuse is not None:
+        per_zone = reuse.keep(per_zone)
+    elif materialize:
         shared_dir(per_zone.sparkSession)
         per_zone = per_zone.checkpoint(eager=True)
     incomes = zone_incomes(income, zone_col, income_col)

@@ -417,6 +417,7 @@ SELECT i.incident_id, s.division FROM incidents_area i JOIN stations s ON CAST(i
         "top_k": W(INCOME) + f"SELECT zip, income FROM zone_income ORDER BY income DESC, zip LIMIT {TOP_K}",
         "income_extremes": _income_extremes(),
         "income_extremes_sql": _income_extremes(),
+        "income_extremes_cached": _income_extremes(),
         "income_extremes_total": _income_extremes_total(),
         "or_join": W(INCIDENTS, INCIDENTS_AREA, STATIONS) + """
 SELECT i.incident_id, s.site_id, s.division
@@ -424,6 +425,10 @@ FROM incidents_area i JOIN stations s ON i.area = s.prec OR i.area = '0' || s.pr
         "or_join_rewritten": W(INCIDENTS, INCIDENTS_AREA, STATIONS) + """
 SELECT i.incident_id, s.site_id, s.division
 FROM incidents_area i JOIN stations s ON i.area = s.prec OR i.area = '0' || s.prec""",
+        "or_join_disjoint": W(INCIDENTS, INCIDENTS_AREA, STATIONS) + """
+SELECT i.incident_id, s.site_id
+FROM incidents_area i LEFT JOIN (SELECT site_id, nullif(prec, '7') AS prec FROM stations) s
+  ON i.area = s.prec OR i.area = lpad(s.prec, 2, '0') OR (i.o_custkey % 60 = s.site_id AND substr(i.weapon_code, 1, 1) = '1')""",
         "haversine_distance": _assigned_distance_rows(firearm).replace(
             "SELECT * FROM assigned",
             f"SELECT incident_id, site_id, round({haversine_sql('lat', 'lon', 'y', 'x')}, 6) AS distance_km"
@@ -456,6 +461,12 @@ SELECT CAST(year(occurred_on) AS INTEGER) AS year, count(*) AS crime_total FROM
 SELECT weapon_code, count(*) AS crime_total FROM incidents GROUP BY 1 ORDER BY 2 DESC, 1""",
         "udf_scalar": _daypart_counts(),
         "udf_in_sql": _daypart_counts(),
+        "join_plans": W(INCIDENTS) + """
+SELECT p.*, (SELECT count(*) FROM incidents i JOIN customer c ON i.o_custkey = c.c_custkey) AS n_rows
+FROM (VALUES ('broadcast', 0, 'BroadcastHashJoin', 'Inner', 'right', 0, 1, 0),
+             ('merge', 0, 'SortMergeJoin', 'Inner', NULL, 2, 0, 2),
+             ('shuffle_hash', 0, 'ShuffledHashJoin', 'Inner', 'right', 2, 0, 0))
+  AS p(hint, join_no, join_node, join_type, build_side, shuffles, broadcasts, sorts)""",
         "join_hint_broadcast": hint,
         "join_hint_merge": hint,
         "join_hint_shuffle_hash": hint,
