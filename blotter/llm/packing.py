@@ -12,6 +12,7 @@ from __future__ import annotations
 import bisect
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,8 +27,8 @@ from blotter.llm.shared import id_and_text, kept
 from blotter.llm.token_counts import byte_alphabet
 
 CAPACITY, END_ID = 2048, 0
-#: Words and parts of words that a worker keeps; longer ones than LONG characters aren't kept.
-CACHE, LONG = 200_000, 64
+#: Parts that a worker keeps in each of two generations (and a quarter as many words); longer ones than LONG characters aren't kept.
+CACHE, LONG = 250_000, 64
 #: Pieces that a bucket of the ranking holds on average.
 PER_BUCKET = 20_000
 
@@ -166,18 +167,21 @@ def plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, in
 # ---------------------------------------------------------------- token ids
 
 
+#: What separates words of plain text, and the code points of a text that are split at a time.
+BLANKS, TEXT_PIECE = " \t\n\r\x0b\x0c", 1 << 20
+
+
 class WordEncoder:
-    """Token ids of texts by a tokenizer for which white space only separates words, with caches of words and of parts.
+    """Token ids of texts by a tokenizer for which white space only separates words, with a memory of parts.
 
-    A word seen before is looked up. A new word of plain letters is split into parts as the tokenizer splits it, and parts
-    not seen before go to the tokenizer's own model. Other words, and texts of a tokenizer of another kind, are encoded by
-    the library as they are.
+    A text of plain characters is split into parts as the tokenizer splits it: parts seen before are looked up, others go to the tokenizer's own
+    model. Of other texts, the plain words are encoded likewise and the rest by the library as they are; so are whole texts of a tokenizer of another kind.
     """
 
     #: Fixed value: the published split pattern of the word-end BPE tokenizers.
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
     #: Characters whose lower case and composed form don't depend on their neighbours or on the Unicode version.
-    PLAIN = r"[!-~\u00a1-\u00ff\u2010-\u2027]+"
+    PLAIN = r"!-~\u00a1-\u00ff\u2010-\u2027"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -186,8 +190,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = textops.Memo(CACHE // 4), textops.Memo(CACHE)
         probe = ["ab  ab\n\nab", "ab ab ab", " ab\tab ab "]
         one = self.raw(["ab"])[0]
         #: whether white space separates words and leaves no ids of its own; if not, whole texts are encoded
@@ -198,26 +201,68 @@ class WordEncoder:
         self.known = self.by_word and steps[0].get("pattern") == {"Regex": self.SPLIT} and self.raw(["AB"]) == self.raw(["ab"])
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.known = self.known and all(x.startswith("<") for x in self.special)
-        self.plain, self.split, self.alphabet = regex.compile(self.PLAIN).fullmatch, regex.compile(self.SPLIT).findall, byte_alphabet()
+        self.plain, self.plain_text = re.compile(f"[{self.PLAIN}]+").fullmatch, re.compile(f"[{self.PLAIN}{BLANKS}]*").fullmatch
+        # the same pattern with the classes written out for plain characters, which Python's own matcher reads faster
+        chars = [chr(c) for c in range(0x2028) if re.match(f"[{self.PLAIN}]", chr(c))]
+        letters, digits = (re.escape("".join(c for c in chars if regex.match(kind, c))) for kind in (r"\p{L}", r"\p{N}"))
+        pattern = self.SPLIT.replace(r"\p{L}", letters).replace(r"\p{N}", digits)
+        self.split, self.alphabet = re.compile(pattern).findall, byte_alphabet()
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _marked(self, text: str) -> bool:
+        """Whether a special token's string stands in the text."""
+        return "<" in text and any(x in text for x in self.special)
+
+    def _part(self, part: str) -> bytes:
+        found = self.tokenizer.model.tokenize("".join([self.alphabet[x] for x in part.encode()]))
+        return np.array([t.id for t in found], "<u4").tobytes()
+
+    def _plain_ids(self, text: str) -> bytes:
+        """Of plain characters and blanks."""
+        parts = self.split(text.lower())
+        got = list(map(self.parts.new.get, parts))
+        if None in got:
+            found = {}
+            for p in {p for p, g in zip(parts, got) if g is None}:
+                ids = self.parts.get(p)
+                if ids is None:
+                    ids = self._part(p)
+                    if len(p) <= LONG:
+                        self.parts.put(p, ids)
+                found[p] = ids
+            got = [found[p] if g is None else g for p, g in zip(parts, got)]
+        return b"".join(got)
+
     def word(self, word: str) -> bytes:
-        if not self.known or not self.plain(word) or ("<" in word and any(x in word for x in self.special)):
+        if not self.known or not self.plain(word) or self._marked(word):
             return self.raw([word])[0]
-        out = []
-        for part in self.split(word.lower()):
-            ids = self.parts.get(part)
+        return self._plain_ids(word)
+
+    def _pieces(self, text: str) -> Iterator[str]:
+        """A text in pieces of bounded size that end between words; a longer word comes whole."""
+        lo = 0
+        while len(text) - lo > TEXT_PIECE:
+            cut = _BLANK.search(text, lo + TEXT_PIECE)
+            if cut is None:
+                break
+            yield text[lo : cut.start()]
+            lo = cut.start()
+        yield text[lo:] if lo else text
+
+    def _mixed_ids(self, text: str) -> bytes:
+        """Word by word."""
+        words = text.split()
+        found = {}
+        for w in set(words):
+            ids = self.words.get(w)
             if ids is None:
-                found = self.tokenizer.model.tokenize("".join([self.alphabet[x] for x in part.encode()]))
-                ids = np.array([t.id for t in found], "<u4").tobytes()
-                if len(part) <= LONG:
-                    if len(self.parts) >= CACHE:
-                        self.parts.clear()
-                    self.parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
+                ids = self.word(w)
+                if len(w) <= LONG:
+                    self.words.put(w, ids)
+            found[w] = ids
+        return b"".join(map(found.__getitem__, words))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
@@ -226,15 +271,11 @@ class WordEncoder:
             if not self.by_word or any(c in text for c in "\x1c\x1d\x1e\x1f"):
                 yield self.raw([text])[0]
                 continue
-            words = text.split()
-            got = list(map(self.words.get, words))
-            if None in got:
-                found = {w: self.word(w) for w in {w for w, g in zip(words, got) if g is None}}
-                got = [found[w] if g is None else g for w, g in zip(words, got)]
-                if len(self.words) + len(found) > CACHE:
-                    self.words.clear()
-                self.words.update((w, v) for w, v in found.items() if len(w) <= LONG)
-            yield b"".join(got)
+            plain = self.known and self.plain_text(text) and not self._marked(text)
+            yield b"".join(map(self._plain_ids if plain else self._mixed_ids, self._pieces(text)))
+
+
+_BLANK = re.compile(f"[{BLANKS}]")
 
 
 def _encoder(path: str) -> WordEncoder:

@@ -26,6 +26,26 @@ def worker_cache() -> dict:
     return sys.modules[name].data
 
 
+class Memo:
+    """A bounded memory of two generations of at most ``size`` entries: when the newer is full it becomes the older, and what is used again moves back."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def get(self, key):
+        got = self.new.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is not None:
+                self.put(key, got)
+        return got
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+
 def byte_view(arr) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string column and its len + 1 offsets; null counts as empty."""
     if isinstance(arr, pa.ChunkedArray):
