@@ -74,6 +74,7 @@ def _bodies(column) -> Iterator[bytes]:
 
 def _recipes(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("chunk_dedup")
         for b in batches:
             digest, recipe = [], []
             for body in _bodies(b.column(1)):
@@ -91,6 +92,7 @@ def _chunk_rows(size: int):
     kinds = pa.schema([("id", pa.int64()), ("sha256", pa.string()), ("pos", pa.int32()), ("key", pa.binary()), ("chunk", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("chunk_dedup")
         for b in batches:
             out, held = [], 0
             for i, body in zip(b.column(0).to_pylist(), _bodies(b.column(1))):

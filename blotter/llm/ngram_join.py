@@ -45,6 +45,7 @@ def _hot_counts(n: int, share: float):
     """Shingles met in several documents of a batch, with their counts, from the hash range that prefixes come from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("ngram_join")
         top = np.uint64(min(2**64 - 1, int(share * 2**64)))
         for whole in batches:
             for lo in range(0, whole.num_rows, 4000):
@@ -76,6 +77,7 @@ def _signatures(n: int, num: int, den: int, levels: int, hot: np.ndarray):
         return np.concatenate([cold, s[is_hot][np.argsort(-rank)]])[:m]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("ngram_join")
         for b in batches:
             size, digest, first = [], [], []
             for s in textops.shingle_sets(*textops.byte_view(b.column(1)), n):
@@ -113,6 +115,7 @@ def _choose_levels(num: int, den: int, levels: int):
     """Keep of each document's shared shingles those of the l-prefix with the least estimated cost."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("ngram_join")
         for whole in batches:
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
@@ -146,6 +149,7 @@ def _choose_levels(num: int, den: int, levels: int):
 
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("ngram_join")
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 b = whole.slice(lo, 500)
@@ -157,6 +161,7 @@ def _sets(n: int):
 
 def _verify(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("ngram_join")
         for b in batches:
             link = []
             for x, y in zip(b.column(2), b.column(3)):
@@ -175,6 +180,7 @@ def _measure(num: int, den: int):
     """How a document x and a hub h compare: link, sizes, and the differences of those that have half or more in common."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("ngram_join")
         for b in batches:
             rows = []
             for x, h in zip(b.column(2), b.column(3)):

@@ -290,6 +290,7 @@ PIECES = "id long, piece int, start long, length long, crc long"
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("packing")
         encoder, end = _encoder(path), np.array([end_id], "<u4").tobytes()
         for b in batches:
             out = {k: [] for k in ("id", "piece", "start", "length", "crc")} | ({"ids": []} if with_ids else {})
@@ -322,6 +323,7 @@ def _place(places: list[tuple[int, int, int, int, int]]):
     key = (table[:, 0] << 44) + start
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("packing")
         for b in batches:
             col = {n: b.column(k) for k, n in enumerate(b.schema.names)}
             length, rank = (col[n].to_numpy(zero_copy_only=False).astype(np.int64) for n in ("length", "rank"))

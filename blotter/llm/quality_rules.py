@@ -124,6 +124,7 @@ def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    textops.enter("quality_rules")
     for b in batches:
         data, off = textops.byte_view(b.column(1))
         rows = []
@@ -159,6 +160,7 @@ SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_line
 
 def _score(model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("quality_rules")
         for b in batches:
             data, off = textops.byte_view(b.column(1))
             parts, scores = [], []
@@ -195,6 +197,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def _keep(model, threshold: float, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        textops.enter("quality_rules")
         for b in batches:
             text = b.column(at).cast(pa.string())
             for got in _score(model, threshold)(iter([pa.RecordBatch.from_arrays([pa.array(np.arange(b.num_rows)), text], names=["id", "text"])])):

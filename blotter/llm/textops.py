@@ -26,6 +26,15 @@ def worker_cache() -> dict:
     return sys.modules[name].data
 
 
+def enter(owner: str) -> None:
+    """To be called by a task first: what other operators' tasks left in this worker's cache is dropped, so a worker holds one operator's tables."""
+    cache = worker_cache()
+    if cache.get("owner") != owner:
+        cache.clear()
+        cache["owner"] = owner
+        pa.default_memory_pool().release_unused()
+
+
 class Memo:
     """A bounded memory of two generations of at most ``size`` entries: when the newer is full it becomes the older, and what is used again moves back."""
 
