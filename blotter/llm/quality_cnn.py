@@ -3,7 +3,7 @@
 Each of ``FILTERS`` learned filters spans ``WIDTH`` bytes (a weight per byte value and place). A text is read in overlapping
 chunks that cover all of it; a filter's answer in a chunk is its maximum there, and the mean over the chunks goes
 through a second layer to one probability. Fitted on the driver on a bounded sample of labelled rows: the ``SAMPLE``
-training rows of at most ``MOST_BYTES`` with the smallest hash of their id. Every text is scored whole.
+training ids with the smallest hash, one text each, of which at most ``FIT_BYTES`` evenly spread over the text. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from blotter.llm.shared import id_and_text
 
 FILTERS, WIDTH, HIDDEN = 32, 4, 16
 CHUNK, STEP = 256, 224
-SAMPLE, MOST_BYTES, EPOCHS = 1500, 20_000, 12
+SAMPLE, FIT_BYTES, EPOCHS = 1500, 20_000, 12
 THRESHOLD = 0.3
 
 
@@ -112,16 +112,40 @@ def held_out(id_column):
     return F.crc32(id_column.cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> dict | None:
-    """The fitted network, or None without training labels of both kinds. Held-out rows take no part."""
+def spread_bytes(text: bytes, most: int = FIT_BYTES) -> bytes:
+    """A text of at most ``most`` bytes as it is; of a longer one so many, as chunks at even distances from its start to its end."""
+    if len(text) <= most:
+        return text
+    n = max(1, most // CHUNK)
+    return b"".join(text[a : a + CHUNK] for a in np.linspace(0, len(text) - CHUNK, n).astype(np.int64).tolist())
+
+
+def _training_rows(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [spread_bytes(t.as_py().encode(), most) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary()), b.column(2)], names=["id", "text", "y"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE,
+          fit_bytes: int = FIT_BYTES) -> dict | None:
+    """The fitted network, or None without training labels of both kinds. Held-out rows take no part.
+
+    At most ``sample`` rows of ``fit_bytes`` each reach the driver. Of rows with one id the last text counts, by order of texts: a repeated id is one row,
+    merged on the map side. Null texts aren't learned from.
+    """
     y = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
     y = y.where("id is not null and y in (0, 1)").where(~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
     y = y.orderBy(F.xxhash64("id"), "id").limit(sample)
-    rows = id_and_text(docs, id_col, text_col).where(f"octet_length(text) <= {MOST_BYTES}").join(F.broadcast(y), "id").limit(2 * sample).collect()
-    rows.sort(key=lambda r: (r["id"], r["text"]))
+    d = id_and_text(docs, id_col, text_col).where("text is not null").join(F.broadcast(y), "id")
+    d = d.groupBy("id").agg(F.max("text").alias("text"), F.max("y").alias("y"))
+    rows = d.select("id", "text", "y").mapInArrow(_training_rows(fit_bytes), "id long, text binary, y int").collect()
+    rows.sort(key=lambda r: r["id"])
     if len({r["y"] for r in rows}) < 2:
         return None
-    return fit([r["text"].encode() for r in rows], np.array([r["y"] for r in rows]))
+    return fit([bytes(r["text"]) for r in rows], np.array([r["y"] for r in rows]))
 
 
 def _score_rows(model):

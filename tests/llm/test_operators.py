@@ -284,6 +284,21 @@ def test_streaming_window_commits_early():
     assert list(codec.pieces("abab")) == ["ab", "ab"]
 
 
+def test_decode_of_ids_that_the_vocabulary_lacks():
+    codec = sentencepiece_codec.Codec(PIECE)
+    ids = codec.encode("a word")
+    odd = ids + np.array([10**6, 2**32 - 1], "<u4").tobytes() + b"xy"
+    assert codec.decode(odd) == "a word" + " \u2047 " * 2 and codec.decode(b"\x01") == ""
+
+
+def test_memory_of_two_generations():
+    memo = textops.Memo(2)
+    for k in range(5):
+        memo.put(k, -k)
+        assert memo.get(0) == 0  # used again, so never lost
+    assert memo.get(4) == -4 and memo.get(1) is None and len(memo.new) <= 2 and len(memo.old) <= 2
+
+
 def test_codec_edges(spark):
     out = {r.doc_id: r for r in sentencepiece_codec.round_trips(_edge(spark), PIECE).collect()}
     assert all(r.round_trip for r in out.values()) and (out[2].n_ids, out[3].n_ids) == (0, 0)
@@ -514,6 +529,26 @@ def _brute_spans(t):
 RANDOM_TOKEN = "9fK2LmQ7xZ4bT1vR8nW3yC6dJ5hS0aGe"
 
 
+def test_training_takes_long_texts_and_repeated_ids(spark):
+    free = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    word = {0: "junk%% ", 1: "kind words "}
+    rows = [(i, word[k % 2] * 3000) for k, i in enumerate(free)]  # all over FIT_BYTES
+    docs = spark.createDataFrame(rows + [rows[0]] * 3000, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(free)], "doc_id long, quality int")
+    model = quality_cnn.train(docs, labels, sample=40)
+    assert model is not None
+    score = {k: quality_cnn.score(np.frombuffer((word[k] * 900).encode(), np.uint8), model) for k in (0, 1)}
+    assert score[0] < 0.2 and score[1] > 0.8
+    again = quality_cnn.train(docs.repartition(5), labels, sample=40)
+    assert all((model[k] == again[k]).all() for k in model)
+
+
+def test_bytes_of_a_long_text_are_spread():
+    text = bytes(range(256)) * 400
+    got = quality_cnn.spread_bytes(text, 2560)
+    assert len(got) == 2560 and got[:256] == text[:256] and got[-256:] == text[-256:] and quality_cnn.spread_bytes(b"abc", 2560) == b"abc"
+
+
 def test_base_spans_equal_brute_force(spark):
     rng = random.Random(8)
     bits = ["token", "Secret", "api_key", "APIKEY", "=", ": ", "\"", "'", "AKIA", "ABCD1234EFGH5678", "0123456789abcdef", "deadbeef", "é😀", " ", "x", "zz/", RANDOM_TOKEN, "passwd", "ſecret"]
