@@ -7,8 +7,8 @@ everywhere is the encoding, so the ids are the library's. Backpointers are kept
 longest piece long, so all paths to come start at one of the window's last boundaries, and as soon as the backpointer paths
 from these meet in one boundary, the ids before it are committed and forgotten.
 
-No piece goes on into the next word, so paths always meet where a word ends: encodings of words are remembered in a bounded
-cache per Python worker.
+No piece goes on into the next word, so paths always meet where a word ends, and all before it is committed there at the latest. What was
+committed for a word, and for a run of letters in it, is remembered in a bounded memory per Python worker.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from blotter.llm import textops
 from blotter.llm.shared import id_and_text
 
-#: Words and parts that a worker keeps (longer ones than LONG characters aren't kept), and judged pairs of pieces.
-CACHE, LONG = 800_000, 64
-PAIRS = 600_000
+#: Words and parts that a worker keeps in each of two generations (longer ones than LONG characters aren't kept), and judged pairs of pieces.
+CACHE, LONG = 400_000, 64
+PAIRS = 400_000
 SPACE = "▁"
 
 
@@ -66,9 +66,7 @@ class Codec:
         #: word by word, if no piece goes on from a word into the next
         self.split = None if inner else regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         self.parts_of = regex.compile(f"{SPACE}*\\p{{L}}+|[^\\p{{L}}]+").findall
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, list[str]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.words, self.parts, self.pairs = textops.Memo(CACHE), textops.Memo(CACHE), textops.Memo(PAIRS)
 
     # -- encoding
 
@@ -92,12 +90,12 @@ class Codec:
 
     def may_follow(self, a: str, b: str) -> bool:
         key = (a, b)
-        got = self.pairs.get(key)
+        got = self.pairs.new.get(key)
+        if got is None:
+            got = self.pairs.get(key)
         if got is None:
             got = self.merged(a + b) == [a, b]
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            self.pairs[key] = got
+            self.pairs.put(key, got)
         return got
 
     def pieces(self, text: str) -> Iterator[str]:
@@ -155,46 +153,20 @@ class Codec:
             common = path if common is None else common & path
         return max(common or {base})
 
-    def _short(self, text: str) -> list[str]:
-        """As ``pieces`` for a BPE model and a text that the window holds whole: it is settled at its end."""
-        n = len(text)
-        last: list[str | None] = [""] + [None] * n
-        scores, lengths, pairs, may_follow = self.scores, self.lengths, self.pairs, self.may_follow
-        for end in range(1, n + 1):
-            for k in lengths.get(text[end - 2 : end], (1,)) if end > 1 else (1,):
-                if k > end:
-                    continue
-                before = last[end - k]
-                if before is None:
-                    continue
-                piece = text[end - k : end]
-                if k > 1 and piece not in scores:
-                    continue
-                if not before or pairs.get((before, piece)) or may_follow(before, piece):
-                    last[end] = piece
-                    break
-        out = []
-        while n:
-            out.append(last[n])
-            n -= len(last[n])
-        return out[::-1]
-
     def _settled(self, word: str) -> list[str]:
-        """The pieces of a word. Letters and other characters are searched apart, and remembered; where the last piece of one
-        part may be followed by the first of the next, the joined path obeys the rule everywhere, else the whole is searched."""
-        if self.kind != "bpe" or len(word) > 4 * self.longest:
+        """The pieces of a word, by the search. For a BPE model letters and other characters are searched apart, and what was committed is remembered; where the
+        last piece of one part may be followed by the first of the next, the joined path obeys the rule everywhere, else the whole is searched."""
+        if self.kind != "bpe":
             return list(self.pieces(word))
-        parts = self.parts_of(word)
         out: list[str] = []
-        for part in parts:
+        for part in self.parts_of(word):
             got = self.parts.get(part)
             if got is None:
-                got = self._short(part)
-                if len(self.parts) >= CACHE:
-                    self.parts.clear()
-                self.parts[part] = got
+                got = list(self.pieces(part))
+                if len(part) <= LONG:
+                    self.parts.put(part, got)
             if out and not self.may_follow(out[-1], got[0]):
-                return self._short(word)
+                return list(self.pieces(word))
             out += got
         return out
 
@@ -222,22 +194,27 @@ class Codec:
             words, first = self.split(self.normalise(text)), ""
         else:  # single blanks: every word has one before it
             words, first = text.split(" "), SPACE
-        got = list(map(self.words.get, words)) if first else [None] * len(words)
+        got = list(map(self.words.new.get, words)) if first else [None] * len(words)
         if None in got:
-            found = {w: self._word(first + w) for w in {w for w, g in zip(words, got) if g is None}}
+            found = {}
+            for w in {w for w, g in zip(words, got) if g is None}:
+                ids = self.words.get(w) if first else None
+                if ids is None:
+                    ids = self._word(first + w)
+                    if first and len(w) <= LONG:
+                        self.words.put(w, ids)
+                found[w] = ids
             got = [found[w] if g is None else g for w, g in zip(words, got)]
-            if first:
-                if len(self.words) + len(found) > CACHE:
-                    self.words.clear()
-                self.words.update((w, v) for w, v in found.items() if len(w) <= LONG)
         return b"".join(got)
 
     # -- decoding
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces and bytes one after another, without the blank that encoding puts first. Bytes that are no UTF-8
-        become replacement characters."""
-        out = b"".join(map(self.out.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        become replacement characters. An id that the vocabulary lacks reads as the unknown id; bytes after the last whole id are left out."""
+        known = np.frombuffer(ids[: len(ids) // 4 * 4], "<u4")
+        known = np.where(known < len(self.out), known, self.unknown) if self.unknown >= 0 else known[known < len(self.out)]
+        out = b"".join(map(self.out.__getitem__, known.tolist())).decode("utf-8", "replace")
         return out[1:] if out.startswith(" ") else out
 
 
