@@ -54,12 +54,13 @@ class Codec:
                 self.out.append(piece.replace(SPACE, " ").encode())
         self.unknown = m.unk_id()
         self.longest = max(map(len, self.ids), default=1)
-        #: the lengths of the pieces that end in two given characters, longest first; one character can always be an arc
+        #: the lengths of the pieces that end in three (or two) given characters, longest first; one character can always be an arc
+        self.after_two = {p: (2, 1) for p in self.ids if len(p) == 2}
         lengths: dict[str, set[int]] = {}
         for piece in self.ids:
-            if len(piece) > 1:
-                lengths.setdefault(piece[-2:], {1}).add(len(piece))
-        self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}
+            if len(piece) > 2:
+                lengths.setdefault(piece[-3:], {1, *self.after_two.get(piece[-2:], ())}).add(len(piece))
+        self.after_three = {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}
         probe = " a  bé é Ａ\tc\n"
         self.plain = m.normalize(probe) == SPACE + probe.replace(" ", SPACE) and m.normalize("") == ""
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
@@ -103,10 +104,14 @@ class Codec:
         base = 0  # the boundary before which all is committed
         back = {0: (0, "", 0.0)}  # boundary -> (boundary before, piece between, score)
         bpe, longest, scores = self.kind == "bpe", self.longest, self.scores
+        three, two, one = self.after_three, self.after_two, (1,)
         n = len(text)
         for end in range(1, n + 1):
             best = None
-            for k in self.lengths.get(text[end - 2 : end], (1,)) if end > 1 else (1,):
+            arcs = three.get(text[end - 3 : end]) if end > 2 else None
+            if arcs is None:
+                arcs = two.get(text[end - 2 : end], one) if end > 1 else one
+            for k in arcs:
                 start = end - k
                 before = back.get(start)
                 if before is None:  # not reached, or before all that is left of the text
