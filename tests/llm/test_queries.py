@@ -9,6 +9,7 @@ import pytest
 import corpus_pipeline
 from blotter.llm import chunk_dedup, ngram_join, quality_rules, queries
 from blotter.llm.shared import table
+from tests.oracle_compare import rows_of
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -23,11 +24,11 @@ def test_sql_gives_the_same_rows(spark, name):
     con = duckdb.connect()
     for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
-    want = con.execute(queries.oracle_sql()[name]).df()
-    got = queries.queries()[name](spark, SMALL).toPandas()
-    assert sorted(got.columns) == sorted(want.columns)
-    cols = sorted(want.columns)
-    assert sorted(map(tuple, got[cols].astype(str).values)) == sorted(map(tuple, want[cols].astype(str).values))
+    found = con.execute(queries.oracle_sql()[name])
+    columns, want = [c[0] for c in found.description], found.fetchall()
+    got = queries.queries()[name](spark, SMALL)
+    assert sorted(got.columns) == sorted(columns)
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(columns, want)
 
 
 def test_pipeline_stages_take_effect(spark, tmp_path):
