@@ -1,18 +1,20 @@
 """Secret scans in DataFrame expressions only: base patterns, and a battery of randomness tests for other tokens.
 
 Base patterns give spans of kinds assign, access and hex. Further candidates are runs of 20 or more characters
-``[A-Za-z0-9+/_-]``, with the ``=`` that pad them, that no base span touches and that hold digits and letters. A ``=`` before
-a run ends another one: in ``NAME=token`` and ``?key=token`` the token is judged alone. The battery infers each candidate's encoding
-(hex, base32 or base64) and tests it against random characters of that alphabet:
-
-- chi-squared uniformity, over the symbols and over the classes of symbols (digits, lower, upper case, others),
-- runs above and below the middle of the alphabet,
+``[A-Za-z0-9+/_-]``, with the ``=`` that pad them, that no base span touches. A ``=`` before a run ends another one: in
+``NAME=token`` and ``?key=token`` the token is judged alone. The battery infers each candidate's encoding, the smallest alphabet
+with all of its symbols (hex, base32 and base36 in one case, base62, base64; base58 counts as base62), and tests it against
+random characters of that alphabet:
+
+- chi-squared uniformity, over the symbols and over the classes of symbols (digits, lower, upper case, others, and of the
+  letters those that are rare in words),
+- runs above and below the middle of the alphabet, and runs of digits and of other symbols (names keep digits together),
 - serial correlation of neighbouring symbols.
 
 Their Bonferroni-combined p-value says how badly a token fits randomness. A Benjamini-Hochberg step over all candidates of a
 length band finds the ones that are significantly not random (ordinary identifiers, paths, words) at a false-discovery rate
 of ``rate``; bands keep the many short candidates, whose tests are weak, from setting the limit for long ones. What is left
-passes as random: a span of kind ``random``. Candidates too short for the battery to reject plain words are left alone.
+passes as random: a span of kind ``random``.
 
 The step needs only counts per (band, bin of p): a table of bounded size.
 """
@@ -40,8 +42,17 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:=++(?![A-Za-z0-9+/_-])
 RATE = 0.05
 BAND, BANDS = 8, 12  # bands of 8 characters; the last is open
 BINS, PER_DECADE = 120, 8
-#: Candidates of fewer characters aren't judged, by encoding.
-SHORTEST = {"hex": 32, "base32": 26, "base64": 24}
+#: (name, symbols that a token in it has only, alphabet); the first that fits is a token's encoding. Words with a digit or none
+#: count as base36, which expects more digits than base32.
+ENCODINGS = [
+    ("hex", "^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
+    ("base32", "^(?=(.*[2-7]){3})([a-z2-7]+|[A-Z2-7]+)$", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("base36", "^([a-z0-9]+|[A-Z0-9]+)$", "abcdefghijklmnopqrstuvwxyz0123456789"),
+    ("base62", "^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
+    ("base64", "^[A-Za-z0-9+/_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+]
+#: Letters that words seldom have.
+RARE = "bfgjkpqvwxyz"
 SPAN = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -94,30 +105,42 @@ def _count(s: Column, chars: str) -> Column:
     return F.length(s) - F.length(F.regexp_replace(s, f"[{chars}]", ""))
 
 
+def _runs(runs: Column, ones: Column, n: Column) -> Column:
+    """Two-sided p-value of the number of runs in n symbols of two kinds, ``ones`` of them of one kind (with a correction for continuity)."""
+    mean = ones * (n - ones) * 2 / n + 1
+    spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
+    return F.when((ones == 0) | (ones == n), 1.0).otherwise(F.least(_tail(F.greatest(F.abs(runs - mean) - 0.5, F.lit(0.0)) / spread) * 2, F.lit(1.0)))
+
+
 def misfit(token: Column) -> Column:
-    """log10 of the combined p-value of the battery for one token; null if it has no known encoding or is too short."""
+    """log10 of the combined p-value of the battery for one token; null if it has no known encoding."""
     s = F.regexp_replace(token, "=+$", "")
-    mixed = s.rlike("[0-9]") & s.rlike("[A-Za-z]")
-    encoding = F.when(s.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(s.rlike("^[A-Z2-7]+$"), "base32").when(s.rlike("^[A-Za-z0-9+/_-]+$"), "base64")
-    return F.transform(F.array(F.struct(s.alias("s"), encoding.alias("e"), mixed.alias("m"))), _battery)[0]
+    kind = F.coalesce(*(F.when(s.rlike(symbols), F.lit(k)) for k, (_, symbols, _) in enumerate(ENCODINGS)))
+    return F.transform(F.array(F.struct(s.alias("s"), kind.alias("e"))), _battery)[0]
 
 
 def _battery(x: Column) -> Column:
     s, e = x["s"], x["e"]
     n = F.length(s).cast("double")
-    size = F.when(e == "hex", 16.0).when(e == "base32", 32.0).otherwise(64.0)
-    alphabet = F.when(e == "hex", F.lit("0123456789abcdef")).when(e == "base32", F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")).otherwise(
-        F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
-    # the symbols' places in the alphabet; - and _ are the last two in the form for addresses
-    plain = F.when(e == "hex", F.lower(s)).otherwise(F.translate(s, "-_", "+/"))
+    by_kind = lambda values: F.element_at(F.array(*(F.lit(v) for v in values)), e + 1)
+    alphabet = by_kind([a for _, _, a in ENCODINGS])
+    size = by_kind([float(len(a)) for _, _, a in ENCODINGS])
+    # the symbols' places in the alphabet; - and _ are the last two in the form for addresses, and alphabets of one case are in small letters
+    plain = F.when(e < 3, F.lower(s)).otherwise(F.translate(s, "-_", "+/"))
     squares = F.aggregate(F.split(alphabet, ""), F.lit(0.0), lambda a, c: a + F.pow((F.length(plain) - F.length(F.replace(plain, c))).cast("double"), F.lit(2.0)))
     symbols = _chi_tail(squares * size / n - n, size - 1)
     classes = []
-    for chars, in_hex, in_32, in_64 in (("0-9", 10, 6, 10), ("A-Z", 0, 26, 26), ("a-z", 6, 0, 26), ("+/", 0, 0, 2)):
-        share = F.when(e == "hex", in_hex / 16).when(e == "base32", in_32 / 32).otherwise(in_64 / 64)
-        want = share * n
+    for chars, held in (("0-9", str.isdigit), ("A-Z", str.isupper), ("a-z", str.islower), ("+/", lambda c: c in "+/")):
+        want = by_kind([sum(map(held, a)) / len(a) for _, _, a in ENCODINGS]) * n
         classes.append(F.when(want > 0, F.pow(_count(plain, chars) - want, F.lit(2.0)) / F.greatest(want, F.lit(1e-9))).otherwise(0.0))
-    by_class = _chi_tail(sum(classes[1:], classes[0]), F.when(e == "base64", 3.0).otherwise(1.0))
+    # the rare among the letters are one more degree of freedom
+    letters = _count(plain, "A-Za-z").cast("double")
+    share, worded = len(RARE) / 26, (e > 0) & (letters > 0)
+    rare = F.when(worded, F.pow(_count(F.lower(plain), RARE) - letters * share, F.lit(2.0)) / (letters * share * (1 - share))).otherwise(0.0)
+    by_class = _chi_tail(sum(classes[1:], classes[0]) + rare, by_kind([1.0, 1.0, 1.0, 2.0, 3.0]) + F.when(worded, 1.0).otherwise(0.0))
+    digits = _count(plain, "0-9").cast("double")
+    parts = (_count(F.regexp_replace(plain, "[0-9]++", "0"), "0") + _count(F.regexp_replace(plain, "[^0-9]++", "a"), "a")).cast("double")
+    turns = _runs(parts, digits, n)
     places = F.transform(F.split(plain, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
     middle = (size - 1) / 2
     zero = F.struct(F.lit(None).cast("double").alias("last"), *(F.lit(0.0).alias(k) for k in ("up", "runs", "lag", "sq")))
@@ -129,17 +152,14 @@ def _battery(x: Column) -> Column:
                         (a["lag"] + F.when(first, 0.0).otherwise(d * d0)).alias("lag"), (a["sq"] + d * d).alias("sq"))
 
     def combine(t: Column) -> Column:
-        up, down = t["up"], n - t["up"]
-        mean = up * down * 2 / n + 1
-        spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-        runs = F.when((up == 0) | (down == 0), F.pow(F.lit(2.0), 1 - n)).otherwise(_tail(F.abs(t["runs"] - mean) / spread) * 2)
+        up = t["up"]
+        # with symbols on one side only, the chance of that
+        runs = F.when((up == 0) | (up == n), F.pow(F.lit(2.0), 1 - n)).otherwise(_runs(t["runs"], up, n))
         serial = _tail(F.abs(t["lag"] / F.greatest(t["sq"], F.lit(1e-9))) * F.sqrt(n)) * 2
-        least = F.least(symbols, by_class, runs, serial)
-        return F.log10(F.least(F.greatest(least * 4, F.lit(1e-30)), F.lit(1.0)))
+        least = F.least(symbols, by_class, runs, turns, serial)
+        return F.log10(F.least(F.greatest(least * 5, F.lit(1e-30)), F.lit(1.0)))
 
-    shortest = F.when(e == "hex", SHORTEST["hex"]).when(e == "base32", SHORTEST["base32"]).otherwise(SHORTEST["base64"])
-    p = F.transform(F.array(F.aggregate(places, zero, step)), combine)[0]
-    return F.when(x["m"] & e.isNotNull() & (n >= shortest), p)
+    return F.when(e.isNotNull(), F.transform(F.array(F.aggregate(places, zero, step)), combine)[0])
 
 
 def _band(start: Column, end: Column) -> Column:

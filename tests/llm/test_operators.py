@@ -562,6 +562,59 @@ def test_base_spans_equal_brute_force(spark):
         assert ",".join(x for x in r.spans.split(",") if not x.startswith("random")) == named
 
 
+WORDS = ("account address balance batch buffer cache channel client cluster column commit config context counter cursor default delete document duration element engine entry error event export "
+         "factory field filter format frame gateway handler header image index input instance invoice journal kernel language layer ledger length level listener logger manager mapping message method "
+         "metric model module network number object option order output package parser partition password payment pipeline pointer policy process profile project provider query queue record region "
+         "request response result router schema session signal source status storage stream string summary system table target template thread timeout update user value vector version warehouse widget worker").split()
+
+
+def _identifier(rng):
+    words = [rng.choice(WORDS) for _ in range(rng.randint(3, 6))]
+    number = rng.choice(["", "2", "17", "v2", "2024", "20240131", "001"])
+    styles = ["_".join(words), "-".join(words), "".join(words), "".join(w.title() for w in words), "".join(words).upper(), "_".join(words).upper(), "/".join(words),
+              words[0] + "".join(w.title() for w in words[1:]), "/".join(f"{w}{rng.randint(0, 99)}" for w in words), "_".join([words[0], str(rng.randint(1, 9999)), *words[1:]])]
+    return rng.choice(styles) + number
+
+
+TOKENS = {"base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+          "base64 for addresses": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", "base58": "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+          "hex, capitals": "0123456789ABCDEF", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "base32, small": "abcdefghijklmnopqrstuvwxyz234567", "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+          "base36, capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"}
+
+
+def found_shares(spark, each=100, identifiers=6000):
+    """The share of random tokens found by (kind, length) and of identifiers taken for random, and those identifiers."""
+    rng = random.Random(88)
+    rows, what = [], {}
+    for kind, alphabet in TOKENS.items():
+        for n in (20, 24, 32, 40, 64):
+            for _ in range(each):
+                what[len(rows)] = (kind, n)
+                rows.append((len(rows), "x " + "".join(rng.choice(alphabet) for _ in range(n)) + " y"))
+    while identifiers:
+        name = _identifier(rng)
+        if len(name) >= 20:
+            identifiers -= 1
+            what[len(rows)] = "identifier"
+            rows.append((len(rows), f"x {name} y"))
+    out = {r.doc_id: r.spans for r in secret_scan.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    total, found, wrong = Counter(what.values()), Counter(), []
+    for k, t in rows:
+        whole = f":2:{len(t) - 2}"
+        if any(x.endswith(whole) for x in out[k].split(",")) or (what[k] != "identifier" and out[k].startswith(("hex:", "access:"))):
+            found[what[k]] += 1
+            if what[k] == "identifier":
+                wrong.append(t)
+    return {k: found[k] / n for k, n in total.items()}, wrong
+
+
+def test_recall_by_kind_and_length(spark):
+    shares, wrong = found_shares(spark)
+    flagged = shares.pop("identifier")
+    assert min(shares.values()) >= 0.9, shares
+    assert flagged <= 0.01, wrong[:20]
+
+
 def test_battery_finds_random_tokens_only(spark):
     rows = [(1, f"see {RANDOM_TOKEN} ok"), (2, "a/quite/ordinary/path/with/words2 or long_identifier_name_of_version1"), (3, "2222222222222222222222222222aaaaaaaaaaaaaaaa"), (4, "9F86D081884C7D659A2FEAA0C55AD015A3BF4F1B")]
     out = {r.doc_id: r.spans for r in secret_scan.secret_spans(spark.createDataFrame(rows * 5, "doc_id long, text string")).collect()}
