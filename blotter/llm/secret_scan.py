@@ -87,11 +87,20 @@ def base_spans(text: Column, long_run: Column) -> Column:
     return F.array_sort(F.concat(_matches(text, F.contains(text, F.lit("=")) | F.contains(text, F.lit(":")), ASSIGN, 0, LEAST_ASSIGN, 2), access, hexes))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _tail(z: Column) -> Column:
     """Upper tail of the standard normal distribution, within a hundredth of its value."""
-    a = F.abs(z)
-    q = F.exp(-a * a / 2) / (a * 1.64 + F.sqrt(a * a * 0.76 + 4.0))
-    return F.when(z >= 0, q).otherwise(1.0 - q)
+
+    def upper(z: Column) -> Column:
+        a = F.abs(z)
+        q = F.exp(-a * a / 2) / (a * 1.64 + F.sqrt(a * a * 0.76 + 4.0))
+        return F.when(z >= 0, q).otherwise(1.0 - q)
+
+    return _let(z, upper)
 
 
 def _chi_tail(chi: Column, df: Column) -> Column:
@@ -107,59 +116,74 @@ def _count(s: Column, chars: str) -> Column:
 
 def _runs(runs: Column, ones: Column, n: Column) -> Column:
     """Two-sided p-value of the number of runs in n symbols of two kinds, ``ones`` of them of one kind (with a correction for continuity)."""
-    mean = ones * (n - ones) * 2 / n + 1
-    spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-    return F.when((ones == 0) | (ones == n), 1.0).otherwise(F.least(_tail(F.greatest(F.abs(runs - mean) - 0.5, F.lit(0.0)) / spread) * 2, F.lit(1.0)))
+
+    def two_sided(mean: Column) -> Column:
+        spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
+        return F.least(_tail(F.greatest(F.abs(runs - mean) - 0.5, F.lit(0.0)) / spread) * 2, F.lit(1.0))
+
+    return F.when((ones == 0) | (ones == n), 1.0).otherwise(_let(ones * (n - ones) * 2 / n + 1, two_sided))
+
+
+def _by_kind(kind: Column, values: list) -> Column:
+    return F.element_at(F.array(*(F.lit(v) for v in values)), kind + 1)
 
 
 def misfit(token: Column) -> Column:
     """log10 of the combined p-value of the battery for one token; null if it has no known encoding."""
-    s = F.regexp_replace(token, "=+$", "")
-    kind = F.coalesce(*(F.when(s.rlike(symbols), F.lit(k)) for k, (_, symbols, _) in enumerate(ENCODINGS)))
-    return F.transform(F.array(F.struct(s.alias("s"), kind.alias("e"))), _battery)[0]
 
+    def inferred(s: Column) -> Column:
+        kind = F.coalesce(*(F.when(s.rlike(symbols), F.lit(k)) for k, (_, symbols, _) in enumerate(ENCODINGS)))
+        return F.struct(s.alias("s"), kind.alias("kind"))
 
-def _battery(x: Column) -> Column:
-    s, e = x["s"], x["e"]
-    n = F.length(s).cast("double")
-    by_kind = lambda values: F.element_at(F.array(*(F.lit(v) for v in values)), e + 1)
-    alphabet = by_kind([a for _, _, a in ENCODINGS])
-    size = by_kind([float(len(a)) for _, _, a in ENCODINGS])
-    # the symbols' places in the alphabet; - and _ are the last two in the form for addresses, and alphabets of one case are in small letters
-    plain = F.when(e < 3, F.lower(s)).otherwise(F.translate(s, "-_", "+/"))
+    def known(x: Column) -> Column:
+        # - and _ are the last two in the form for addresses, and alphabets of one case are in small letters
+        plain = F.when(x["kind"] < 3, F.lower(x["s"])).otherwise(F.translate(x["s"], "-_", "+/"))
+        return F.struct(plain.alias("plain"), x["kind"].alias("kind"), F.length(x["s"]).cast("double").alias("n"), _by_kind(x["kind"], [a for _, _, a in ENCODINGS]).alias("alphabet"))
+
+    tested = lambda x: F.when(x["kind"].isNotNull(), _let(_let(known(x), _statistics), _battery))
+    return _let(_let(F.regexp_replace(token, "=+$", ""), inferred), tested)
+
+
+def _statistics(x: Column) -> Column:
+    """What the tests need: counts of symbols and of their classes, and one walk over the symbols' places in the alphabet."""
+    plain, kind, n, alphabet = x["plain"], x["kind"], x["n"], x["alphabet"]
+    size = F.length(alphabet).cast("double")
     squares = F.aggregate(F.split(alphabet, ""), F.lit(0.0), lambda a, c: a + F.pow((F.length(plain) - F.length(F.replace(plain, c))).cast("double"), F.lit(2.0)))
-    symbols = _chi_tail(squares * size / n - n, size - 1)
-    classes = []
-    for chars, held in (("0-9", str.isdigit), ("A-Z", str.isupper), ("a-z", str.islower), ("+/", lambda c: c in "+/")):
-        want = by_kind([sum(map(held, a)) / len(a) for _, _, a in ENCODINGS]) * n
-        classes.append(F.when(want > 0, F.pow(_count(plain, chars) - want, F.lit(2.0)) / F.greatest(want, F.lit(1e-9))).otherwise(0.0))
-    # the rare among the letters are one more degree of freedom
-    letters = _count(plain, "A-Za-z").cast("double")
-    share, worded = len(RARE) / 26, (e > 0) & (letters > 0)
-    rare = F.when(worded, F.pow(_count(F.lower(plain), RARE) - letters * share, F.lit(2.0)) / (letters * share * (1 - share))).otherwise(0.0)
-    by_class = _chi_tail(sum(classes[1:], classes[0]) + rare, by_kind([1.0, 1.0, 1.0, 2.0, 3.0]) + F.when(worded, 1.0).otherwise(0.0))
-    digits = _count(plain, "0-9").cast("double")
-    parts = (_count(F.regexp_replace(plain, "[0-9]++", "0"), "0") + _count(F.regexp_replace(plain, "[^0-9]++", "a"), "a")).cast("double")
-    turns = _runs(parts, digits, n)
-    places = F.transform(F.split(plain, ""), lambda c: (F.instr(alphabet, c) - 1).cast("double"))
     middle = (size - 1) / 2
     zero = F.struct(F.lit(None).cast("double").alias("last"), *(F.lit(0.0).alias(k) for k in ("up", "runs", "lag", "sq")))
 
-    def step(a: Column, v: Column) -> Column:
-        first, d, d0 = a["last"].isNull(), v - middle, a["last"] - middle
-        turn = F.when(first | ((v > middle) != (a["last"] > middle)), 1.0).otherwise(0.0)
-        return F.struct(v.alias("last"), (a["up"] + F.when(v > middle, 1.0).otherwise(0.0)).alias("up"), (a["runs"] + turn).alias("runs"),
-                        (a["lag"] + F.when(first, 0.0).otherwise(d * d0)).alias("lag"), (a["sq"] + d * d).alias("sq"))
-
-    def combine(t: Column) -> Column:
-        up = t["up"]
-        # with symbols on one side only, the chance of that
-        runs = F.when((up == 0) | (up == n), F.pow(F.lit(2.0), 1 - n)).otherwise(_runs(t["runs"], up, n))
-        serial = _tail(F.abs(t["lag"] / F.greatest(t["sq"], F.lit(1e-9))) * F.sqrt(n)) * 2
-        least = F.least(symbols, by_class, runs, turns, serial)
-        return F.log10(F.least(F.greatest(least * 5, F.lit(1e-30)), F.lit(1.0)))
-
-    return F.when(e.isNotNull(), F.transform(F.array(F.aggregate(places, zero, step)), combine)[0])
+    def step(a: Column, c: Column) -> Column:
+        def add(v: Column) -> Column:
+            first, d, d0 = a["last"].isNull(), v - middle, a["last"] - middle
+            turn = F.when(first | ((v > middle) != (a["last"] > middle)), 1.0).otherwise(0.0)
+            return F.struct(v.alias("last"), (a["up"] + F.when(v > middle, 1.0).otherwise(0.0)).alias("up"), (a["runs"] + turn).alias("runs"),
+                            (a["lag"] + F.when(first, 0.0).otherwise(d * d0)).alias("lag"), (a["sq"] + d * d).alias("sq"))
+
+        return _let((F.instr(alphabet, c) - 1).cast("double"), add)
+
+    parts = _count(F.regexp_replace(plain, "[0-9]++", "0"), "0") + _count(F.regexp_replace(plain, "[^0-9]++", "a"), "a")
+    count = {"digits": "0-9", "capitals": "A-Z", "small": "a-z", "others": "+/", "rare": RARE + RARE.upper()}
+    return F.struct(kind.alias("kind"), n.alias("n"), size.alias("size"), squares.alias("squares"), F.aggregate(F.split(plain, ""), zero, step).alias("walk"),
+                    parts.cast("double").alias("parts"), *(_count(plain, chars).cast("double").alias(k) for k, chars in count.items()))
+
+
+def _battery(x: Column) -> Column:
+    kind, n, walk = x["kind"], x["n"], x["walk"]
+    symbols = _chi_tail(x["squares"] * x["size"] / n - n, x["size"] - 1)
+    classes = []
+    for name, held in (("digits", str.isdigit), ("capitals", str.isupper), ("small", str.islower), ("others", lambda c: c in "+/")):
+        want = _by_kind(kind, [sum(map(held, a)) / len(a) for _, _, a in ENCODINGS]) * n
+        classes.append(F.when(want > 0, F.pow(x[name] - want, F.lit(2.0)) / want).otherwise(0.0))
+    # the rare among the letters are one more degree of freedom
+    letters = x["capitals"] + x["small"]
+    share, worded = len(RARE) / 26, (kind > 0) & (letters > 0)
+    rare = F.when(worded, F.pow(x["rare"] - letters * share, F.lit(2.0)) / (letters * share * (1 - share))).otherwise(0.0)
+    by_class = _chi_tail(sum(classes[1:], classes[0]) + rare, _by_kind(kind, [1.0, 1.0, 1.0, 2.0, 3.0]) + F.when(worded, 1.0).otherwise(0.0))
+    # with symbols on one side of the middle only, the chance of that
+    runs = F.when((walk["up"] == 0) | (walk["up"] == n), F.pow(F.lit(2.0), 1 - n)).otherwise(_runs(walk["runs"], walk["up"], n))
+    serial = _tail(F.abs(walk["lag"] / F.greatest(walk["sq"], F.lit(1e-9))) * F.sqrt(n)) * 2
+    least = F.least(symbols, by_class, runs, _runs(x["parts"], x["digits"], n), serial)
+    return F.log10(F.least(F.greatest(least * 5, F.lit(1e-30)), F.lit(1.0)))
 
 
 def _band(start: Column, end: Column) -> Column:
