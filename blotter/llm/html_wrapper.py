@@ -3,8 +3,10 @@
 Pages of one host are aligned in blocks: their DOM trees (runs of like siblings folded into one list node, as templates
 repeat records) are matched by simple tree matching with the block's first page. A text that stands at the same template
 place in most of the block's different pages belongs to the template; slots that vary hold content. Content is taken from the
-``article`` or ``main`` element if there is one, else from the varying slots of the body. Elements that by name or role aren't
-main text (menus, headers, footers, forms, scripts) never count. A class or id that says so (sidebar, notice, advert, comments)
+``article`` or ``main`` element if there is one, else from the varying slots of the body. Induction decides where the article
+is: inside an ``article`` or ``main`` element with varying text, texts that all pages share (a heading, a byline) stay; without
+such an element, those stay that stand between varying texts of the innermost element that has several of them and most of
+their characters. Elements that by name or role aren't main text (menus, headers, footers, forms, scripts) never count. A class or id that says so (sidebar, notice, advert, comments)
 must say it as a whole name, and doesn't count against what was induced: where an element so named holds the page's article,
 or most of its varying text, its name is ignored.
 
@@ -57,6 +59,15 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 STOPS = {"ul", "ol", "table", "dl", "select", "article", "section", "div", "body", "html", "blockquote", "td", "th"}
 
 
+class Place:
+    """An element in page order, as seen from a block of text in it."""
+
+    __slots__ = ("around", "number", "tag")
+
+    def __init__(self, around: Place | None, number: int, tag: str):
+        self.around, self.number, self.tag = around, number, tag
+
+
 class Node:
     __slots__ = ("tag", "children", "skip", "text")
 
@@ -156,28 +167,30 @@ def parse(page: str) -> Node:
             articles += tag in ("article", "main")
 
 
-def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, tuple[int, ...], bool]]:
-    """(path, text, skip, in the article) of each block of text, in page order: text between block elements."""
-    out: list[tuple[tuple[str, ...], str, tuple[int, ...], bool]] = []
+def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, tuple[int, ...], Place | None, Place]]:
+    """(path, text, skip, article around it, element) of each block of text, in page order: text between block elements."""
+    out: list = []
     held: list[str] = []
-    place: list = [((), (), False)]
+    place: list = [None]
 
     def flush() -> None:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append((place[0][0], text, place[0][1], place[0][2]))
+                path, skip, article, at = place[0]
+                out.append((path, text, skip, article, at))
             held.clear()
 
-    todo: list = [(root, (), False, ())]
+    whole, n = Place(None, 0, "#root"), 0
+    todo: list = [(root, (), None, whole, ())]
     while todo:
-        node, path, inside, after = todo.pop()
+        node, path, article, at, after = todo.pop()
         if node is None:
             flush()
             continue
         if node.tag == "#text":
             if not held:
-                place[0] = (path, node.skip, inside)
+                place[0] = (path, node.skip, article, at)
             held.append(node.text)
             continue
         if node.tag == "br":
@@ -186,12 +199,14 @@ def blocks_of(root: Node) -> list[tuple[tuple[str, ...], str, tuple[int, ...], b
         inline = node.tag in INLINE and node.skip == after
         if not inline:
             flush()
-        inside = inside or node.tag in ("article", "main")
-        path = path if inline or node is root else (*path, node.tag)
-        if not inline:
-            todo.append((None, (), False, ()))
+            if node is not root:
+                n += 1
+                at = Place(at, n, node.tag)
+                article = at if node.tag in ("article", "main") else article
+                path = (*path, node.tag)
+            todo.append((None, (), None, whole, ()))
         for c in reversed(node.children):
-            todo.append((c, path, inside, node.skip))
+            todo.append((c, path, article, at, node.skip))
     flush()
     return out
 
@@ -208,10 +223,10 @@ class Shape:
         self.tag, self.children, self.texts = tag, [], []
 
 
-def shape_of(items: list[tuple[tuple[str, ...], str, tuple[int, ...], bool]]) -> tuple[Shape, list[Shape]]:
+def shape_of(items: list[tuple]) -> tuple[Shape, list[Shape]]:
     """The folded tree over the blocks' paths, and the node of each block."""
     root, nodes, stack = Shape("#root"), [], []
-    for path, text, _, _ in items:
+    for path, text, *_ in items:
         keep = 0
         while keep < len(stack) and keep < len(path) and stack[keep].tag == path[keep]:
             keep += 1
@@ -287,6 +302,53 @@ def _unmarked(varying: list) -> list:
     return [b for b in varying if ignored.issuperset(b[2])]
 
 
+def _main_slot(varying: list) -> int | None:
+    """Number of the innermost element, below the body, with several varying texts and more than half of their characters; None if there is none."""
+    inside: Counter = Counter()
+    texts: Counter = Counter()
+    places: dict[int, Place] = {}
+    for b in varying:
+        at = b[4]
+        inside[at.number] += len(b[1])
+        texts[at.number] += 1
+        while at is not None and at.number not in places:
+            places[at.number] = at
+            at = at.around
+    whole = sum(len(b[1]) for b in varying)
+    for k in sorted(places, reverse=True):  # inner elements have greater numbers than those around them
+        if texts[k] > 1 and 2 * inside[k] > whole:
+            return None if places[k].tag in ("#root", "html", "body") else k
+        if places[k].around is not None:
+            inside[places[k].around.number] += inside[k]
+            texts[places[k].around.number] += texts[k]
+    return None
+
+
+def _within(at: Place | None, k: int) -> bool:
+    while at is not None and at.number > k:
+        at = at.around
+    return at is not None and at.number == k
+
+
+def _content(blocks: list, varies: list[bool]) -> list:
+    """The blocks of a page that are its content, ``varies`` telling template texts from others."""
+    chosen = _unmarked([b for b, v in zip(blocks, varies) if v and b[2] != NEVER])
+    if not chosen:
+        return []
+    marks = {m for b in chosen for m in b[2]}  # names that were ignored for what varies are for what doesn't
+    article = [b for b in chosen if b[3]]
+    ids = {id(b) for b in article or chosen}
+    constant = [not v and b[2] != NEVER and marks.issuperset(b[2]) for b, v in zip(blocks, varies)]
+    if article:
+        numbers = {b[3].number for b in article}
+        return [b for b, c in zip(blocks, constant) if id(b) in ids or (c and b[3] and b[3].number in numbers)]
+    slot = _main_slot(chosen)
+    if slot is None:
+        return chosen
+    own = [k for k, b in enumerate(blocks) if id(b) in ids and _within(b[4], slot)]
+    return [b for k, (b, c) in enumerate(zip(blocks, constant)) if id(b) in ids or (c and own[0] < k < own[-1] and _within(b[4], slot))]
+
+
 def extract(pages: list[str | None], share: float = SHARE, least: int = LEAST) -> list[str]:
     """Main texts of pages of one host (a block), by template induction over them.
 
@@ -311,9 +373,8 @@ def extract(pages: list[str | None], share: float = SHARE, least: int = LEAST) -
     for x in items:
         k = different[tuple(b[1] for b in x)]
         nodes = shapes[k][1]
-        varying = _unmarked([b for b, n in zip(x, nodes) if b[2] != NEVER and template[places[k][id(n)], b[1]] < need])
-        article = [b for b in varying if b[3]]
-        out.append("\n".join(b[1] for b in article or varying))
+        varies = [template[places[k][id(n)], b[1]] < need for b, n in zip(x, nodes)]
+        out.append("\n".join(b[1] for b in _content(x, varies)))
     return out
 
 
@@ -333,7 +394,7 @@ def _extract_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     held, key = [], None
     for b in batches:
         for host, part, i, url, page in zip(*(c.to_pylist() for c in b.columns)):
-            if held and ((host, part) != key or len(held) >= 8 * BLOCK):
+            if held and (host, part) != key:
                 yield done(held)
                 held = []
             key = (host, part)
@@ -347,7 +408,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     Null and empty pages have an empty text. A null url, or one without a host, makes one group with others of its kind.
     Pages of a host with few pages are cleaned by element names and classes alone. Repeated rows count once in a template,
-    and each gets its text.
+    and each gets its text; rows of one id and url that outnumber ``block`` are spread over parts by their place in the input.
     """
     url = F.col(f"`{url_col}`").cast("string")
     host = F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
@@ -358,6 +419,12 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     if sizes.count() <= 100_000:
         parts = F.broadcast(parts)
     keyed = rows.join(parts, F.col("host") == F.col("large"), "left")
-    keyed = keyed.withColumn("part", F.pmod(F.xxhash64("id", "url"), F.coalesce("parts", F.lit(1))))
+    # rows of one id and url fall into one part, except those that would fill it by themselves
+    same = kept(rows.groupBy(F.xxhash64("host", "id", "url").alias("same")).agg(F.count(F.lit(1)).alias("n")).where(f"n > {block}").select("same"))
+    if same.count() <= 100_000:
+        same = F.broadcast(same)
+    keyed = keyed.withColumn("key", F.xxhash64("host", "id", "url")).join(same, F.col("key") == F.col("same"), "left")
+    salt = F.when(F.col("same").isNull(), F.xxhash64("id", "url")).otherwise(F.xxhash64("key", F.monotonically_increasing_id()))
+    keyed = keyed.withColumn("part", F.pmod(salt, F.coalesce("parts", F.lit(1))))
     keyed = keyed.select("host", "part", "id", "url", "html").repartition("host", "part").sortWithinPartitions("host", "part", "id")
     return keyed.mapInArrow(_extract_rows, SCHEMA)

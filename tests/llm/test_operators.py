@@ -428,6 +428,31 @@ def test_comments_beside_an_article_never_count():
     assert html_wrapper.extract([page]) == ["Short"]
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_texts_that_all_articles_share_stay(tag):
+    bar = "<p>Welcome to our site</p>"
+    pages = [f"<body>{bar}<{tag}><h2>Summary</h2><h1>Title {k}</h1><p>By the editors</p><p>Body {k}</p><div class='ad'>buy</div><p>All rights of the reader apply here.</p></{tag}>{bar}" for k in range(6)]
+    want = [f"Summary\nTitle {k}\nBy the editors\nBody {k}\nAll rights of the reader apply here." for k in range(6)]
+    assert html_wrapper.extract(pages) == want == [html_wrapper.extract([p.replace(bar, "")])[0] for p in pages]
+
+
+def test_shared_texts_between_slots_stay():
+    pages = [f"<body><div><p>Welcome to our site</p></div><div><p>More of us</p><h1>Title {k}</h1><h2>Summary</h2><p>Body of the page {k}</p><p>Ask us</p></div><div>Teaser {k}</div><p>End</p>" for k in range(6)]
+    assert html_wrapper.extract(pages) == [f"Title {k}\nSummary\nBody of the page {k}\nTeaser {k}" for k in range(6)]
+
+
+def test_an_article_without_varying_text_is_template():
+    pages = [f"<body><article><p>Our best story</p></article><article><h2>News</h2><p>Story {k}</p></article>" for k in range(6)]
+    assert html_wrapper.extract(pages) == [f"News\nStory {k}" for k in range(6)]
+
+
+def test_many_copies_of_a_row_are_spread(spark):
+    rows = [(1, "http://h/1", "<body><p>Home</p><article><p>copy</p></article>")] * 400 + [(k, f"http://h/{k}", f"<body><p>Home</p><article><p>page {k}</p></article>") for k in range(2, 402)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    out = Counter((r.page_id, r.text) for r in html_wrapper.main_texts(df).collect())
+    assert out == Counter({(1, "copy"): 400, **{(k, f"page {k}"): 1 for k in range(2, 402)}})
+
+
 def test_malformed_pages_end():
     attributes = " ".join(f'a{k}="v{k}"' for k in range(60))
     assert html_wrapper.extract([f"<p>one</p><a {attributes}", f"<p>two</p><a {attributes} b='", f"<p>x</p><a {attributes} c=\"d>three</a> it's \"so"]) == ["one", "two", "x\nthree it's \"so"]
