@@ -14,9 +14,11 @@ committed for a word, and for a run of letters in it, is remembered in a bounded
 from __future__ import annotations
 
 import hashlib
+import heapq
 import zlib
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -54,13 +56,12 @@ class Codec:
                 self.out.append(piece.replace(SPACE, " ").encode())
         self.unknown = m.unk_id()
         self.longest = max(map(len, self.ids), default=1)
-        #: the lengths of the pieces that end in three (or two) given characters, longest first; one character can always be an arc
-        self.after_two = {p: (2, 1) for p in self.ids if len(p) == 2}
-        lengths: dict[str, set[int]] = {}
+        #: finds the pieces that end at each character, longest first
+        self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
-            if len(piece) > 2:
-                lengths.setdefault(piece[-3:], {1, *self.after_two.get(piece[-2:], ())}).add(len(piece))
-        self.after_three = {k: tuple(sorted(v, reverse=True)) for k, v in lengths.items()}
+            self.automaton.add_word(piece, piece)
+        self.automaton.make_automaton()
+        self.singles = {p for p in self.ids if len(p) == 1}
         probe = " a  bé é Ａ\tc\n"
         self.plain = m.normalize(probe) == SPACE + probe.replace(" ", SPACE) and m.normalize("") == ""
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
@@ -99,63 +100,74 @@ class Codec:
             self.pairs.put(key, got)
         return got
 
+    def _arcs(self, text: str) -> Iterator[tuple[int, str]]:
+        """(end - 1, piece) of the arcs by rising end, longest first; a character that is no piece is an arc of its own."""
+        if self.singles.issuperset(text):
+            return self.automaton.iter(text) if len(self.automaton) else iter(())
+        found = self.automaton.iter(text) if len(self.automaton) else ()
+        alone = ((i, c) for i, c in enumerate(text) if c not in self.singles)
+        return heapq.merge(found, alone, key=lambda arc: (arc[0], -len(arc[1])))
+
     def pieces(self, text: str) -> Iterator[str]:
-        """The pieces of a normalised text, each as soon as it is settled. Memory is that of the window, not of the text."""
-        base = 0  # the boundary before which all is committed
-        back = {0: (0, "", 0.0)}  # boundary -> (boundary before, piece between, score)
-        bpe, longest, scores = self.kind == "bpe", self.longest, self.scores
-        three, two, one = self.after_three, self.after_two, (1,)
-        n = len(text)
-        for end in range(1, n + 1):
-            best = None
-            arcs = three.get(text[end - 3 : end]) if end > 2 else None
-            if arcs is None:
-                arcs = two.get(text[end - 2 : end], one) if end > 1 else one
-            for k in arcs:
-                start = end - k
-                before = back.get(start)
-                if before is None:  # not reached, or before all that is left of the text
-                    continue
-                piece = text[start:end]
-                known = piece in scores
-                if not known and k > 1:
-                    continue
-                if bpe:
-                    if before[1] and not self.may_follow(before[1], piece):
+        """The pieces of a normalised text, each as soon as it is settled. What the search holds is that of the window, not of the text."""
+        base, end = 0, 0  # the boundary before which all is committed, and the last one looked at
+        tail = {0: ""}  # boundary -> the last piece of its path, which is its backpointer
+        total = {0: 0.0}
+        bpe, scores, window = self.kind == "bpe", self.scores, 4 * self.longest
+        judged = self.pairs.new
+        for at, piece in self._arcs(text):
+            if at >= end:
+                if end - base >= window:
+                    met = self._met(tail, base, end)
+                    if met > base:
+                        yield from self._path(tail, base, met)
+                        tail = {k: v for k, v in tail.items() if k >= met}
+                        if not bpe:  # scores count from the new base
+                            zero = total[met]
+                            total = {k: v - zero for k, v in total.items() if k >= met}
+                        base = met
+                end = at + 1
+            if bpe and end in tail:  # a longer piece obeys the rule
+                continue
+            start = end - len(piece)
+            before = tail.get(start)
+            if before is None:  # not reached, or before all that is left of the text
+                continue
+            if bpe:
+                if before:
+                    ok = judged.get((before, piece))
+                    if ok is None:
+                        ok = self.may_follow(before, piece)
+                    if not ok:
                         continue
-                    best = (start, piece, 0.0)
-                    break
-                score = before[2] + (scores[piece] if known else -1e6)
-                if best is None or score > best[2]:
-                    best = (start, piece, score)
-            if best is not None:
-                back[end] = best
-            if end - base >= 4 * longest or end == n:
-                met = self._met(back, base, end, n, longest)
-                if met > base:
-                    out, at = [], met
-                    while at > base:
-                        out.append(back[at][1])
-                        at = back[at][0]
-                    yield from reversed(out)
-                    last = back[met]
-                    back = {k: v for k, v in back.items() if k >= met}
-                    back[met] = (met, last[1], 0.0)
-                    if not bpe:  # scores count from the new base
-                        back = {k: (v[0], v[1], v[2] - last[2] if k > met else 0.0) for k, v in back.items()}
-                    base = met
+                tail[end] = piece
+            else:
+                score = total[start] + scores.get(piece, -1e6)
+                if end not in tail or score > total[end]:
+                    tail[end], total[end] = piece, score
+        yield from self._path(tail, base, len(text))  # one path is left at the end
 
     @staticmethod
-    def _met(back: dict, base: int, end: int, n: int, longest: int) -> int:
-        """The last boundary that the paths of all surviving boundaries share."""
-        alive = [end] if end == n else [k for k in range(max(base, end - longest + 1), end + 1) if k in back]
+    def _path(tail: dict, base: int, at: int) -> list[str]:
+        """The pieces from ``base`` to ``at``, by the backpointers."""
+        out = []
+        while at > base:
+            piece = tail[at]
+            out.append(piece)
+            at -= len(piece)
+        out.reverse()
+        return out
+
+    def _met(self, tail: dict, base: int, end: int) -> int:
+        """The last boundary that the paths of all surviving boundaries share: arcs to come start among the window's last ones."""
         common: set[int] | None = None
-        for k in alive:
-            path = {k}
-            while k > base:
-                k = back[k][0]
-                path.add(k)
-            common = path if common is None else common & path
+        for k in range(max(base, end - self.longest + 1), end + 1):
+            if k in tail:
+                path = {k}
+                while k > base:
+                    k -= len(tail[k])
+                    path.add(k)
+                common = path if common is None else common & path
         return max(common or {base})
 
     def _settled(self, word: str) -> list[str]:
