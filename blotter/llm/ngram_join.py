@@ -334,18 +334,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     component_id is the smallest id that a document reaches by links, itself included; class_id is the smallest id
     with the same set. Rows whose text is null, empty or without words have no shingles and are linked with nothing. Rows
-    that repeat an id and its text are one node (give each text an id of its own: of different texts under one id, only
-    one is verified). An id of null stays null, and such a row isn't linked. Other columns don't matter.
+    that repeat an id and its text are one node (give each text an id of its own: of different texts under one id that is the smallest
+    of its class, only one is verified). An id of null stays null, and such a row isn't linked. Other columns don't matter.
     """
     signed, links = similar_pairs(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, **params)
+    # links are between classes, so their rows only look up their class; stored, so that Spark can split a class that many rows have
     reps = signed.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("class_id"))
-    comp = components(
-        links.unionByName(signed.where("n > 0").join(reps, ["digest", "n"]).select(F.col("id").alias("a"), F.col("class_id").alias("b")))
-    )
-    out = signed.join(reps, ["digest", "n"], "left").join(comp.withColumnRenamed("node", "id"), "id", "left")
+    comp = components(links).withColumnRenamed("node", "class_id")
+    classes = kept(reps.join(comp, "class_id", "left"))
+    out = signed.join(classes, ["digest", "n"], "left")
     out = out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"),
+        F.coalesce("component", "class_id", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"),
     )
     nulls = docs.where(F.col(f"`{id_col}`").isNull())
     no = F.lit(None).cast("long")

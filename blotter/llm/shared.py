@@ -97,17 +97,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` reaches, itself included.
 
     Alternates large-star and small-star steps; all state stays in distributed tables, one stored per round. Rounds
-    grow with the logarithm of the longest chain.
+    grow with the logarithm of the longest chain. The minima are stored before they are joined, so Spark can split the edges of
+    a node that a large part of all nodes touches.
     """
     e = kept(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # a node's own minimum stays linked to it
-        large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = kept(large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct())
+        low = kept(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
         e = kept(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
