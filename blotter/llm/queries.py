@@ -106,7 +106,9 @@ WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
 def oracle_sql() -> dict[str, str]:
     """SQL for the operators that it can express on whole tables; the others are tested against brute force."""
     return {
+        "op1_ngram_jaccard_join": sql.SHINGLE_GROUPS,
         "op2_exact_dedup": _OP2,
+        "op4_suffix_array_dedup": sql.REPEATED_BYTES,
         "op11_spelling_variants": sql.SPELLING,
         "op12_language_id": sql.LANGUAGES,
         "op13_vector_codes": sql.VECTOR_CODES,

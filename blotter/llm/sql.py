@@ -2,6 +2,69 @@
 
 from __future__ import annotations
 
+#: Sets of three-word shingles, all pairs of classes that share one, and what each class reaches by links.
+SHINGLE_GROUPS = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []::VARCHAR[]
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS grams
+  FROM d
+), c AS (
+  SELECT min(doc_id) AS id, grams, len(grams) AS n FROM (SELECT doc_id, list_sort(grams) AS grams FROM s) GROUP BY grams HAVING len(grams) > 0
+), x AS (
+  SELECT id, n, unnest(grams) AS g FROM c
+), p AS (
+  SELECT a.id AS a, b.id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+  FROM x a JOIN x b ON a.g = b.g AND a.id < b.id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.id, b.id
+), e AS (
+  SELECT a, b FROM p WHERE 100 * k >= 90 * (na + nb - k)
+), both_ways AS (
+  SELECT a, b FROM e UNION SELECT b, a FROM e
+), reach AS (
+  SELECT id AS node, id AS low FROM c
+  UNION
+  SELECT t.b, r.low FROM reach r JOIN both_ways t ON t.a = r.node WHERE r.low < t.b
+), comp AS (
+  SELECT node, min(low) AS component FROM reach GROUP BY node
+), cls AS (
+  SELECT c.grams, c.id AS class_id, comp.component FROM c JOIN comp ON comp.node = c.id
+)
+SELECT s.doc_id, len(s.grams) AS n_shingles, coalesce(cls.component, s.doc_id) AS component_id, coalesce(cls.class_id, s.doc_id) AS class_id
+FROM s LEFT JOIN cls ON cls.grams = list_sort(s.grams)
+"""
+
+#: Every string of 100 bytes, those that start earlier too, and the runs that these cover; by MD5 of the bytes in hexadecimal digits.
+REPEATED_BYTES = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), starts AS (
+  SELECT doc_id, digits, unnest(range(0, len(digits) // 2 - 99)) AS i FROM d
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, md5(substr(digits, 2 * i + 1, 200)) AS bytes FROM starts)
+  QUALIFY row_number() OVER (PARTITION BY bytes ORDER BY doc_id, i) > 1
+), cut AS (
+  SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM again
+), numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN i <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM cut
+), runs AS (
+  SELECT doc_id, run, min(i) AS lo, max(i) + 100 AS hi FROM numbered GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, run, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS after FROM runs
+), parts AS (
+  SELECT g.doc_id, string_agg(substr(d.digits, 2 * g.after + 1, 2 * (g.lo - g.after)), '' ORDER BY g.run) AS head,
+         sum(g.hi - g.lo) AS n_removed, count(*) AS n_spans, max(g.hi) AS hi
+  FROM gaps g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id
+)
+SELECT d.doc_id, len(digits) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(digits, 2 * coalesce(hi, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN parts ON parts.doc_id = d.doc_id
+"""
+
 #: crc32 of a string's UTF-8 bytes, from the reversed polynomial 0xEDB88320; ``crcs`` is its table of 256 numbers, made by rule.
 _CRC_TABLE = """crc AS (
   SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS crcs
