@@ -21,12 +21,12 @@ from blotter.llm.shared import id_and_text
 
 #: Pre-tokens in the broadcast table, and in the summary that a scan task sends of its part.
 TABLE, SUMMARY = 1 << 15, 1 << 12
-#: A worker's cache is emptied beyond this many pre-tokens; longer ones than LONG characters aren't kept.
-CACHE, LONG = 1 << 18, 64
+#: Pre-tokens in each of the two generations of a worker's cache; longer ones than LONG characters aren't kept.
+CACHE, LONG = 1 << 17, 64
 
 #: Fixed value: the published split pattern of byte-level BPE tokenizers (white space written out).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: Texts of these characters are split here; others by the library, whose Unicode tables may be of another version.
+#: Stretches of these characters are split here; others by the library, whose Unicode tables may be of another version.
 PLAIN = r"[\x00-\x1b\x20-ɏͰ-ϿЀ-ӿ‐-‧‰-⁞€]*"
 
 
@@ -50,17 +50,41 @@ class Splitter:
         pre = spec["pre_tokenizer"] or {}
         #: only plain byte-level tokenizers have the known split; any other file is counted by the library itself
         self.known = spec["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
-        self.added = [t["content"] for t in spec["added_tokens"]]
-        self.special = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
+        added = spec["added_tokens"]
+        #: the longest special string that starts at a place counts, as in the library; ones that need more than their characters are left to it
+        self.known = self.known and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+        strings = sorted((t["content"] for t in added), key=len, reverse=True)
+        self.special = regex.compile("|".join(map(regex.escape, strings))) if strings else None
+        #: white space before characters that are none; no pre-token goes on from a character that is none into white space
+        self.stretches = regex.compile(r"\p{White_Space}*\P{White_Space}+|\p{White_Space}+").findall
         self.find = regex.compile(SPLIT).findall
         self.plain = regex.compile(PLAIN).fullmatch
         self.alphabet = byte_alphabet()
 
-    def pieces(self, text: str) -> list[str] | None:
-        """The pre-tokens, or None if the library must count the whole text."""
-        if not self.known or (self.special and self.special.search(text)) or not self.plain(text):
-            return None
-        return self.find(text)
+    def pieces(self, text: str) -> tuple[list[str], int]:
+        """The pre-tokens to look up, and the number of tokens of all else: special strings, and stretches that the library counts."""
+        if not self.known:
+            return [], self.whole(text)
+        if not (self.special and self.special.search(text)):
+            return self._plain_pieces(text)
+        runs = self.special.split(text)
+        found, n = [], len(runs) - 1
+        for run in runs:
+            got, k = self._plain_pieces(run)
+            found += got
+            n += k
+        return found, n
+
+    def _plain_pieces(self, text: str) -> tuple[list[str], int]:
+        if self.plain(text):
+            return self.find(text), 0
+        found, n = [], 0
+        for stretch in self.stretches(text):
+            if self.plain(stretch):
+                found += self.find(stretch)
+            else:
+                n += self.whole(stretch)
+        return found, n
 
     def length(self, piece: str) -> int:
         alphabet = self.alphabet
@@ -74,7 +98,7 @@ def _splitter(path: str) -> Splitter:
     cache = textops.worker_cache()
     if ("splitter", path) not in cache:
         cache["splitter", path] = Splitter(path)
-        cache["lengths", path] = {}
+        cache["lengths", path] = textops.Memo(CACHE)
     return cache["splitter", path]
 
 
@@ -84,7 +108,7 @@ def _frequent(path: str, summary: int):
         counts: Counter = Counter()
         for b in batches:
             for text in b.column(0).to_pylist():
-                counts.update(split.pieces(text or "") or ())
+                counts.update(split.pieces(text or "")[0])
                 if len(counts) > 64 * summary:  # a bounded summary: the rarest go
                     counts = Counter(dict(counts.most_common(16 * summary)))
         top = [(k, v) for k, v in counts.most_common(summary) if len(k) <= LONG and v > 1]
@@ -114,12 +138,8 @@ def _count(path: str, limit: int, table):
             for text in b.column(1).to_pylist():
                 text = text or ""
                 n_bytes.append(len(text.encode()))
-                pieces = split.pieces(text)
-                if pieces is None:
-                    n_tokens.append(split.whole(text))
-                    continue
+                pieces, n = split.pieces(text)
                 got = list(map(frequent.get, pieces))
-                n = 0
                 if None in got:
                     for k, piece in zip(got, pieces):
                         if k is None:
@@ -127,12 +147,10 @@ def _count(path: str, limit: int, table):
                             if k is None:
                                 k = split.length(piece)
                                 if len(piece) <= LONG:
-                                    if len(seen) >= CACHE:
-                                        seen.clear()
-                                    seen[piece] = k
+                                    seen.put(piece, k)
                         n += k
                 else:
-                    n = sum(got)
+                    n += sum(got)
                 n_tokens.append(n)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())],
