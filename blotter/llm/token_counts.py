@@ -22,7 +22,7 @@ from blotter.llm.shared import id_and_text
 #: Pre-tokens in the broadcast table, and in the summary that a scan task sends of its part.
 TABLE, SUMMARY = 1 << 15, 1 << 12
 #: Pre-tokens in each of the two generations of a worker's cache; longer ones than LONG characters aren't kept.
-CACHE, LONG = 1 << 17, 64
+CACHE, LONG = 1 << 18, 64
 
 #: Fixed value: the published split pattern of byte-level BPE tokenizers (white space written out).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -143,7 +143,9 @@ def _count(path: str, limit: int, table):
                 if None in got:
                     for k, piece in zip(got, pieces):
                         if k is None:
-                            k = seen.get(piece)
+                            k = seen.new.get(piece)
+                            if k is None:
+                                k = seen.get(piece)
                             if k is None:
                                 k = split.length(piece)
                                 if len(piece) <= LONG:
