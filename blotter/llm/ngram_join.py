@@ -35,6 +35,11 @@ from blotter.llm.shared import components, id_and_text, kept, rows_with, small_b
 #: The most frequent shingles that are broadcast (16 bytes each), whatever the size of the corpus.
 HOT = 1 << 16
 LEVELS = 6
+#: Rows of an Arrow batch: they are whole documents, held several times by the executor and its Python worker.
+ARROW_ROWS = 1000
+#: The same where a row has two whole sets; rows that are sets, or pairs of them to compare, for one stored file.
+PAIR_ROWS = 500
+SET_ROWS = 250
 #: Posting lists from this length on get hub links first.
 HUB = 16
 #: Hubs that a document is compared with before the other pairs are looked for.
@@ -47,15 +52,21 @@ def _hot_counts(n: int, share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         textops.enter("ngram_join")
         top = np.uint64(min(2**64 - 1, int(share * 2**64)))
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 4000):
-                b = whole.slice(lo, 4000)
-                sets = [s[: np.searchsorted(s, top, "right")] for s in textops.shingle_sets(*textops.byte_view(b.column(0)), n)]
-                if not sets:
-                    continue
-                token, count = np.unique(np.concatenate(sets), return_counts=True)
-                many = count >= 3
-                yield pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "c"])
+        sets: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            token, count = np.unique(np.concatenate(sets), return_counts=True)
+            many = count >= 3
+            return pa.RecordBatch.from_arrays([pa.array(token[many].view(np.int64)), pa.array(count[many].astype(np.int64))], names=["token", "c"])
+
+        for b in batches:
+            for s in textops.shingle_sets(*textops.byte_view(b.column(0)), n):
+                sets.append(s[: np.searchsorted(s, top, "right")].copy())  # not a view of the whole set
+                if len(sets) == 4000:
+                    yield counted()
+                    sets = []
+        if sets:
+            yield counted()
 
     return run
 
@@ -245,7 +256,11 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     The links connect exactly the classes that all links together connect; pairs inside one group that earlier links
     already connect are left out.
     """
-    d = id_and_text(docs, id_col, text_col)
+    with small_batches(docs.sparkSession, ARROW_ROWS):  # what is returned is stored and has no Python step left
+        return _similar_pairs(id_and_text(docs, id_col, text_col), shingle, num, den, hot, levels, hub)
+
+
+def _similar_pairs(d: DataFrame, shingle: int, num: int, den: int, hot: int, levels: int, hub: int) -> tuple[DataFrame, DataFrame]:
     share = min(1.0, 2.5 * (den - num) / den)
     counts = d.select("text").mapInArrow(_hot_counts(shingle, share), "token long, c long")
     top = counts.groupBy("token").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "token").limit(hot).collect()
@@ -289,14 +304,15 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def compared(pairs: DataFrame, how, schema: str) -> DataFrame:
         pairs = kept(pairs)
-        ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        n = pairs.count()
+        ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * n)
         sets = rows_with(d, ids).mapInArrow(_sets(shingle), "id long, s binary")
-        sets = kept(sets.groupBy("id").agg(F.min("s").alias("s")))  # repeated rows of one id count once
+        sets = kept(sets.groupBy("id").agg(F.min("s").alias("s")), ids.count(), SET_ROWS)  # repeated rows of one id count once
         # sets travel in rows of their own until they meet in a pair; small Arrow batches bound what a worker holds
         both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a")
         both = both.join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b")
-        with small_batches(d.sparkSession, 500):
-            return kept(both.select("a", "b", "x", "y").mapInArrow(how, schema))
+        with small_batches(d.sparkSession, PAIR_ROWS):
+            return kept(both.select("a", "b", "x", "y").mapInArrow(how, schema), n, SET_ROWS)
 
     def verified(pairs: DataFrame) -> DataFrame:
         return compared(pairs, _verify(num, den), "a long, b long")
@@ -313,11 +329,12 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = measured.where("near").select("x", "h")
     popular = near.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
     group = near.join(popular, "h").groupBy("x").agg(F.max(F.struct("k", F.expr("~h").alias("no"))).alias("g"))
-    group = kept(group.select("x", F.expr("~g.no").alias("h")))
+    group = kept(group.select("x", F.expr("~g.no").alias("h")), measured.count())
     inside = verified(_difference_prefixes(measured.join(group, ["x", "h"]), num, den))
 
     # Pairs of different groups that aren't yet connected: of each posting list, all but its largest group against the rest.
-    comp = components(to_hubs.unionByName(inside)).withColumnRenamed("node", "id")
+    early = to_hubs.unionByName(inside)
+    comp = components(early, most=early.count()).withColumnRenamed("node", "id")
     placed = posts.join(comp, "id", "left").join(group.select(F.col("x").alias("id"), F.col("h").alias("group")), "id", "left")
     placed = kept(placed.withColumns({"component": F.coalesce("component", "id"), "group": F.coalesce("group", "id")}))
     sizes = placed.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
@@ -326,7 +343,7 @@ def similar_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     a_side, b_side = rest.alias("a"), placed.join(main, "token").alias("b")
     apart = F.expr("a.token = b.token and a.group != b.group and a.component != b.component and (b.group = b.main or a.id < b.id)")
     second = verified(candidates(a_side.join(b_side, apart)))
-    return signed.drop("prefix"), to_hubs.unionByName(inside).unionByName(second)
+    return signed.drop("prefix"), early.unionByName(second)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
@@ -340,7 +357,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     signed, links = similar_pairs(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, **params)
     # links are between classes, so their rows only look up their class; stored, so that Spark can split a class that many rows have
     reps = signed.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("class_id"))
-    comp = components(links).withColumnRenamed("node", "class_id")
+    comp = components(links, most=links.count()).withColumnRenamed("node", "class_id")
     classes = kept(reps.join(comp, "class_id", "left"))
     out = signed.join(classes, ["digest", "n"], "left")
     out = out.select(

@@ -19,21 +19,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def kept(df: DataFrame) -> DataFrame:
+#: Rows of a few longs that are worth a stored file of their own.
+FILE_ROWS = 50_000
+
+
+def kept(df: DataFrame, most: int | None = None, file_rows: int = FILE_ROWS) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read from there: it survives lost executors.
 
-    Sessions with ``spark.cleaner.referenceTracking.cleanCheckpoints`` delete the files when the frame goes.
+    Sessions with ``spark.cleaner.referenceTracking.cleanCheckpoints`` delete the files when the frame goes. Every partition is a
+    file, an empty one too, and without Hadoop's native library a local file system starts a chmod for each. ``most`` is the
+    number of rows that ``df`` has at most, where that is known: these go to one file for ``file_rows`` of them, not to more.
     """
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    return (df if most is None else df.coalesce(max(1, -(-most // file_rows)))).checkpoint()
 
 
 @contextmanager
 def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Within it, jobs send Arrow batches of at most ``rows`` rows to Python; for steps with long rows that are stored at once."""
+    """Within it, jobs send Arrow batches of at most ``rows`` rows to Python; for steps with long rows that are stored at once.
+
+    A session's own lower limit stays.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    if not 0 < int(before) < rows:  # 0 is no limit
+        spark.conf.set(key, str(rows))
     try:
         yield
     finally:
@@ -93,24 +103,26 @@ def may_hold(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", most: int | None = None) -> DataFrame:
     """(node, component): the smallest node that each node of ``edges`` reaches, itself included.
 
     Alternates large-star and small-star steps; all state stays in distributed tables, one stored per round. Rounds
     grow with the logarithm of the longest chain. The minima are stored before they are joined, so Spark can split the edges of
-    a node that a large part of all nodes touches.
+    a node that a large part of all nodes touches. What a round stores is at most a few times its edges, whose number is known;
+    ``most``: that of ``edges`` at most, if the caller knows it.
     """
-    e = kept(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    before = None
+    e = kept(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), most)
+    before = (e.count(), None)
     while True:
+        n = before[0]
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        low = kept(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), 2 * n)
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # a node's own minimum stays linked to it
-        large = kept(large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct())
-        low = kept(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = kept(large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct(), 3 * n)
+        low = kept(large.groupBy("u").agg(F.min("v").alias("m")), 3 * n)
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        e = kept(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        e = kept(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), 6 * n)
         now = tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             break

@@ -15,6 +15,8 @@ import pyarrow as pa
 #: The white space of all word definitions here: blank and 0x09 to 0x0D.
 WHITE = b" \t\n\x0b\x0c\r"
 BLOCK_BYTES = 1 << 20
+#: Text that is shingled at a time; about 40 bytes are held for each of its bytes.
+SHINGLE_BYTES = 1 << 17
 
 
 def worker_cache() -> dict:
@@ -161,7 +163,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, n: int, seed: int = 11, fold
 
     A document with 1 to n - 1 words has its whole sequence as the only shingle, one without words has none.
     """
-    for i, j in blocks(off):
+    for i, j in blocks(off, SHINGLE_BYTES):
         d, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
         s, e, w = word_bounds(d, o)
         h = word_hashes(d, s, e, seed, fold)

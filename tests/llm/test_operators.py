@@ -127,6 +127,72 @@ def test_components_edges(spark):
     assert sorted((str(r.doc_id) for r in left.collect())) == ["1", "2", "3", "4", "5", "7", "None"]  # with fewer than five words the whole sequence is the set, so 1 and 6 are copies
 
 
+def test_few_rows_are_stored_in_few_files_and_sent_in_small_batches(spark, monkeypatch):
+    key, stored, batch = "spark.sql.execution.arrow.maxRecordsPerBatch", [], []
+
+    def kept(df, *limits):
+        out = shared_kept(df, *limits)
+        stored.append(out.rdd.getNumPartitions())
+        batch.append(int(spark.conf.get(key)))
+        return out
+
+    shared_kept = shared.kept
+    monkeypatch.setattr(shared, "kept", kept)
+    monkeypatch.setattr(ngram_join, "kept", kept)
+    rng = random.Random(4)
+    rows = [(k, " ".join("a%d" % (k % 20 * 100 + j if rng.random() < 0.99 else rng.randrange(9999)) for j in range(60))) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", key)}
+    try:
+        for k, v in zip(before, ("40", "false", "10000")):
+            spark.conf.set(k, v)
+        signed, links = ngram_join.similar_pairs(df)
+        assert links.count() and max(batch) <= 1000 and spark.conf.get(key) == "10000"
+        with shared.small_batches(spark, 20_000):
+            assert spark.conf.get(key) == "10000"  # a lower limit of the session stays
+        stored.clear()
+        n = links.count()
+        got = {r.node: r.component for r in shared.components(links, most=n).collect()}
+        assert stored and max(stored) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {i: c for i, (_, c) in _brute_components(rows, 3, 90, 100).items()}
+    assert got and all(want[i] == c for i, c in got.items())
+
+
+def test_stored_files_grow_with_the_rows(spark):
+    df = spark.range(0, 1000, 1, 12)
+    assert [shared.kept(df, *x).rdd.getNumPartitions() for x in ((), (0,), (1000, 250), (1001, 250), (1000, 10))] == [12, 1, 4, 5, 12]
+    assert shared.kept(df, 1000, 250).count() == 1000
+
+
+def test_shingling_holds_little_more_than_its_sets():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([" ".join("w%d" % (k * 997 + j) for j in range(300)) for k in range(2000)])
+    list(textops.shingle_sets(*textops.byte_view(texts[:10]), 3))  # the table of powers
+    data, off = textops.byte_view(texts)
+    tracemalloc.start()
+    try:
+        n = sum(len(s) for s in textops.shingle_sets(data, off, 3))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 2000 * 298 and peak < 12_000_000
+
+
+def test_counts_of_frequent_shingles_do_not_depend_on_batches():
+    import pyarrow as pa
+
+    texts = pa.array([" ".join("w%d" % (k % 400 * 997 + j) for j in range(30)) for k in range(2000)])
+    batches = [[pa.RecordBatch.from_arrays([texts[k : k + rows]], names=["text"]) for k in range(0, 2000, rows)] for rows in (2000, 500)]
+    one, many = ([r for b in ngram_join._hot_counts(3, 1.0)(iter(x)) for r in b.to_pylist()] for x in batches)
+    assert len(one) == 400 * 28 and one == many
+
+
 def test_components_of_chains(spark):
     edges = [(k, k + 1) for k in range(1, 40)] + [(100, 7), (200, 201)]
     got = {r.node: r.component for r in shared.components(spark.createDataFrame(edges, "a long, b long")).collect()}
